@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.llm import bpe
+from linkweave.llm import bpe, exact_dedup, mixing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +20,47 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_byte_bpe": op7_byte_bpe}
+    return {"op3_mixing": op3_mixing, "op7_byte_bpe": op7_byte_bpe, "op9_exact_dedup": op9_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": MIXING_SQL, "op9_exact_dedup": EXACT_DEDUP_SQL}
+
+
+EXACT_DEDUP_SQL = """
+WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS n FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size,
+       doc_id = max(doc_id) OVER (PARTITION BY n) AS kept, sha256(n) AS text_sha256
+FROM t
+"""
+
+MIXING_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT source, source_size, 1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS weight FROM s),
+fill(step, total, capped_words, capped_weight) AS (
+  SELECT 0, (SELECT sum(source_size) FROM w), CAST(0 AS HUGEINT), CAST(0 AS HUGEINT)
+  UNION ALL
+  SELECT step + 1, total,
+    (SELECT coalesce(sum(3 * source_size), 0) FROM w WHERE 3 * source_size / weight < (f.total - f.capped_words) / ((SELECT sum(weight) FROM w) - f.capped_weight)),
+    (SELECT coalesce(sum(weight), 0) FROM w WHERE 3 * source_size / weight < (f.total - f.capped_words) / ((SELECT sum(weight) FROM w) - f.capped_weight))
+  FROM fill f WHERE step < 40 AND f.capped_weight < (SELECT sum(weight) FROM w)),
+unit AS (SELECT (total - capped_words) / ((SELECT sum(weight) FROM w) - capped_weight) AS u FROM fill ORDER BY step DESC LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN 3 * source_size / weight < u THEN CAST(3 * source_size AS DOUBLE) ELSE weight * u END AS target FROM w, unit),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, least(floor(coalesce(t.target / nullif(t.source_size, 0), 0)), 3) AS passes,
+        coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1:' || d.doc_id) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (passes + CASE WHEN seen + size / 2 <= target - passes * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM p
+"""
