@@ -27,9 +27,12 @@ PACK_BYTES = 4 << 20
 
 
 def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> DataFrame:
-    """Chunks of whole documents as compressed Arrow streams, written once to the shared folder.
+    """Chunks of whole documents as compressed Arrow streams.
 
-    Null texts stay null. A document larger than ``pack_bytes`` gets a chunk of its own.
+    Null texts stay null. A document larger than ``pack_bytes`` gets a chunk of its own. The packs are
+    made anew wherever they are read, which costs less than keeping a copy of the corpus; so that
+    every reading, also one after an executor was lost, meets the same chunks, rows must come straight
+    from a scan. Rows in an order that a shuffle left open are first written to the shared folder.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,12 +64,14 @@ def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> Da
             yield flush()
 
     slim = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
-    return materialise(slim.mapInArrow(run, PACK_SCHEMA), "packs", "uncompressed")
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        slim = materialise(slim, "rows", "zstd")
+    return slim.mapInArrow(run, PACK_SCHEMA)
 
 
 def to_blob(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -180,6 +185,20 @@ def answer(sent: DataFrame, reply: Callable[[list[int], list[bytes]], Iterator[t
     return sent.groupBy("bucket").applyInArrow(run, MAIL_SCHEMA)
 
 
+def send_after(packs: DataFrame, replies: DataFrame, emit: Callable[[Texts, list[tuple[int, bytes]]], list[tuple[int, bytes]]]) -> DataFrame:
+    """A further round: each chunk's blobs for the buckets, made from the answers it got."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        answers = list(zip(right.column("bucket").to_pylist(), right.column("blob").to_pylist(), strict=True))
+        out = [mail([], [], [])]
+        for chunk, blob in zip(left.column("chunk").to_pylist(), left.column("blob"), strict=True):
+            rows = emit(Texts(blob.as_py()), answers)
+            out.append(mail([b for b, _ in rows], [chunk] * len(rows), [x for _, x in rows]))
+        return pa.Table.from_batches(out)
+
+    return packs.select("chunk", "blob").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, MAIL_SCHEMA)
+
+
 def meet(packs: DataFrame, replies: DataFrame, work: Callable[[Texts, list[tuple[int, bytes]]], pa.Table], schema: str) -> DataFrame:
     """Each chunk together with the answers, as pairs of bucket and blob, that it got."""
 
@@ -195,6 +214,7 @@ def meet(packs: DataFrame, replies: DataFrame, work: Callable[[Texts, list[tuple
     return packs.select("chunk", "blob").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def bucket_count(packs: DataFrame) -> int:
+def bucket_count(df: DataFrame, text: str, pack_bytes: int = PACK_BYTES) -> int:
     """Buckets in proportion to the input: about one for each chunk."""
-    return max(4, packs.count())
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return 4 + size // pack_bytes
