@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import rolling as R
+from linkweave.llm.batches import slices, text_bytes
 from linkweave.llm.components import components
 from linkweave.llm.storage import materialise
 
@@ -45,31 +45,9 @@ SKETCH_CUT = 0.58
 BLOCK = 512
 #: Rows of 16 bytes: at most 16 MB go to every executor.
 BROADCAST_ROWS = 1 << 20
-SLICE_BYTES = 4 << 20
 _FACTORS = np.random.default_rng(85).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def slices(batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``size`` bytes of text each."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(lengths)
-    begin = 0
-    while begin < len(lengths):
-        done = ends[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(ends, done + size, "right")))
-        yield batch.slice(begin, end - begin)
-        begin = end
-
-
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a text column and their offsets; null is empty."""
-    column = pc.fill_null(column.cast(pa.binary()), b"")
-    buffers = column.buffers()
-    offsets = np.frombuffer(buffers[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    data = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
-    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of the distinct shingles, ascending."""
     starts, ends, text_of = R.word_bounds(R.lower_ascii(data), offsets)

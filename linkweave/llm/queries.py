@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.llm import bpe, exact_dedup, mixing, near_dedup, substring_dedup
+from linkweave.llm import bpe, exact_dedup, language_id, mixing, near_dedup, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.learn(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [f for name, f in sorted(globals().items()) if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in own}
