@@ -1,0 +1,2 @@
+"""Nothing here: the capabilities this engine covers are batch jobs. The functions of
+``linkweave.functions`` are plain Columns, so they apply to streaming DataFrames as they are."""
