@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from linkweave.llm import rolling as R
 from linkweave.llm.batches import slices, text_bytes
 from linkweave.llm.components import components
-from linkweave.llm.storage import materialise
+from linkweave.sources.storage import materialise
 
 SHINGLE = 5
 COORDINATES = 64
@@ -40,8 +40,8 @@ TREES = 10
 LAMBDA = 0.85
 NODE = 128
 DEPTH = 6
-#: Sketches that agree less are not looked at again; six standard deviations below the threshold.
-SKETCH_CUT = 0.58
+#: Sketches that agree so much less than the threshold are not looked at again: over five standard deviations.
+SKETCH_SLACK = 0.27
 BLOCK = 512
 #: Rows of 16 bytes: at most 16 MB go to every executor.
 BROADCAST_ROWS = 1 << 20
@@ -164,11 +164,11 @@ class Sets:
         return True
 
 
-def _forest(rows: DataFrame) -> DataFrame:
+def _forest(rows: DataFrame, threshold: float) -> DataFrame:
     """(node, class_id, sketch) of small nodes -> spanning edges of the pairs whose sketches are alike."""
 
     def run(batches):
-        need = int(np.ceil(SKETCH_CUT * COORDINATES))
+        need = int(np.ceil((threshold - SKETCH_SLACK) * COORDINATES))
         for group in runs(batches, 1):
             ids, matrix = group.column("class_id").to_numpy(), _matrix(group.column("sketch"))
             sets = Sets(len(ids))
@@ -184,7 +184,7 @@ def _forest(rows: DataFrame) -> DataFrame:
     return rows.select("node", "class_id", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long")
 
 
-def _candidates(reps: DataFrame, trees: int) -> DataFrame:
+def _candidates(reps: DataFrame, trees: int, threshold: float) -> DataFrame:
     """Edges whose components hold every pair that the trees bring together."""
     spark = reps.sparkSession
     node = reps.withColumn("node", F.explode(F.array(*[F.xxhash64(F.lit(f"tree-{t}")) for t in range(trees)])))
@@ -193,7 +193,7 @@ def _candidates(reps: DataFrame, trees: int) -> DataFrame:
     for depth in range(DEPTH):
         counts = materialise(rows.groupBy("node").count().filter("count > 1"), "counts")
         held = materialise(rows.join(counts, "node").select("node", "class_id", (F.col("count") > NODE).alias("large")), "held")
-        small = _forest(held.filter("not large").join(reps, "class_id"))
+        small = _forest(held.filter("not large").join(reps, "class_id"), threshold)
         edges = small if edges is None else edges.unionByName(small)
         large = held.filter("large")
         if large.isEmpty():
@@ -276,7 +276,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = materialise(solid.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id")), "classes")
     reps = solid.select("doc_id", "sketch").join(classes.select("class_id"), F.col("doc_id") == F.col("class_id")).select("class_id", "sketch").dropDuplicates(["class_id"])
     reps = materialise(reps, "reps", "uncompressed")
-    supers = components(_candidates(reps, trees))
+    supers = components(_candidates(reps, trees, least / most))
     sizes = materialise(supers.groupBy("label").count(), "sizes")
     members = supers.join(sizes, "label").select(F.col("label").alias("comp"), F.col("id").alias("class_id"), F.when(F.col("count") <= 2 * block, 0).otherwise(F.ceil(F.col("count") / block)).alias("blocks"))
     members = materialise(members.withColumn("block", F.when(F.col("blocks") > 0, F.pmod(F.xxhash64("class_id"), F.col("blocks"))).otherwise(0).cast("long")), "members")
