@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.llm import bpe, exact_dedup, language_id, mixing, near_dedup, substring_dedup, suffix_dedup, toxicity, warc
+from linkweave.llm import audio, bpe, exact_dedup, language_id, mixing, near_dedup, substring_dedup, suffix_dedup, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_audio_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds recordings, so every row of ``embeddings`` is rendered as one; queries are noisy
+    clips of the rows whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    clips = audio.render(vectors.filter("vec_id % 50 = 0"), "vec_id", "embedding", begin=0.3, end=0.9, noise=0.01)
+    return audio.search(audio.render(vectors, "vec_id", "embedding"), clips)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
