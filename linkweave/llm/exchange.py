@@ -23,7 +23,7 @@ from linkweave.sources.storage import materialise
 
 PACK_SCHEMA = "chunk long, n_bytes long, blob binary"
 MAIL_SCHEMA = "bucket long, chunk long, blob binary"
-PACK_BYTES = 4 << 20
+PACK_BYTES = 3 << 20
 
 
 def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> DataFrame:

@@ -39,6 +39,7 @@ from linkweave.sources.storage import materialise
 WINDOW = 200
 GRAM = 32
 HOT = 20_000
+PIECE_BYTES = 1 << 19
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -46,35 +47,48 @@ class Anchors:
     """Anchors of a chunk's windows, ordered by anchor hash and context hash."""
 
     def __init__(self, texts: X.Texts, window: int, gram: int):
-        data, offsets = texts.data, texts.offsets
         self.texts, self.window, self.left = texts, window, window - gram
-        self.prefix = R.prefix_hashes(data)
-        lengths = np.diff(offsets)
-        counts = np.maximum(lengths - window + 1, 0)
-        begin = np.repeat(offsets[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
-        self.starts = begin + np.arange(len(begin))
-        if not len(self.starts):
-            self.pos = self.first = self.last = self.order = np.zeros(0, np.int64)
-            self.anchor = self.context = np.zeros(0, np.uint64)
-            return
+        parts = [self._find(begin, end, gram) for begin, end in self._pieces()]
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)] * 2
+        order = np.lexsort((columns[6], columns[5]))
+        self.pos, self.first, self.last, self.low, self.high, self.anchor, self.context = (c[order] for c in columns)
+
+    def _pieces(self) -> list[tuple[int, int]]:
+        """Ranges of whole texts, so that the arrays over all positions stay small."""
+        out, begin, offsets = [], 0, self.texts.offsets
+        while begin < len(self.texts):
+            end = max(begin + 1, int(np.searchsorted(offsets, offsets[begin] + PIECE_BYTES, "right")) - 1)
+            out.append((begin, end))
+            begin = end
+        return out
+
+    def _find(self, begin: int, end: int, gram: int) -> tuple[np.ndarray, ...]:
+        """pos, first and last window, context's low and high, anchor hash, context hash."""
+        shift = int(self.texts.offsets[begin])
+        offsets = self.texts.offsets[begin : end + 1] - shift
+        data = self.texts.data[shift : shift + int(offsets[-1])]
+        counts = np.maximum(np.diff(offsets) - self.window + 1, 0)
+        if not counts.any():
+            return (*[np.zeros(0, np.int64)] * 5, *[np.zeros(0, np.uint64)] * 2)
+        prefix = R.prefix_hashes(data)
         at = np.arange(len(data) - gram + 1)
-        grams = R.window_hashes(self.prefix, at, at + gram)
-        keys = (grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
-        least = sliding_least(keys, self.left + 1)
-        chosen = (least[self.starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        text_of = np.repeat(np.arange(len(texts)), counts)
+        grams = R.window_hashes(prefix, at, at + gram)
+        least = sliding_least((grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64), self.left + 1)
+        starts = np.repeat(offsets[:-1] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        chosen = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         edge = np.ones(len(chosen), bool)
-        edge[1:] = (chosen[1:] != chosen[:-1]) | (text_of[1:] != text_of[:-1])
+        edge[1:] = chosen[1:] != chosen[:-1]  # windows of two texts never share an anchor
         first = np.flatnonzero(edge)
         last = np.concatenate([first[1:], [len(chosen)]]) - 1
         pos = chosen[first]
-        low = np.maximum(offsets[text_of[first]], pos - self.left)
-        high = np.minimum(offsets[text_of[first] + 1], pos + window)
-        context = R.mix(R.window_hashes(self.prefix, low, high) ^ R.mix((pos - low).astype(np.uint64)))
-        anchor = grams[pos]
-        order = np.lexsort((context, anchor))
-        self.pos, self.first, self.last = pos[order], self.starts[first[order]], self.starts[last[order]]
-        self.low, self.high, self.anchor, self.context = low[order], high[order], anchor[order], context[order]
+        text = np.searchsorted(offsets, pos, "right") - 1
+        low, high = np.maximum(offsets[text], pos - self.left), np.minimum(offsets[text + 1], pos + self.window)
+        context = R.mix(R.window_hashes(prefix, low, high) ^ R.mix((pos - low).astype(np.uint64)))
+        return pos + shift, starts[first] + shift, starts[last] + shift, low + shift, high + shift, grams[pos], context
+
+    def hashes(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the windows that begin at ``at``."""
+        return R.window_hashes(R.prefix_hashes(self.texts.data), at, at + self.window) if len(at) else np.zeros(0, np.uint64)
 
     def entries(self) -> tuple[np.ndarray, np.ndarray]:
         """Where distinct (anchor, context) pairs begin in the order, and how often each occurs."""
@@ -207,7 +221,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 at = begin[own]
                 out.append((bucket, X.join_blobs([b"c", X.squeeze((own - i).astype(np.uint32)), _pack_bytes(a.matrix(at)), X.planes((a.pos[at] - a.low[at]).astype(np.uint16)), X.planes((a.high[at] - a.pos[at]).astype(np.uint16)), X.planes((code[own] & 1).astype(np.uint8))])))
         at = windows_of(a, begin[code & 4 > 0])
-        keys = np.sort(R.window_hashes(a.prefix, at, at + window))
+        keys = np.sort(a.hashes(at))
         ends = [0, *X.bucket_edges(keys, buckets), len(keys)]
         out += [(bucket, X.join_blobs([b"w", X.squeeze(keys[i:j])])) for bucket, (i, j) in enumerate(zip(ends, ends[1:])) if j > i]
         return out
@@ -268,7 +282,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         named = [X.expand(rest[0]) for _, blob in answers for kind, *rest in [X.split_blobs(blob)] if kind == b"w"]
         if named:
             at = windows_of(a, begin[code & 4 > 0])
-            cover(at[R.member(R.window_hashes(a.prefix, at, at + window), np.sort(np.concatenate(named)))])
+            cover(at[R.member(a.hashes(at), np.sort(np.concatenate(named)))])
         return _result(texts, np.cumsum(covered[:-1]) > 0, keep_text)
 
     out = X.meet(packs, first.unionByName(second), work, RESULT_SCHEMA)
