@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkweave.llm.batches import tidy
 from linkweave.sources.storage import materialise
 
 RATE = 5512
@@ -146,7 +147,7 @@ def fingerprints(df: DataFrame, id_col: str, audio_col: str) -> DataFrame:
                 fps = [fingerprint(chroma(read_wav(raw.as_py()))).view(np.int32) for raw in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps, pa.list_(pa.int32()))], names=["id", "fp"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(audio_col).alias("audio")).mapInArrow(run, "id long, fp array<int>")
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(audio_col).alias("audio")).mapInArrow(tidy(run), "id long, fp array<int>")
 
 
 def classes(fps: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -206,7 +207,7 @@ def render(df: DataFrame, id_col: str, vector_col: str, begin: float = 0.0, end:
                     files.append(wav(sound + noise * random.standard_normal(len(sound)) if noise else sound))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(files, pa.binary())], names=["id", "audio"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")).mapInArrow(run, "id long, audio binary")
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")).mapInArrow(tidy(run), "id long, audio binary")
 
 
 def search(recordings: DataFrame, clips: DataFrame, id_col: str = "id", audio_col: str = "audio") -> DataFrame:

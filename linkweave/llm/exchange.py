@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.llm.batches import release, tidy
 from linkweave.sources.storage import materialise
 
 PACK_SCHEMA = "chunk long, n_bytes long, blob binary"
@@ -66,7 +67,7 @@ def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> Da
     slim = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         slim = materialise(slim, "rows", "zstd")
-    return slim.mapInArrow(run, PACK_SCHEMA)
+    return slim.mapInArrow(tidy(run), PACK_SCHEMA)
 
 
 def to_blob(table: pa.Table) -> bytes:
@@ -167,7 +168,7 @@ def send(packs: DataFrame, emit: Callable[[int, Texts], Iterator[tuple[int, byte
                 rows = list(emit(chunk, Texts(blob.as_py())))
                 yield mail([b for b, _ in rows], [chunk] * len(rows), [x for _, x in rows])
 
-    return packs.select("chunk", "blob").mapInArrow(run, MAIL_SCHEMA)
+    return packs.select("chunk", "blob").mapInArrow(tidy(run), MAIL_SCHEMA)
 
 
 def mail(buckets, chunks, blobs) -> pa.RecordBatch:
@@ -180,7 +181,9 @@ def answer(sent: DataFrame, reply: Callable[[list[int], list[bytes]], Iterator[t
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         rows = list(reply(table.column("chunk").to_pylist(), table.column("blob").to_pylist()))
-        return pa.Table.from_batches([mail([bucket] * len(rows), [c for c, _ in rows], [x for _, x in rows])])
+        out = pa.Table.from_batches([mail([bucket] * len(rows), [c for c, _ in rows], [x for _, x in rows])])
+        release()
+        return out
 
     return sent.groupBy("bucket").applyInArrow(run, MAIL_SCHEMA)
 
@@ -194,6 +197,7 @@ def send_after(packs: DataFrame, replies: DataFrame, emit: Callable[[Texts, list
         for chunk, blob in zip(left.column("chunk").to_pylist(), left.column("blob"), strict=True):
             rows = emit(Texts(blob.as_py()), answers)
             out.append(mail([b for b, _ in rows], [chunk] * len(rows), [x for _, x in rows]))
+        release()
         return pa.Table.from_batches(out)
 
     return packs.select("chunk", "blob").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, MAIL_SCHEMA)
@@ -205,6 +209,7 @@ def meet(packs: DataFrame, replies: DataFrame, work: Callable[[Texts, list[tuple
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         answers = list(zip(right.column("bucket").to_pylist(), right.column("blob").to_pylist(), strict=True))
         tables = [work(Texts(blob.as_py()), answers) for blob in left.column("blob")]
+        release()
         return pa.concat_tables(tables) if tables else empty
 
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import rolling as R
-from linkweave.llm.batches import slices, text_bytes
+from linkweave.llm.batches import slices, text_bytes, tidy
 
 SAMPLE = 8000
 SNIPPET = 240
@@ -179,7 +179,7 @@ def learn(df: DataFrame, held: int = 2, folds: int = 4, sample: int = SAMPLE, id
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()), part.column(2)], names=["id", "text", "lang"])
 
     texts = able.join(F.broadcast(chosen), able[id_col] == F.col("pick")).select(F.col("pick").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = sorted(texts.mapInArrow(cut, "id long, text binary, lang string").collect(), key=lambda r: (r.id, bytes(r.text)))
+    rows = sorted(texts.mapInArrow(tidy(cut), "id long, text binary, lang string").collect(), key=lambda r: (r.id, bytes(r.text)))
     return train([bytes(r.text) for r in rows], [r.lang for r in rows]) if rows else None
 
 
@@ -202,6 +202,6 @@ def predict(df: DataFrame, model: Model | None, held: int = 2, folds: int = 4, i
                     rejected = (best < model.threshold) | ~letters
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(name, pa.string()), pa.array(best, pa.float64()), pa.array(rejected)], names=["doc_id", "lang_pred", "score", "rejected"])
 
-    out = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
+    out = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, lang_pred string, score double, rejected boolean")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
     return out.select("doc_id", F.coalesce(fold == held, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")

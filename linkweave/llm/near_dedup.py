@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import rolling as R
-from linkweave.llm.batches import slices, text_bytes
+from linkweave.llm.batches import slices, text_bytes, tidy
 from linkweave.llm.components import components
 from linkweave.sources.storage import materialise
 
@@ -92,7 +92,7 @@ def _features(df: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame
                 rows = sketches(owner, values, len(part))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "n", "h1", "h2", "sketch"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sketch binary")
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, n long, h1 long, h2 long, sketch binary")
 
 
 def _matrix(column) -> np.ndarray:
@@ -118,7 +118,7 @@ def _branch(rows: DataFrame) -> DataFrame:
                 out_id.append(ids[chosen])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_node)), pa.array(np.concatenate(out_id))], names=["node", "class_id"])
 
-    return rows.select("node", "class_id", "sketch").mapInArrow(run, "node long, class_id long").distinct()
+    return rows.select("node", "class_id", "sketch").mapInArrow(tidy(run), "node long, class_id long").distinct()
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -181,7 +181,7 @@ def _forest(rows: DataFrame, threshold: float) -> DataFrame:
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.select("node", "class_id", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long")
+    return rows.select("node", "class_id", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(tidy(run), "a long, b long")
 
 
 def _candidates(reps: DataFrame, trees: int, threshold: float) -> DataFrame:
@@ -246,7 +246,7 @@ def _confirm(rows: DataFrame, size: int, least: int, most: int) -> DataFrame:
             np.minimum.at(label, root, ids)
             yield pa.RecordBatch.from_arrays([pa.array(table.column(0).combine_chunks().to_numpy()), pa.array(table.column(1).combine_chunks().to_numpy()), pa.array(ids), pa.array(label[root])], names=["comp", "block", "class_id", "label"])
 
-    return rows.select("comp", "block", "class_id", "text").repartition("comp", "block").sortWithinPartitions("comp", "block").mapInArrow(run, "comp long, block long, class_id long, label long")
+    return rows.select("comp", "block", "class_id", "text").repartition("comp", "block").sortWithinPartitions("comp", "block").mapInArrow(tidy(run), "comp long, block long, class_id long, label long")
 
 
 def _across(rows: DataFrame, size: int, least: int, most: int) -> DataFrame:
@@ -266,7 +266,7 @@ def _across(rows: DataFrame, size: int, least: int, most: int) -> DataFrame:
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.select("comp", "block", "part", "side", "class_id", "label", "text").repartition("comp", "block", "part").sortWithinPartitions("comp", "block", "part", "side").mapInArrow(run, "a long, b long")
+    return rows.select("comp", "block", "part", "side", "class_id", "label", "text").repartition("comp", "block", "part").sortWithinPartitions("comp", "block", "part", "side").mapInArrow(tidy(run), "a long, b long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 85, most: int = 100, size: int = SHINGLE, trees: int = TREES, block: int = BLOCK) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import rolling as R
-from linkweave.llm.batches import slices, text_bytes
+from linkweave.llm.batches import slices, text_bytes, tidy
 from linkweave.llm.near_dedup import shingles
 
 SAMPLE = 12_000
@@ -78,7 +78,7 @@ def count_trigrams(df: DataFrame, text_col: str = "text") -> DataFrame:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(total[found])], names=["gram", "n"])
 
-    return df.select(F.col(text_col).alias("text")).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return df.select(F.col(text_col).alias("text")).mapInArrow(tidy(run), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 @dataclasses.dataclass
@@ -218,7 +218,7 @@ def learn(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int = 3, sam
                     own = sorted(features(words_of(text or "", restore)))
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([part.column(1)[i].as_py()] * len(own), pa.int32()), pa.array([int(family[i].view(np.int64))] * len(own), pa.int64())], names=["feature", "toxic", "family"])
 
-    spelled = picked.mapInArrow(spell, "feature string, toxic int, family long").distinct()
+    spelled = picked.mapInArrow(tidy(spell), "feature string, toxic int, family long").distinct()
     counts = spelled.groupBy("feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).filter((F.col("bad") >= SUPPORT) & (F.col("bad") >= PRECISION * F.col("n")))
     odds = F.log(F.col("bad") / (F.col("n") - F.col("bad") + 1))
     lexicon = {r.feature: r.odds for r in counts.select("feature", odds.alias("odds")).orderBy(F.desc("odds"), "feature").limit(FEATURES).collect()}
@@ -238,7 +238,7 @@ def calibrate(model: Model, picked: DataFrame, shared) -> Model:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([plain.score(words_of(t or "", restore)) for t in batch.column(2).to_pylist()], pa.float64())], names=["toxic", "score"])
 
-    rows = picked.mapInArrow(run, "toxic int, score double").collect()
+    rows = picked.mapInArrow(tidy(run), "toxic int, score double").collect()
     y = np.array([r.toxic for r in rows], float)
     p = np.clip([r.score for r in rows], 1e-9, 1 - 1e-9)
     x = np.log(p / (1 - p))
@@ -265,7 +265,7 @@ def score(docs: DataFrame, model: Model, held: int = 1, folds: int = 3, threshol
                 scores = [model.score(words_of(t or "", restore)) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, score double")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
     return out.select("doc_id", F.coalesce(fold == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -283,4 +283,4 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
                 fine = [model.score(words_of(t or "", restore)) < threshold for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(fine, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

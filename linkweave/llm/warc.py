@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.batches import slices
+from linkweave.llm.batches import slices, tidy
 from linkweave.sources.storage import fresh_path, materialise
 
 BLOCK_LINES = 2000
@@ -157,7 +157,7 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = keyed.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id")
-    return materialise(ordered.mapInArrow(run, DIRECTORY_SCHEMA), "directory")
+    return materialise(ordered.mapInArrow(tidy(run), DIRECTORY_SCHEMA), "directory")
 
 
 def _lines(files, root: str, at: int, size: int) -> list[list[str]]:
@@ -186,7 +186,7 @@ def read_archives(directory: DataFrame) -> DataFrame:
                         yield _records(found)
 
     blocks = max(1, int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return directory.repartition(blocks).mapInArrow(run, RECORD_SCHEMA)
+    return directory.repartition(blocks).mapInArrow(tidy(run), RECORD_SCHEMA)
 
 
 def look_up(directory: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
@@ -222,7 +222,7 @@ def look_up(directory: DataFrame, urls: DataFrame, url_col: str = "url") -> Data
                             yield fetch(blocks[i][1], [(int(x[1]), int(x[2])) for x in lines[a:b]])
                         i += 1
 
-        return keys.mapInArrow(search, RECORD_SCHEMA)
+        return keys.mapInArrow(tidy(search), RECORD_SCHEMA)
 
     def index_lines(batches):
         for batch in batches:
@@ -235,8 +235,8 @@ def look_up(directory: DataFrame, urls: DataFrame, url_col: str = "url") -> Data
             for row in batch.to_pylist():
                 yield fetch(row["archive"], [(row["at"], row["size"])])
 
-    hits = directory.mapInArrow(index_lines, "key string, archive string, at long, size long").join(keys, "key", "left_semi")
-    return hits.sort("archive", "at").mapInArrow(read, RECORD_SCHEMA)
+    hits = directory.mapInArrow(tidy(index_lines), "key string, archive string, at long, size long").join(keys, "key", "left_semi")
+    return hits.sort("archive", "at").mapInArrow(tidy(read), RECORD_SCHEMA)
 
 
 def round_trip(df: DataFrame) -> DataFrame:
