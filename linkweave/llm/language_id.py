@@ -33,6 +33,8 @@ ROWS = 1 << 16
 DIMENSION = 16
 GRAMS = (2, 3, 4)
 EPOCHS = 4
+#: A small sample is gone through more often, for so many steps.
+STEPS = 300
 BATCH = 128
 #: The share of accepted texts of the held-back part that may be wrong.
 ERROR = 0.005
@@ -93,8 +95,10 @@ def train(texts: list[bytes], languages: list[str], seed: int = 1) -> Model:
     weight = random.normal(0, 0.1, (DIMENSION, len(names))).astype(np.float32)
     bias = np.zeros(len(names), np.float32)
     learn = np.flatnonzero(~held_of)
-    steps, step = max(1, EPOCHS * (len(learn) // BATCH + 1)), 0
-    for _ in range(EPOCHS if len(names) > 1 else 0):
+    turn = len(learn) // BATCH + 1
+    epochs = max(EPOCHS, -(-STEPS // turn)) if len(names) > 1 else 0
+    steps, step = max(1, epochs * turn), 0
+    for _ in range(epochs):
         random.shuffle(learn)
         for begin in range(0, len(learn), BATCH):
             chosen = learn[begin : begin + BATCH]

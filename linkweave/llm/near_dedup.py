@@ -304,7 +304,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             links = links.unionByName(_across(first.unionByName(second), size, least, most))
         final = components(links)
     else:
-        final = links.select(F.col("a").alias("id"), F.col("b").alias("label"))
+        final = links.select(F.col("a").alias("id"), F.col("b").alias("label")).distinct()  # rows may repeat
     named = classes.join(final.withColumnRenamed("id", "i"), F.col("class_id") == F.col("i"), "left").select(F.col("n").alias("n_"), F.col("h1").alias("h1_"), F.col("h2").alias("h2_"), "class_id", "label")
     rows = found.select("doc_id", "n", "h1", "h2")
     out = rows.join(named, (F.col("n") == F.col("n_")) & (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_")), "left")
