@@ -6,8 +6,9 @@ has; only for rows that survive both is the whole text hashed. Up to ``broadcast
 (8 bytes each) are sent to the scan, so that no other text is hashed; beyond that bound the hash is
 taken in the scan and joined by id, so that texts are never shuffled in either case.
 
-Groups are only ever counted by partial aggregation; the joins that hand a group's result back to its
-rows have one row per key on the other side, so adaptive execution can split a hot key's rows.
+Groups are only ever counted by partial aggregation. The counts are written before they are joined back
+to the rows: the other side of each join then has one row per key and no aggregation of its own in the
+join's stage, so adaptive execution can split a hot key's rows.
 
 Defined results: null text counts as empty; texts are equal when identical after lower-casing A-Z;
 of equal texts the largest id stays; a repeated row (same id, same text) counts in ``group_size`` and
@@ -37,9 +38,9 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     """One row per row that has an equal other: id, keep_id, group_size."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     light = df.select(F.col(id_col).alias("id"), F.octet_length(text).alias("size"), F.xxhash64(normalised(F.substring(text, 1, prefix_chars))).alias("head"))
-    same_size = light.groupBy("size").count().filter("count > 1").select("size")
+    same_size = materialise(light.groupBy("size").count().filter("count > 1").select("size"), "sizes")
     second = light.join(same_size, "size", "left_semi").select("id", F.xxhash64("size", "head").alias("key"))
-    same_head = second.groupBy("key").count().filter("count > 1").select("key")
+    same_head = materialise(second.groupBy("key").count().filter("count > 1").select("key"), "heads")
     survivors = materialise(second.join(same_head, "key", "left_semi").select("id").distinct(), "survivors")
     full = F.sha2(normalised(F.col(text_col)).cast("binary"), 256)
     if survivors.count() <= broadcast_rows:
@@ -47,7 +48,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     else:
         whole = df.select(F.col(id_col).alias("id"), full.alias("full"))
         hashed = whole.join(survivors.withColumnRenamed("id", "survivor"), F.col("id").eqNullSafe(F.col("survivor")), "left_semi")
-    groups = hashed.groupBy("full").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1")
+    groups = materialise(hashed.groupBy("full").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"), "groups")
     return hashed.join(groups, "full").select("id", "keep_id", "group_size")
 
 
