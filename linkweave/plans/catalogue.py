@@ -91,7 +91,8 @@ def all_s1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, 6) for n in names})
+    """Six digits; adding zero turns a negative zero into the other one."""
+    return df.withColumns({n: F.round(n, 6) + F.lit(0.0) for n in names})
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

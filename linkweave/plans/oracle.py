@@ -201,10 +201,10 @@ def all_sql() -> dict[str, str]:
         "feat_jaro_winkler": f"{full} " + _ATTACHED.format("round(CASE WHEN a.name_canonical = '' AND b.name_canonical = '' THEN 1.0 ELSE jaro_winkler_similarity(a.name_canonical, b.name_canonical) END, 6) AS feat_name_jaro_winkler"),
         "feat_match_flags": f"{full} " + _ATTACHED.format("CAST(a.addr_pincode <> '' AND a.addr_pincode = b.addr_pincode AS INT) AS feat_pincode_match, CAST(coalesce(a.country = b.country, false) AS INT) AS feat_country_match"),
         "ctx_count": _CTX.format(f"count(l_linenumber) OVER {_ORDER} AS _grp_candidate_count"),
-        "ctx_diff_max": _CTX.format(f"round(l_quantity - max(l_quantity) OVER {_ORDER}, 6) AS _grp_quantity_diff_max"),
-        "ctx_zscore": _CTX.format(f"round((l_quantity - avg(l_quantity) OVER {_ORDER}) / (coalesce(stddev_samp(l_quantity) OVER {_ORDER}, 0) + 1e-5), 6) AS _grp_quantity_zscore"),
+        "ctx_diff_max": _CTX.format(f"round(l_quantity - max(l_quantity) OVER {_ORDER}, 6) + 0.0 AS _grp_quantity_diff_max"),
+        "ctx_zscore": _CTX.format(f"round((l_quantity - avg(l_quantity) OVER {_ORDER}) / (coalesce(stddev_samp(l_quantity) OVER {_ORDER}, 0) + 1e-5), 6) + 0.0 AS _grp_quantity_zscore"),
         "ctx_pct_rank": _CTX.format(f"round({_RANK}, 6) AS _grp_quantity_pct_rank"),
-        "ctx_candidates": f"{full}, r AS (SELECT source1_entity_id, candidate_entity_id, round(score, 6) AS score FROM top) SELECT source1_entity_id, candidate_entity_id, score, count(*) OVER g AS _grp_candidate_count, round(score - max(score) OVER g, 6) AS _grp_score_diff_max, round((score - avg(score) OVER g) / (coalesce(stddev_samp(score) OVER g, 0) + 1e-5), 6) AS _grp_score_zscore, round((rank() OVER (PARTITION BY source1_entity_id ORDER BY score) + (count(*) OVER (PARTITION BY source1_entity_id, score) - 1) / 2.0) / count(*) OVER g, 6) AS _grp_score_pct_rank FROM r WINDOW g AS (PARTITION BY source1_entity_id)",
+        "ctx_candidates": f"{full}, r AS (SELECT source1_entity_id, candidate_entity_id, round(score, 6) AS score FROM top) SELECT source1_entity_id, candidate_entity_id, score, count(*) OVER g AS _grp_candidate_count, round(score - max(score) OVER g, 6) + 0.0 AS _grp_score_diff_max, round((score - avg(score) OVER g) / (coalesce(stddev_samp(score) OVER g, 0) + 1e-5), 6) + 0.0 AS _grp_score_zscore, round((rank() OVER (PARTITION BY source1_entity_id ORDER BY score) + (count(*) OVER (PARTITION BY source1_entity_id, score) - 1) / 2.0) / count(*) OVER g, 6) AS _grp_score_pct_rank FROM r WINDOW g AS (PARTITION BY source1_entity_id)",
         "attach_labels": f"{full} SELECT t.source1_entity_id, t.candidate_entity_id, CAST(EXISTS (SELECT 1 FROM truth x WHERE x.source1_entity_id = t.source1_entity_id AND x.candidate_entity_id = t.candidate_entity_id) AS INT) AS label FROM top t",
         "separation_report": f"{full}, j AS ({_JACCARDS}), l AS (SELECT j.*, t.candidate_entity_id IS NOT NULL AS y FROM j LEFT JOIN truth t ON t.source1_entity_id = j.source1_entity_id AND t.candidate_entity_id = j.candidate_entity_id) SELECT 'feat_name_jaccard' AS feature, round(avg(feat_name_jaccard) FILTER (WHERE NOT y), 6) AS mean_negative, round(avg(feat_name_jaccard) FILTER (WHERE y), 6) AS mean_positive FROM l UNION ALL SELECT 'feat_addr_jaccard', round(avg(feat_addr_jaccard) FILTER (WHERE NOT y), 6), round(avg(feat_addr_jaccard) FILTER (WHERE y), 6) FROM l",
         "class_weight": "SELECT CAST(sum(toxic) AS BIGINT) AS n_pos, count(*) AS n_rows, round(least(greatest(sqrt((count(*) - greatest(sum(toxic), 1)) / greatest(sum(toxic), 1)), 1.0), 10.0), 6) AS scale_pos FROM labels",
