@@ -25,9 +25,11 @@ SIGNALS = ("name_prefix", "name_char_prefix", "name_token", "addr_pincode", "add
 
 
 def keys_within(df: DataFrame, keys: list[str], cap: int) -> DataFrame:
-    """Rows whose key occurs at most ``cap`` times in ``df``."""
-    small = df.groupBy(*keys).count().filter(F.col("count") <= cap).select(*keys)
-    return df.join(small, keys, "left_semi")
+    """Rows whose key occurs at most ``cap`` times in ``df``. The few keys beyond the cap are taken out by an
+    anti-join: they are at most one in ``cap`` rows, so adaptive execution can send them to the scan and
+    a hot key's rows are dropped there instead of being shuffled to one task."""
+    over = df.groupBy(*keys).count().filter(F.col("count") > cap).select(*keys)
+    return df.join(over, keys, "left_anti")
 
 
 def shared_keys(left: DataFrame, right: DataFrame, keys: list[str], cap: int) -> DataFrame:
@@ -60,9 +62,11 @@ def token_frequency(index: DataFrame) -> DataFrame:
 def rarest_tokens(df: DataFrame, tokens: str, k: int, cap: int = CAP) -> DataFrame:
     """The ``k`` rarest tokens of each entity among those that at most ``cap`` entities have; ties by token."""
     index = explode_tokens(df, "entity_id", tokens, "source", "country")
+    keys = ["source", "country", "token"]
     rare = token_frequency(index).filter(F.col("freq") <= cap)
     order = Window.partitionBy("entity_id").orderBy("freq", "token")
-    ranked = index.join(rare, ["source", "country", "token"]).withColumn("rn", F.row_number().over(order))
+    # what is left to join has at most ``cap`` rows per token
+    ranked = keys_within(index, keys, cap).join(rare, keys).withColumn("rn", F.row_number().over(order))
     return ranked.filter(F.col("rn") <= k).select("entity_id", "source", "country", "token", "freq")
 
 
