@@ -37,3 +37,29 @@ def build_zip(target: str, code_dir: str, outputs: dict[str, str], required: tup
         for name, path in outputs.items():
             archive.write(path, name)
     return target
+
+
+def main(argv: list[str] | None = None) -> int:
+    import argparse
+
+    parser = argparse.ArgumentParser(prog="linkweave-package", description="Zip code and outputs")
+    parser.add_argument("target")
+    parser.add_argument("--code-dir", default=".")
+    parser.add_argument("--matching", default="output/matching_results.tsv")
+    parser.add_argument("--candidates", default="output/candidate_pairs.tsv")
+    parser.add_argument("--test-dir", help="validate against this split first")
+    args = parser.parse_args(argv)
+    check = None
+    if args.test_dir:
+        from pyspark.sql import SparkSession
+
+        from linkweave.operators.validate import check_outputs
+
+        spark = SparkSession.builder.appName("linkweave-package").getOrCreate()
+        check = lambda: check_outputs(spark, args.matching, args.candidates, args.test_dir)
+    print(build_zip(args.target, args.code_dir, {"output/matching_results.tsv": args.matching, "output/candidate_pairs.tsv": args.candidates}, check=check))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -95,9 +95,24 @@ def check_prefixes(pairs: DataFrame, column: str, prefixes: tuple[str, ...] = ("
         raise ValueError(f"{column}: ids without prefix {prefixes}: {[r[0] for r in wrong]}")
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Empty strings are written as nothing between tabs."""
-    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("nullValue", "").option("escape", '"').csv(path)
+def write_tsv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Empty strings are written as nothing between tabs.
+
+    The default is a folder of part files. ``single_file`` gives one file sorted by its first column, as
+    the submission format asks for: the last step is one task then, the work before it is not."""
+    target = path
+    if single_file:
+        df, target = df.repartition(1).sortWithinPartitions(df.columns[0]), f"{path}.parts"
+    df.write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("nullValue", "").option("escape", '"').csv(target)
+    if single_file:
+        spark = df.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        parts, final = hadoop.Path(target), hadoop.Path(path)
+        files = parts.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(final, True)
+        (part,) = files.globStatus(hadoop.Path(f"{target}/part-*"))
+        files.rename(part.getPath(), final)
+        files.delete(parts, True)
 
 
 def grouped_output(s1: DataFrame, pairs: DataFrame, ids_col: str) -> DataFrame:
@@ -109,11 +124,11 @@ def grouped_output(s1: DataFrame, pairs: DataFrame, ids_col: str) -> DataFrame:
     return one_row_each(ids, group_ids(pairs, "source1_entity_id", "candidate_entity_id", ids_col), "source1_entity_id", ids_col)
 
 
-def write_candidates(s1: DataFrame, pairs: DataFrame, path: str) -> None:
+def write_candidates(s1: DataFrame, pairs: DataFrame, path: str, single_file: bool = False) -> None:
     check_prefixes(pairs, "candidate_entity_id")
-    write_tsv(grouped_output(s1, pairs, "candidate_entity_ids"), path)
+    write_tsv(grouped_output(s1, pairs, "candidate_entity_ids"), path, single_file)
 
 
-def write_matches(s1: DataFrame, pairs: DataFrame, path: str) -> None:
+def write_matches(s1: DataFrame, pairs: DataFrame, path: str, single_file: bool = False) -> None:
     check_prefixes(pairs, "candidate_entity_id")
-    write_tsv(grouped_output(s1, pairs, "matched_entity_ids"), path)
+    write_tsv(grouped_output(s1, pairs, "matched_entity_ids"), path, single_file)

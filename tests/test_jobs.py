@@ -34,6 +34,8 @@ def test_empty_lists_are_empty_fields(spark, tmp_path):
     T.write_matches(s1, pairs, str(tmp_path / "out"))
     lines = sorted({line for p in (tmp_path / "out").glob("part-*") for line in p.read_text().splitlines()})
     assert lines == ["S1-1\tS2-1,S3-1", "S1-2\t", "source1_entity_id\tmatched_entity_ids"]
+    T.write_matches(s1, pairs, str(tmp_path / "one.tsv"), single_file=True)
+    assert (tmp_path / "one.tsv").read_text() == "source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1,S3-1\nS1-2\t\n"
     with pytest.raises(ValueError, match="prefix"):
         T.write_matches(s1, pairs.selectExpr("source1_entity_id", "'S1-9' AS candidate_entity_id"), str(tmp_path / "bad"))
 
@@ -100,7 +102,11 @@ def test_train_and_predict(spark, tmp_path):
     summary = pipeline.run_pipeline(spark, config)
     assert summary["n_s1"] == 60 and summary["n_matches"] > 20
     errors, _ = V.check_outputs(spark, config.matches, config.candidates, config.test_dir, check_ids=True)
-    assert errors == []
+    assert errors == [] and (tmp_path / "out/matching_results.tsv").is_file()
+    pipeline.run_blocking(spark, config.train_dir, "train", str(tmp_path / "blocked.tsv"), limit=5, config=config)
+    assert len((tmp_path / "blocked.tsv").read_text().splitlines()) == 6
+    report = pipeline.recall_report(spark, config.test_dir, "test", config.candidates, f"{config.train_dir}/train_ground_truth.tsv")
+    assert report["true_pairs"] == 40 and report["pair_recall"] > 0.9
     with pytest.raises(T.SourceError, match="train first"):
         pipeline.run_pipeline(spark, pipeline.Config(config.train_dir, config.test_dir, str(tmp_path / "other")))
 
@@ -115,3 +121,24 @@ def test_zip(tmp_path):
         packaging.build_zip(str(tmp_path / "y.zip"), str(tmp_path / "code"), {}, ("requirements.txt",))
     with pytest.raises(packaging.PackagingError, match="broken"):
         packaging.build_zip(str(tmp_path / "y.zip"), str(tmp_path / "code"), {}, check=lambda: (["broken"], []))
+
+
+def test_api_with_own_column_names(spark):
+    from linkweave.plans import api
+
+    names = {"entity_id": "key", "business_name": "firm", "business_address": "place", "country": "land"}
+    make = lambda *rows: spark.createDataFrame(rows, "key string, firm string, place string, land string")
+    s1 = make(("S1-1", "Größe & Söhne GmbH", "1 Oak St 12345", "DE"))
+    s2 = make(("S2-1", "Grosse and Sohne", "1 Oak Street 12345", "DE"), ("S2-2", None, None, None))
+    s3 = make(("S3-1", "Other", "2 Elm St 54321", "DE"))
+    pairs = api.generate_candidates(s1, s2, s3, columns=names)
+    assert [tuple(r)[:3] for r in pairs.collect()] == [("S1-1", "S2-1", "name_prefix")]
+    row = api.build_features(pairs.withColumnRenamed("source1_entity_id", "s1_id"), s1, s2, s3, columns=names).first()
+    assert row.feat_name_jaccard == 1.0 and row.feat_pincode_match == 1 and row.feat_addr_levenshtein == 1.0
+
+
+def test_package_command(tmp_path, monkeypatch, capsys):
+    write(tmp_path / "code/a.py", "1")
+    m, c = write(tmp_path / "m.tsv", "x"), write(tmp_path / "c.tsv", "x")
+    assert packaging.main([str(tmp_path / "z.zip"), "--code-dir", str(tmp_path / "code"), "--matching", m, "--candidates", c]) == 0
+    assert "z.zip" in capsys.readouterr().out
