@@ -68,7 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": MIXING_SQL, "op4_minhash_near_dedup": NEAR_DEDUP_SQL, "op9_exact_dedup": EXACT_DEDUP_SQL}
+    return {"op1_substring_dedup": SUBSTRING_SQL, "op5_warc": WARC_SQL, "op3_mixing": MIXING_SQL, "op4_minhash_near_dedup": NEAR_DEDUP_SQL, "op9_exact_dedup": EXACT_DEDUP_SQL}
 
 
 EXACT_DEDUP_SQL = """
@@ -115,3 +115,25 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low.lo
        d.doc_id = least(d.doc_id, coalesce(low.low, d.doc_id)) AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.a = d.doc_id
 """
+
+SUBSTRING_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i+12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w)),
+low AS (SELECT s, min(doc_id) AS low FROM win GROUP BY s),
+hit AS (SELECT win.doc_id, win.i FROM win JOIN low ON win.s = low.s WHERE low.low < win.doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM hit CROSS JOIN range(13) r(k)),
+pos AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM w),
+kept AS (SELECT pos.doc_id, string_agg(pos.word, ' ' ORDER BY pos.p) AS kept FROM pos LEFT JOIN gone ON gone.doc_id = pos.doc_id AND gone.p = pos.p WHERE gone.p IS NULL GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(n.n, 0) AS n_removed, sha256(coalesce(kept.kept, '')) AS kept_sha256
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper FROM pages),
+g AS (SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT)) AS fives FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((fives[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN keeper = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN keeper = page_id THEN NULL ELSE keeper END AS refers_to
+FROM g
+"""
