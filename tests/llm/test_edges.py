@@ -305,3 +305,27 @@ def test_squeezed_arrays_come_back():
         assert (exchange.expand(exchange.squeeze(values), kind) == values).all()
         assert (exchange.unplanes(exchange.planes(values), kind) == values).all()
     assert len(exchange.expand(exchange.squeeze(np.zeros(0, np.uint64)))) == 0
+
+
+def test_packs_and_buckets_grow_with_the_input(spark):
+    from pyspark.sql import functions as F
+
+    small = frame(spark, "x" * 100)
+    assert exchange.plan(small, "text") == (exchange.PACK_BYTES, 4)
+    assert exchange.plan(small, "text", 10) == (10, 4 + 100 // 80)
+    assert exchange.plan(small.limit(0), "text") == (exchange.PACK_BYTES, 4)
+    assert exchange.plan(small.select(F.lit(None).cast("string").alias("text")), "text") == (exchange.PACK_BYTES, 4)
+
+
+def test_rows_from_a_shuffle_are_written_first(spark):
+    shuffled = frame(spark, *WORDS).repartition(3)
+    assert "Exchange" not in exchange.pack(shuffled, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_components_of_a_chain_a_star_and_repeats(spark):
+    from linkweave.llm.components import components
+
+    edges = [(i + 1, i) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (3, 2), (2, 3)]
+    got = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
+    assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
