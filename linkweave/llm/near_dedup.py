@@ -42,7 +42,10 @@ NODE = 128
 DEPTH = 6
 #: Sketches that agree so much less than the threshold are not looked at again: over five standard deviations.
 SKETCH_SLACK = 0.27
+#: Documents, and shingles, of a component that are compared in one task.
 BLOCK = 512
+BLOCK_SHINGLES = 300_000
+PIECE_BYTES = 1 << 19
 #: Rows of 16 bytes: at most 16 MB go to every executor.
 BROADCAST_ROWS = 1 << 20
 _FACTORS = np.random.default_rng(85).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -211,10 +214,15 @@ class _Group:
     """Shingle sets of a group's texts as codes, for exact intersections of one with all."""
 
     def __init__(self, texts: pa.ChunkedArray, size: int):
-        column = texts.combine_chunks()
-        owner, values = shingles(*text_bytes(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column), size)
-        self.n = np.bincount(owner, minlength=len(texts))
-        every, self.code = np.unique(values, return_inverse=True)
+        counts, parts = [], []
+        for chunk in texts.chunks:
+            for part in slices(pa.RecordBatch.from_arrays([chunk], names=["text"]), 0, PIECE_BYTES):
+                owner, values = shingles(*text_bytes(part.column(0)), size)
+                counts.append(np.bincount(owner, minlength=len(part)))
+                parts.append(values)
+        self.n = np.concatenate(counts)
+        every, code = np.unique(np.concatenate(parts), return_inverse=True)
+        self.code = code.astype(np.int32)
         self.mark = np.zeros(len(every), bool)
         self.edge = np.concatenate([[0], np.cumsum(self.n)])
 
@@ -277,12 +285,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     reps = solid.select("doc_id", "sketch").join(classes.select("class_id"), F.col("doc_id") == F.col("class_id")).select("class_id", "sketch").dropDuplicates(["class_id"])
     reps = materialise(reps, "reps", "uncompressed")
     supers = components(_candidates(reps, trees, least / most))
-    sizes = materialise(supers.groupBy("label").count(), "sizes")
-    members = supers.join(sizes, "label").select(F.col("label").alias("comp"), F.col("id").alias("class_id"), F.when(F.col("count") <= 2 * block, 0).otherwise(F.ceil(F.col("count") / block)).alias("blocks"))
+    supers = materialise(supers.join(classes.select("class_id", "n"), F.col("id") == F.col("class_id")).select("label", "class_id", "n"), "supers")
+    sizes = materialise(supers.groupBy("label").agg(F.count("*").alias("count"), F.sum("n").alias("total")), "sizes")
+    share = F.greatest(F.col("count") / block, F.col("total") / BLOCK_SHINGLES)
+    members = supers.join(sizes, "label").select(F.col("label").alias("comp"), "class_id", "n", F.when(share <= 2, 0).otherwise(F.ceil(share)).alias("blocks"))
     members = materialise(members.withColumn("block", F.when(F.col("blocks") > 0, F.pmod(F.xxhash64("class_id"), F.col("blocks"))).otherwise(0).cast("long")), "members")
     small = members.count() <= BROADCAST_ROWS
     texts = df.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).alias("text"))
-    texts = texts.join(F.broadcast(members) if small else members, "class_id")
+    texts = texts.join(F.broadcast(members) if small else members, "class_id").drop("n")
     # the leader of a large component goes to each of its blocks
     here = F.when((F.col("blocks") > 0) & (F.col("class_id") == F.col("comp")), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))
     spread = texts.withColumn("home", F.col("block")).withColumn("block", F.explode(here))
@@ -291,10 +301,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     large = members.filter("blocks > 0")
     if not large.isEmpty():
         # in a large component the leader has the smallest id, so what is linked to it has its label
-        off = local.filter("label <> comp").join(large.select("class_id", "blocks"), "class_id").select("class_id", "comp", "label", "blocks")
+        off = local.filter("label <> comp").join(large.select("class_id", "n"), "class_id").select("class_id", "comp", "label", "n")
         off = materialise(off, "open")
         if not off.isEmpty():
-            parts = off.groupBy(F.col("comp").alias("c")).agg(F.ceil(F.count("*") / block).alias("parts"))
+            parts = off.groupBy(F.col("comp").alias("c")).agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
             body = texts.filter("blocks > 0")
             label_of = local.select(F.col("class_id").alias("i"), "label").distinct()
             to_blocks = body.join(off.select("class_id", "label", F.col("comp").alias("of")).join(parts, F.col("of") == F.col("c")), "class_id").withColumn("part", F.pmod(F.xxhash64("class_id", F.lit(1)), F.col("parts"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
