@@ -151,10 +151,10 @@ def _by_bucket(texts: X.Texts, pattern: str, buckets: int) -> tuple[list[list[st
     return tokens, mine
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_payload: bool = False, pack_bytes: int = X.PACK_BYTES) -> DataFrame:
+def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_payload: bool = False, pack_bytes: int | None = None) -> DataFrame:
     """One row per document: number of ids, digests, and with ``keep_payload`` ids (little-endian u32) and decoded bytes."""
+    pack_bytes, buckets = X.plan(df, text_col, pack_bytes)
     packs = X.pack(df, id_col, text_col, pack_bytes)
-    buckets = X.bucket_count(df, text_col, pack_bytes)
 
     def emit(chunk, texts):
         for bucket, words in enumerate(_by_bucket(texts, pattern, buckets)[1]):

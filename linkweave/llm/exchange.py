@@ -25,6 +25,7 @@ from linkweave.sources.storage import materialise
 PACK_SCHEMA = "chunk long, n_bytes long, blob binary"
 MAIL_SCHEMA = "bucket long, chunk long, blob binary"
 PACK_BYTES = 3 << 20
+CHUNKS_PER_BUCKET = 8
 
 
 def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> DataFrame:
@@ -219,7 +220,18 @@ def meet(packs: DataFrame, replies: DataFrame, work: Callable[[Texts, list[tuple
     return packs.select("chunk", "blob").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def bucket_count(df: DataFrame, text: str, pack_bytes: int = PACK_BYTES) -> int:
-    """Buckets in proportion to the input: about one for each chunk."""
+def plan(df: DataFrame, text: str, pack_bytes: int | None = None) -> tuple[int, int]:
+    """(bytes of text in a pack, number of buckets) for an input.
+
+    Chunks times buckets is the number of blobs, so both sizes grow with the input, from ``PACK_BYTES``
+    to what an executor holds: a chunk takes some hundred times its size while it is worked on. A bucket
+    serves ``CHUNKS_PER_BUCKET`` chunks' worth of text. Tests give ``pack_bytes``.
+    """
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return 4 + size // pack_bytes
+    if pack_bytes is None:
+        memory = df.sparkSession.sparkContext.getConf().get("spark.executor.memory", "1g").lower()
+        units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+        unit = units.get(memory.rstrip("b")[-1:], 1)
+        most = int(float(memory.rstrip("bkmgt"))) * unit // 600
+        pack_bytes = max(PACK_BYTES, min(size // 20_000, most))
+    return pack_bytes, 4 + size // (CHUNKS_PER_BUCKET * pack_bytes)

@@ -88,10 +88,10 @@ def _least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return every, least, back
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = False, pack_bytes: int = X.PACK_BYTES) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = False, pack_bytes: int | None = None) -> DataFrame:
     """One row per document: words, removed words, digest of what is kept; with ``keep_text`` the kept text."""
+    pack_bytes, buckets = X.plan(df, text_col, pack_bytes)
     packs = X.pack(df, id_col, text_col, pack_bytes)
-    buckets = X.bucket_count(df, text_col, pack_bytes)
 
     def emit_anchors(chunk, texts):
         words = Words(texts, window)

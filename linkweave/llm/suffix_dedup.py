@@ -150,10 +150,10 @@ def _pack_bytes(matrix: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(matrix.tobytes())
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT, keep_text: bool = False, pack_bytes: int = X.PACK_BYTES) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT, keep_text: bool = False, pack_bytes: int | None = None) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, digest of the rest; with ``keep_text`` the rest."""
+    pack_bytes, buckets = X.plan(df, text_col, pack_bytes)
     packs = X.pack(df, id_col, text_col, pack_bytes)
-    buckets = X.bucket_count(df, text_col, pack_bytes)
     before = window - gram
     width = before + window
 
