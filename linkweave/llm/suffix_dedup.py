@@ -40,6 +40,8 @@ WINDOW = 200
 GRAM = 32
 HOT = 20_000
 PIECE_BYTES = 1 << 19
+#: Contexts that are ordered together; an anchor's are never parted.
+PART = 4096
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -84,7 +86,8 @@ class Anchors:
         text = np.searchsorted(offsets, pos, "right") - 1
         low, high = np.maximum(offsets[text], pos - self.left), np.minimum(offsets[text + 1], pos + self.window)
         context = R.mix(R.window_hashes(prefix, low, high) ^ R.mix((pos - low).astype(np.uint64)))
-        return pos + shift, starts[first] + shift, starts[last] + shift, low + shift, high + shift, grams[pos], context
+        # anchors are least hashes and lie at the low end of the key space; mixed again they fill it evenly
+        return pos + shift, starts[first] + shift, starts[last] + shift, low + shift, high + shift, R.mix(grams[pos]), context
 
     def hashes(self, at: np.ndarray) -> np.ndarray:
         """Hashes of the windows that begin at ``at``."""
@@ -146,6 +149,23 @@ def repeated_columns(contexts: np.ndarray, left: np.ndarray, right: np.ndarray,
     return out
 
 
+def by_anchor(contexts: np.ndarray, left: np.ndarray, right: np.ndarray, before: int, window: int, gram: int) -> np.ndarray:
+    """``repeated_columns`` of a bucket, some anchors at a time: only contexts with one anchor can match."""
+    key = np.zeros(len(contexts), np.uint64)
+    for column in range(before, before + gram):
+        key = key * np.uint64(0x100000001B3) + contexts[:, column]
+    order = np.argsort(key, kind="stable")
+    ends = np.flatnonzero(np.concatenate([key[order][1:] != key[order][:-1], [True]])) + 1
+    out, begin = np.zeros((len(contexts), before + 1), bool), 0
+    while begin < len(order):
+        # up to PART contexts, or all of one anchor
+        at = max(int(np.searchsorted(ends, begin, "right")), int(np.searchsorted(ends, begin + PART, "right")) - 1)
+        part = order[begin : ends[at]]
+        out[part] = repeated_columns(contexts[part], left[part], right[part], before, window)
+        begin = int(ends[at])
+    return out
+
+
 def _pack_bytes(matrix: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(matrix.tobytes())
 
@@ -240,7 +260,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             rights.append(X.unplanes(rest[3], np.uint16))
             settled.append(X.unplanes(rest[4], np.uint8))
         if rows:
-            found = repeated_columns(np.concatenate(matrices), np.concatenate(lefts).astype(np.int64), np.concatenate(rights).astype(np.int64), before, window)
+            found = by_anchor(np.concatenate(matrices), np.concatenate(lefts).astype(np.int64), np.concatenate(rights).astype(np.int64), before, window, gram)
             at = 0
             for (chunk, index), done in zip(rows, settled, strict=True):
                 own = found[at : at + len(index)]
