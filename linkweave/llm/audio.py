@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkweave.llm.batches import tidy
+from linkweave.llm.batches import small_batches, tidy
 from linkweave.sources.storage import materialise
 
 RATE = 5512
@@ -140,6 +140,8 @@ def fingerprint(image: np.ndarray) -> np.ndarray:
 def fingerprints(df: DataFrame, id_col: str, audio_col: str) -> DataFrame:
     """id, fp: the packed integers of every recording (as signed 32-bit)."""
 
+    small_batches(df.sparkSession)
+
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 64):
@@ -192,6 +194,8 @@ def melody(vector: np.ndarray, note: int = 660) -> np.ndarray:
 def render(df: DataFrame, id_col: str, vector_col: str, begin: float = 0.0, end: float = 1.0, noise: float = 0.0) -> DataFrame:
     """id, audio: WAV files from vectors; a stretch of each, with noise, for queries."""
 
+    small_batches(df.sparkSession)
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):

@@ -3,13 +3,27 @@
 from __future__ import annotations
 
 import ctypes
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 2 << 20
+ARROW_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session's Python stages, which the JVM and the worker both hold, to
+    ``ARROW_BYTES`` (Spark's own bound is 64 MB); a smaller setting stays."""
+    plain = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH, None) or "")
+    now = int(plain[1]) if plain else 0
+    if not 0 < now <= ARROW_BYTES:
+        spark.conf.set(_BATCH, str(ARROW_BYTES))
+
 
 
 def slices(batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.batches import release, tidy
+from linkweave.llm.batches import release, small_batches, tidy
 from linkweave.sources.storage import materialise
 
 PACK_SCHEMA = "chunk long, n_bytes long, blob binary"
@@ -65,6 +65,7 @@ def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> Da
         if held:
             yield flush()
 
+    small_batches(df.sparkSession)
     slim = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         slim = materialise(slim, "rows", "zstd")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import rolling as R
-from linkweave.llm.batches import slices, text_bytes, tidy
+from linkweave.llm.batches import slices, small_batches, text_bytes, tidy
 
 SAMPLE = 8000
 SNIPPET = 240
@@ -188,6 +188,7 @@ def learn(df: DataFrame, held: int = 2, folds: int = 4, sample: int = SAMPLE, id
 
 
 def predict(df: DataFrame, model: Model | None, held: int = 2, folds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # of fixed size: a row of logits per hash
 
     def run(batches):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import rolling as R
-from linkweave.llm.batches import slices, text_bytes, tidy
+from linkweave.llm.batches import slices, small_batches, text_bytes, tidy
 from linkweave.llm.components import components
 from linkweave.sources.storage import materialise
 
@@ -279,6 +279,7 @@ def _across(rows: DataFrame, size: int, least: int, most: int) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 85, most: int = 100, size: int = SHINGLE, trees: int = TREES, block: int = BLOCK) -> DataFrame:
     """One row per row: doc_id, n_shingles, class_id, component_id, kept. Linked: most * |A and B| >= least * |A or B|."""
+    small_batches(df.sparkSession)
     found = materialise(_features(df, id_col, text_col, size), "sets")
     solid = found.filter("n > 0 and doc_id is not null")
     classes = materialise(solid.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id")), "classes")

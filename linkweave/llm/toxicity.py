@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import rolling as R
-from linkweave.llm.batches import slices, text_bytes, tidy
+from linkweave.llm.batches import slices, small_batches, text_bytes, tidy
 from linkweave.llm.near_dedup import shingles
 
 SAMPLE = 12_000
@@ -197,6 +197,7 @@ class Model:
 def learn(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int = 3, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """At most ``sample`` labelled texts outside the held-out fold, chosen by a hash of the id; equal texts count once."""
     spark = docs.sparkSession
+    small_batches(spark)
     chars = CharModel.of((r.gram, r.n) for r in count_trigrams(docs, text_col).collect())
     fold = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
     able = labels.filter((fold != held) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -255,6 +256,7 @@ def calibrate(model: Model, picked: DataFrame, shared) -> Model:
 
 
 def score(docs: DataFrame, model: Model, held: int = 1, folds: int = 3, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed table of characters and at most FEATURES features
 
     def run(batches):
@@ -272,6 +274,7 @@ def score(docs: DataFrame, model: Model, held: int = 1, folds: int = 3, threshol
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
     """The documents that are not rejected, with all their columns; scored where they are scanned."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.batches import slices, tidy
+from linkweave.llm.batches import slices, small_batches, tidy
 from linkweave.sources.storage import fresh_path, materialise
 
 BLOCK_LINES = 2000
@@ -112,6 +112,7 @@ def _referred(pages: DataFrame) -> DataFrame:
 def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", folder: str | None = None, date: str = "1970-01-01T00:00:00Z", block_lines: int = BLOCK_LINES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write archives and index blocks; returns the directory, a table that was written as well."""
     spark = df.sparkSession
+    small_batches(spark)
     folder = folder or fresh_path(spark, "warc")
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
     revisits = _referred(pages)
