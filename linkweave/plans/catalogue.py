@@ -1,13 +1,18 @@
 """Every operator as a query over the supplied tables, with SQL that must give the same rows.
 
 Entities are derived from ``documents``: a third of the ids for each source, the first 60 characters as
-name, the next 60 and a number as address. Caps and K are lower than in production, so that they bind.
+name, the next 60 and a number as address. Queries that depend on caps or K are registered twice: under
+their own name with small ones that bind on the smallest tables, and as ``*_full`` with production's. The
+flagship, and the queries without SQL, run with production's only.
 Doubles are rounded to six digits on both sides, and every top-K has a total order.
 """
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,11 +35,44 @@ Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 
 
+@dataclasses.dataclass(frozen=True)
+class Limits:
+    cap: int
+    k: int
+
+
+_limits: ContextVar[Limits] = ContextVar("limits", default=Limits(CAP, K))
+FULL = Limits(B.CAP, B.TOP_K)
+
+
 def query(f: Query) -> Query:
     _queries[f.__name__] = f
     return f
 
 
+def within(limits: Limits) -> Callable[[Query], Query]:
+    """The query with other limits, which hold while its plan is built."""
+
+    def change(f: Query) -> Query:
+        @functools.wraps(f)
+        def run(spark, sf_dir):
+            before = _limits.set(limits)
+            try:
+                return f(spark, sf_dir)
+            finally:
+                _limits.reset(before)
+
+        return run
+
+    return change
+
+
+def capped(f: Query) -> Query:
+    """Registered with the small limits and, as ``*_full``, with production's."""
+    _queries[f"{f.__name__}_full"] = within(FULL)(f)
+    return query(f)
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 
@@ -77,8 +115,9 @@ def truth_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     s1, cands = sides(spark, sf_dir)
-    pairs = B.score_pairs(B.first_signal(B.all_signals(s1, cands, cap=CAP, name_k=3, addr_k=4)), s1, cands, native=True)
-    return materialise(B.top_k(pairs, K, digits=6), "candidates"), s1, cands
+    limits = _limits.get()
+    pairs = B.score_pairs(B.first_signal(B.all_signals(s1, cands, cap=limits.cap, name_k=3, addr_k=4)), s1, cands, native=True)
+    return materialise(B.top_k(pairs, limits.k, digits=6), "candidates"), s1, cands
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +134,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) + F.lit(0.0) for n in names})
 
 
+@within(FULL)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which records of the other sources may be the same entity as each S1 record?"""
     return candidate_lists_all_s1(spark, sf_dir)
@@ -178,70 +218,71 @@ def token_freq(spark, sf_dir):
     return B.token_frequency(index)
 
 
-@query
+@capped
 def rarest_k_index(spark, sf_dir):
-    return B.rarest_tokens(N.add_name(entities(spark, sf_dir), "business_name"), "name_tokens", 3, CAP)
+    return B.rarest_tokens(N.add_name(entities(spark, sf_dir), "business_name"), "name_tokens", 3, _limits.get().cap)
 
 
 # --- blocking
 
 
-@query
+@capped
 def key_cap_filter(spark, sf_dir):
     s1, cands = sides(spark, sf_dir)
-    return B.shared_keys(s1.filter("name_char_prefix <> ''"), cands.filter("name_char_prefix <> ''"), ["country", "name_char_prefix"], CAP)
+    return B.shared_keys(s1.filter("name_char_prefix <> ''"), cands.filter("name_char_prefix <> ''"), ["country", "name_char_prefix"], _limits.get().cap)
 
 
-def _block(key: str, signal: str, cap: int | None) -> None:
+def _block(key: str, signal: str, is_capped: bool = True) -> None:
     def run(spark, sf_dir):
         s1, cands = sides(spark, sf_dir)
-        return B.key_signal(s1, cands, key, signal, cap)
+        return B.key_signal(s1, cands, key, signal, _limits.get().cap if is_capped else None)
 
-    _queries[f"block_{signal}"] = run
+    run.__name__ = f"block_{signal}"
+    (capped if is_capped else query)(run)
 
 
-_block("name_prefix_key", "name_prefix", CAP)
-_block("name_char_prefix", "name_char_prefix", CAP)
-_block("addr_pincode", "addr_pincode", None)
-_block("name_concat_key", "name_concat", CAP)
+_block("name_prefix_key", "name_prefix")
+_block("name_char_prefix", "name_char_prefix")
+_block("addr_pincode", "addr_pincode", is_capped=False)
+_block("name_concat_key", "name_concat")
 
 
-@query
+@capped
 def block_name_token(spark, sf_dir):
     s1, cands = sides(spark, sf_dir)
-    return B.token_signal(s1, cands, "name_tokens", "name_token", 3, CAP)
+    return B.token_signal(s1, cands, "name_tokens", "name_token", 3, _limits.get().cap)
 
 
-@query
+@capped
 def block_addr_token(spark, sf_dir):
     s1, cands = sides(spark, sf_dir)
-    return B.token_signal(s1, cands, "addr_tokens", "addr_token", 4, CAP)
+    return B.token_signal(s1, cands, "addr_tokens", "addr_token", 4, _limits.get().cap)
 
 
-@query
+@capped
 def block_union_dedup(spark, sf_dir):
     s1, cands = sides(spark, sf_dir)
-    return B.first_signal(B.all_signals(s1, cands, cap=CAP))
+    return B.first_signal(B.all_signals(s1, cands, cap=_limits.get().cap))
 
 
-@query
+@capped
 def signal_counts(spark, sf_dir):
     s1, cands = sides(spark, sf_dir)
-    return B.signal_counts(B.all_signals(s1, cands, cap=CAP))
+    return B.signal_counts(B.all_signals(s1, cands, cap=_limits.get().cap))
 
 
-@query
+@capped
 def candidates_topk(spark, sf_dir):
     return rounded(candidates(spark, sf_dir)[0], "score")
 
 
-@query
+@capped
 def candidate_lists_all_s1(spark, sf_dir):
     pairs, s1, _ = candidates(spark, sf_dir)
     return T.grouped_output(s1, pairs, "candidate_entity_ids")
 
 
-@query
+@capped
 def candidate_lists_by_score(spark, sf_dir):
     pairs, s1, _ = candidates(spark, sf_dir)
     lists = L.group_ids_by_score(rounded(pairs, "score"), S1, CAND, "score", "candidate_entity_ids")
@@ -256,7 +297,7 @@ def _attached(spark, sf_dir):
     return X.attach(pairs.select(S1, CAND), s1, cands)
 
 
-@query
+@capped
 def feat_jaccard_overlap(spark, sf_dir):
     c = F.col
     df = _attached(spark, sf_dir)
@@ -264,7 +305,7 @@ def feat_jaccard_overlap(spark, sf_dir):
     return rounded(df.select(S1, CAND, *[v.alias(k) for k, v in out.items()]), *out)
 
 
-@query
+@capped
 def feat_tfidf_cosine(spark, sf_dir):
     pairs, s1, cands = candidates(spark, sf_dir)
     df = X.tfidf_cosine(pairs.select(S1, CAND), s1, cands, "name_canonical", "feat_name_tfidf")
@@ -272,7 +313,7 @@ def feat_tfidf_cosine(spark, sf_dir):
     return rounded(df, "feat_name_tfidf", "feat_addr_tfidf")
 
 
-@query
+@capped
 def feat_levenshtein(spark, sf_dir):
     df = _attached(spark, sf_dir)
     sim = lambda x: S.levenshtein_similarity(F.col(f"s1_{x}"), F.col(f"cand_{x}"))
@@ -280,19 +321,20 @@ def feat_levenshtein(spark, sf_dir):
     return rounded(out, "feat_name_levenshtein", "feat_addr_levenshtein")
 
 
-@query
+@capped
 def feat_jaro_winkler(spark, sf_dir):
     out = _attached(spark, sf_dir).select(S1, CAND, S.jaro_winkler_similarity("s1_name_canonical", "cand_name_canonical").alias("feat_name_jaro_winkler"))
     return rounded(out, "feat_name_jaro_winkler")
 
 
-@query
+@capped
 def feat_match_flags(spark, sf_dir):
     c = F.col
     return _attached(spark, sf_dir).select(S1, CAND, S.flag_equal_filled(c("s1_addr_pincode"), c("cand_addr_pincode")).alias("feat_pincode_match"), S.flag_equal(c("s1_country"), c("cand_country")).alias("feat_country_match"))
 
 
 @query
+@within(FULL)
 def indel_score(spark, sf_dir):
     df = _attached(spark, sf_dir)
     score = 0.7 * S.indel_similarity("s1_name_canonical", "cand_name_canonical") + 30.0 * S.jaccard(F.col("s1_addr_tokens"), F.col("cand_addr_tokens"))
@@ -300,11 +342,13 @@ def indel_score(spark, sf_dir):
 
 
 @query
+@within(FULL)
 def metaphone_match(spark, sf_dir):
     return X.phonetic(_attached(spark, sf_dir)).select(S1, CAND, "feat_phonetic_match")
 
 
 @query
+@within(FULL)
 def build_features(spark, sf_dir):
     pairs, s1, cands = candidates(spark, sf_dir)
     return rounded(X.build_features(pairs, s1, cands), "score", *[c for c in X.FEATURES if not c.endswith("match")])
@@ -335,18 +379,18 @@ def ctx_count(spark, sf_dir):
     return X.group_context(_lines(spark, sf_dir), [], key="order_key").select("order_key", CAND, "_grp_candidate_count")
 
 
-@query
+@capped
 def ctx_candidates(spark, sf_dir):
     df = X.group_context(rounded(candidates(spark, sf_dir)[0], "score"), ["score"])
     return rounded(df.drop("signal"), "_grp_score_diff_max", "_grp_score_zscore", "_grp_score_pct_rank")
 
 
-@query
+@capped
 def attach_labels(spark, sf_dir):
     return X.attach_labels(candidates(spark, sf_dir)[0].select(S1, CAND), truth_pairs(spark, sf_dir))
 
 
-@query
+@capped
 def separation_report(spark, sf_dir):
     df = X.attach_labels(feat_jaccard_overlap(spark, sf_dir), truth_pairs(spark, sf_dir))
     return rounded(X.separation(df, ["feat_name_jaccard", "feat_addr_jaccard"]), "mean_negative", "mean_positive")
@@ -366,23 +410,23 @@ def fill_features(spark, sf_dir):
 # --- decisions and quality
 
 
-@query
+@capped
 def predict_threshold_margin(spark, sf_dir):
     return M.predictions(all_s1(spark, sf_dir), scored(spark, sf_dir), THRESHOLD, MARGIN)
 
 
-@query
+@capped
 def macro_f05(spark, sf_dir):
     out = M.macro_f05(all_s1(spark, sf_dir), truth_pairs(spark, sf_dir), M.accepted(scored(spark, sf_dir), THRESHOLD, MARGIN))
     return rounded(out, "macro_f05", "singleton_acc", "non_singleton_f05")
 
 
-@query
+@capped
 def tune_grid(spark, sf_dir):
     return rounded(M.grid_scores(spark, all_s1(spark, sf_dir), truth_pairs(spark, sf_dir), scored(spark, sf_dir), M.coarse_grid()), "threshold", "margin", "macro_f05")
 
 
-@query
+@capped
 def tune_grid_fine(spark, sf_dir):
     from decimal import Decimal
 
@@ -396,14 +440,14 @@ def average_precision(spark, sf_dir):
     return rounded(M.average_precision(df), "average_precision")
 
 
-@query
+@capped
 def blocking_recall(spark, sf_dir):
     pairs, s1, cands = candidates(spark, sf_dir)
     out = M.blocking_recall(s1, cands, truth_pairs(spark, sf_dir), pairs)
     return rounded(out, "pair_recall", "entity_recall", "avg_candidates", "reduction_ratio")
 
 
-@query
+@capped
 def missed_matches(spark, sf_dir):
     pairs, _, _ = candidates(spark, sf_dir)
     few = pairs.filter("signal = 'addr_token'")
@@ -430,7 +474,7 @@ def validate_grouped(spark, sf_dir):
     return V.violations(_broken(spark, sf_dir), "candidate_entity_ids", wanted, known)
 
 
-@query
+@capped
 def match_subset_antijoin(spark, sf_dir):
     pairs, _, _ = candidates(spark, sf_dir)
     return V.outside_candidates(truth_pairs(spark, sf_dir), pairs.select(S1, CAND))
@@ -454,7 +498,7 @@ def expand_ids(spark, sf_dir):
     return L.explode_ids(_broken(spark, sf_dir), S1, "candidate_entity_ids")
 
 
-@query
+@capped
 def expand_ids_roundtrip(spark, sf_dir):
     pairs, s1, _ = candidates(spark, sf_dir)
     return L.explode_ids(T.grouped_output(s1, pairs, "ids"), S1, "ids")
@@ -465,7 +509,7 @@ def id_sets(spark, sf_dir):
     return _broken(spark, sf_dir).select("k", F.array_join(L.id_set(F.col("candidate_entity_ids")), "|").alias("id_set"))
 
 
-@query
+@capped
 def group_fold_integrity(spark, sf_dir):
     folds = P.group_folds(candidates(spark, sf_dir)[0])
     per = folds.groupBy(S1).agg(F.count_distinct("fold").alias("n"), F.min("fold").alias("low"), F.max("fold").alias("high"))
@@ -493,10 +537,12 @@ def _learned(spark, sf_dir):
 
 
 @query
+@within(FULL)
 def gbt_oof(spark, sf_dir):
     return _learned(spark, sf_dir).held_out.select(S1, CAND, "label", "prob")
 
 
 @query
+@within(FULL)
 def feature_importance(spark, sf_dir):
     return spark.createDataFrame(_learned(spark, sf_dir).feature_importance(), "feature string, importance double")

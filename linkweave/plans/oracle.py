@@ -5,6 +5,7 @@ from __future__ import annotations
 from linkweave.functions.normalize import ABBREVIATIONS, ADDRESS_STOP_WORDS, LEGAL_WORDS, SPELLED, STATES, latin_table
 
 CAP, K, THRESHOLD, MARGIN = 20, 5, 0.45, 0.12
+FULL_CAP, FULL_K = 5000, 100
 
 
 def _text(x: str) -> str:
@@ -225,4 +226,6 @@ def all_sql() -> dict[str, str]:
         "expand_ids": f"WITH {_BROKEN} SELECT source1_entity_id, id AS candidate_entity_id FROM broken_ids WHERE id <> ''",
         "id_sets": f"WITH {_BROKEN} SELECT k, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(ids, ','), lambda x: trim(x)), lambda x: x <> ''))), '|') AS id_set FROM broken",
     }
-    return sql | {f"block_{signal}": f"{full} {block}" for signal, block in _BLOCKS.items()}
+    sql |= {f"block_{signal}": f"{full} {block}" for signal, block in _BLOCKS.items()}
+    wide = {name: text.replace(f"<= {CAP}", f"<= {FULL_CAP}").replace(f"rn <= {K})", f"rn <= {FULL_K})") for name, text in sql.items()}
+    return sql | {f"{name}_full": text for name, text in wide.items() if text != sql[name] and name != "block_addr_pincode"}

@@ -207,3 +207,16 @@ def test_empty_inputs(spark, sides):
     none = s1.limit(0)
     assert B.generate_candidates(none, cands).isEmpty()
     assert X.build_features(B.generate_candidates(none, cands), none, cands).isEmpty()
+
+
+def test_catalogue_keeps_keys_beyond_the_small_caps(spark, tmp_path):
+    from linkweave.plans import catalogue
+
+    text = "Acme traders of the northern coast and all of its islands   12 rose street by the old harbour wall, second floor on the left"
+    spark.createDataFrame([(i, text, "en", "web", 200 + i) for i in range(90)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    lists = catalogue.flagship(spark, str(tmp_path)).collect()
+    assert len(lists) == 30 and all(len(r.candidate_entity_ids.split(",")) == 60 for r in lists)
+    known = catalogue.queries()
+    assert known["block_name_char_prefix"](spark, str(tmp_path)).count() == 0
+    assert known["block_name_char_prefix_full"](spark, str(tmp_path)).count() == 30 * 60
+    assert known["build_features"](spark, str(tmp_path)).count() == 30 * 60
