@@ -4,7 +4,9 @@
 2. Tokens that look disguised (look-alike digits and signs inside words, a letter three times or more,
    single letters with separators between them) become lattices: every position may stand for itself
    or for the letters it looks like, every run may be kept, doubled or single. Viterbi finds the path
-   with the best sum of the language model's and the channel's log probabilities.
+   with the best sum of the language model's and the channel's log probabilities, in time and memory
+   linear in the token, which may have any length. In a run of single letters words may also end
+   anywhere; every word that is on a path close to the best one is read.
 3. The words of a text, restored ones among them, and their prefixes are looked up in a lexicon. The
    lexicon is learned from a bounded sample of labelled texts. Near copies (texts that share their
    least shingle) count once, so that chance words of a copied toxic text get little weight. A logistic
@@ -51,10 +53,16 @@ LEET = re.compile(rf"(?=\S*[^\W\d_])(?:{_SIGN}|[^\W_])*(?:[^\W\d_]{_SIGN}+[^\W\d
 REPEATED = re.compile(r"[^\W_]*([^\W\d_])\1\1[^\W_]*")
 SPACED = re.compile(rf"(?<![^\W_])(?:(?:[^\W_]|[@$!|+])[ .\-_*,/]){{3,}}[^\W_](?![^\W_])")
 KEEP, SUBSTITUTE, SHORTEN = math.log(0.6), math.log(0.2), math.log(0.2)
+#: Words of a spaced run are read if a path through them is so close to the best one; those on the best path always.
+CLOSE, CLOSE_LETTERS = 8.0, 32
+#: Restored tokens up to this length are remembered.
+REMEMBERED = 64
 
 
 def symbol(char: str) -> int:
     """a to z are 1 to 26, anything else that is a letter shares the rest; 0 is the edge of a word."""
+    if char == " ":
+        return 0
     code = ord(char)
     return code - 96 if 97 <= code <= 122 else 27 + code % (ALPHABET - 27)
 
@@ -100,11 +108,14 @@ class CharModel:
 
 
 class Restorer:
-    """Viterbi over the lattice of one disguised token; results are remembered."""
+    """Viterbi over the lattice of one disguised token; results for tokens of ordinary length are remembered."""
 
     def __init__(self, chars: CharModel):
         self.logp = chars.logp
-        self.restore = functools.lru_cache(1 << 16)(self._restore)
+        self.remembered = functools.lru_cache(1 << 16)(self._restore)
+
+    def restore(self, token: str) -> str:
+        return self.remembered(token) if len(token) <= REMEMBERED else self._restore(token)
 
     def readings(self, token: str) -> list[list[tuple[str, float]]]:
         """For every run of equal characters, what it may stand for."""
@@ -127,11 +138,14 @@ class Restorer:
             i = j
         return out
 
-    def _restore(self, token: str) -> str:
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    def _restore(self, token: str, breaks: bool = False) -> str:
+        """The best path; with ``breaks`` a word may end after any reading, shown by a blank."""
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for node in self.readings(token):
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in best.items():
+            if breaks:
+                node = node + [(reading + " ", cost) for reading, cost in node]
+            new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, path) in best.items():
                 for reading, cost in node:
                     x, y, s = a, b, score + cost
                     for c in reading:
@@ -139,31 +153,68 @@ class Restorer:
                         s += float(self.logp[x, y, z])
                         x, y = y, z
                     if (x, y) not in new or s > new[x, y][0]:
-                        new[x, y] = (s, text + reading)
+                        new[x, y] = (s, (path, reading))
             best = new
-        ends = [(s + float(self.logp[a, b, 0]), text) for (a, b), (s, text) in best.items()]
-        return max(ends)[1] if ends else ""
+        # a path that ends with a break has paid for the edge
+        _, path = max(((s + (float(self.logp[a, b, 0]) if b else 0.0), path) for (a, b), (s, path) in best.items()), key=lambda x: x[0])
+        out = []
+        while path is not None:
+            path, reading = path
+            out.append(reading)
+        return "".join(reversed(out))
+
+    def words_in(self, run: str) -> set[str]:
+        """The words of a run of single letters, whose boundaries are unknown: those of the best path through
+        its lattice, and those on any segmentation of the restored letters that is nearly as good."""
+        best = self._restore(run, breaks=True)
+        letters = best.replace(" ", "")
+        codes, count = [symbol(c) for c in letters], len(letters)
+        logp = self.logp
+        # ahead[i]: the best segmentation of the first i letters; spans[j]: (start, score) of the words that end at j
+        ahead, spans = [0.0] + [-math.inf] * count, [[] for _ in range(count + 1)]
+        for i in range(count):
+            x, y, s = codes[i - 1] if i else 0, 0, 0.0
+            for j in range(i + 1, min(count, i + CLOSE_LETTERS) + 1):
+                z = codes[j - 1]
+                s += float(logp[x, y, z])
+                x, y = y, z
+                whole = s + float(logp[x, y, 0])
+                spans[j].append((i, whole))
+                ahead[j] = max(ahead[j], ahead[i] + whole)
+        behind = [-math.inf] * count + [0.0]
+        out = set(best.split())
+        for j in range(count, 0, -1):
+            for i, whole in spans[j]:
+                behind[i] = max(behind[i], whole + behind[j])
+                if ahead[i] + whole + behind[j] >= ahead[count] - CLOSE:
+                    out.add(letters[i:j])
+        return out
 
 
 def disguised(text: str) -> list[str]:
     """The tokens of a lower-cased text that look disguised, separators removed."""
     found = [m.group() for m in LEET.finditer(text)] if _MAY_LEET.search(text) else []
     found += [m.group() for m in REPEATED.finditer(text)] if _MAY_REPEAT.search(text) else []
-    found += [re.sub(r"[ .\-_*,/]", "", m.group()) for m in SPACED.finditer(text)]
-    return found
+    return found + spaced(text)
+
+
+def spaced(text: str) -> list[str]:
+    """The runs of single letters, separators removed."""
+    return [re.sub(r"[ .\-_*,/]", "", m.group()) for m in SPACED.finditer(text)]
 
 
 _MAY_LEET = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S){_SIGN}[^\W\d_]{{2}}")
 _MAY_REPEAT = re.compile(r"([^\W\d_])\1\1")
 
 
-def words_of(text: str, restore) -> set[str]:
+def words_of(text: str, restorer: Restorer) -> set[str]:
     """The distinct words of a text and of its restored tokens."""
     text = text.lower()
     words = set(WORD.findall(text))
     for token in disguised(text):
-        if len(token) <= 64:
-            words.add(restore(token))
+        words.add(restorer.restore(token))
+    for run in spaced(text):
+        words |= restorer.words_in(run)
     return words
 
 
@@ -206,7 +257,7 @@ def learn(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int = 3, sam
     shared = spark.sparkContext.broadcast(chars)
 
     def spell(batches):
-        restore = Restorer(shared.value).restore
+        restorer = Restorer(shared.value)
         for batch in batches:
             for part in slices(batch, 2):
                 data, offsets = text_bytes(part.column(2))
@@ -216,7 +267,7 @@ def learn(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int = 3, sam
                 if len(first):
                     family[present] = values[first]
                 for i, text in enumerate(part.column(2).to_pylist()):
-                    own = sorted(features(words_of(text or "", restore)))
+                    own = sorted(features(words_of(text or "", restorer)))
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([part.column(1)[i].as_py()] * len(own), pa.int32()), pa.array([int(family[i].view(np.int64))] * len(own), pa.int64())], names=["feature", "toxic", "family"])
 
     spelled = picked.mapInArrow(tidy(spell), "feature string, toxic int, family long").distinct()
@@ -235,9 +286,9 @@ def calibrate(model: Model, picked: DataFrame, shared) -> Model:
     plain = dataclasses.replace(model, chars=None)
 
     def run(batches):
-        restore = Restorer(shared.value).restore
+        restorer = Restorer(shared.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([plain.score(words_of(t or "", restore)) for t in batch.column(2).to_pylist()], pa.float64())], names=["toxic", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([plain.score(words_of(t or "", restorer)) for t in batch.column(2).to_pylist()], pa.float64())], names=["toxic", "score"])
 
     rows = picked.mapInArrow(tidy(run), "toxic int, score double").collect()
     y = np.array([r.toxic for r in rows], float)
@@ -261,10 +312,10 @@ def score(docs: DataFrame, model: Model, held: int = 1, folds: int = 3, threshol
 
     def run(batches):
         model = shared.value
-        restore = Restorer(model.chars).restore
+        restorer = Restorer(model.chars)
         for batch in batches:
             for part in slices(batch, 1):
-                scores = [model.score(words_of(t or "", restore)) for t in part.column(1).to_pylist()]
+                scores = [model.score(words_of(t or "", restorer)) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, score double")
@@ -280,10 +331,10 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
 
     def run(batches):
         model = shared.value
-        restore = Restorer(model.chars).restore
+        restorer = Restorer(model.chars)
         for batch in batches:
             for part in slices(batch, at):
-                fine = [model.score(words_of(t or "", restore)) < threshold for t in part.column(at).to_pylist()]
+                fine = [model.score(words_of(t or "", restorer)) < threshold for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(fine, pa.bool_()))
 
     return docs.mapInArrow(tidy(run), docs.schema)

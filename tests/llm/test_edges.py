@@ -211,6 +211,17 @@ def test_disguised_words_are_restored(spark):
     assert "idiot" in toxicity.disguised("an i d i o t said") and toxicity.disguised("plain words only") == []
 
 
+def test_long_disguises_are_restored(spark):
+    clean = [f"you are the idiot clown house {WORDS[i % 20]} and a stupid river moron" for i in range(40)]
+    restorer = toxicity.Restorer(toxicity.CharModel.of((r.gram, r.n) for r in toxicity.count_trigrams(frame(spark, *clean)).collect()))
+    said = "you are the stupid idiot and the moron house and the river and the clown"
+    run = " ".join(said.replace(" ", ""))
+    assert set(said.split()) <= toxicity.words_of(run, restorer)
+    assert set(said.split()) <= toxicity.words_of(" ".join([run] * 20), restorer)
+    assert "idiot" in toxicity.words_of("an idi" + "o" * 500 + "t", restorer)
+    assert len(restorer.restore("1d10t" * 20_000)) == 100_000
+
+
 def test_toxicity_held_out(spark):
     import zlib
 
