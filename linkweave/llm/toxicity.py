@@ -1,9 +1,10 @@
 """Toxicity with noisy-channel deobfuscation.
 
 1. A character trigram model is counted over all texts.
-2. Tokens that look disguised (look-alike digits and signs inside words, a letter three times or more,
-   single letters with separators between them) become lattices: every position may stand for itself
-   or for the letters it looks like, every run may be kept, doubled or single. Viterbi finds the path
+2. Tokens that may be disguised (letters together with look-alike digits or signs in any position, a
+   letter twice or more, single letters with any separators between them) become lattices: every
+   position may stand for itself or for the letters it looks like, signs at a token's ends also for
+   nothing, every run may be kept, doubled or single. Viterbi finds the path
    with the best sum of the language model's and the channel's log probabilities, in time and memory
    linear in the token, which may have any length. In a run of single letters words may also end
    anywhere; every word that is on a path close to the best one is read.
@@ -48,11 +49,15 @@ STRONGEST = 3
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "(": "c", "*": "aeiou", "#": "aeiou", "%": "aeiou", "&": "aeiou"}
 ALPHABET = 64
 WORD = re.compile(r"[^\W\d_]+")
-_SIGN = r"[0-9@$!|+€(*#%&]"
-LEET = re.compile(rf"(?=\S*[^\W\d_])(?:{_SIGN}|[^\W_])*(?:[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S){_SIGN}[^\W\d_]{{2}})(?:{_SIGN}|[^\W_])*")
-REPEATED = re.compile(r"[^\W_]*([^\W\d_])\1\1[^\W_]*")
-SPACED = re.compile(rf"(?<![^\W_])(?:(?:[^\W_]|[@$!|+])[ .\-_*,/]){{3,}}[^\W_](?![^\W_])")
+_SIGNS = r"@$!|+€(*#%&"
+#: What is between white space and punctuation that looks like no letter; split at underscores.
+TOKEN = re.compile(rf"[\w{_SIGNS}]+")
+DOUBLED = re.compile(r"([^\W\d_])\1")
+_UNIT, _BETWEEN = rf"(?:[^\W_]|[@$!|+€(#%&])", r"[\s.\-_*,/]+"
+SPACED = re.compile(rf"(?<![^\W_])(?:{_UNIT}{_BETWEEN}){{2,}}{_UNIT}(?![^\W_])")
 KEEP, SUBSTITUTE, SHORTEN = math.log(0.6), math.log(0.2), math.log(0.2)
+#: Look-alikes at a token's end that are punctuation or a number and stand for no letter.
+DROP = math.log(0.01)
 #: Words of a spaced run are read if a path through them is so close to the best one; those on the best path always.
 CLOSE, CLOSE_LETTERS = 8.0, 32
 #: Restored tokens up to this length are remembered.
@@ -110,9 +115,25 @@ class CharModel:
 class Restorer:
     """Viterbi over the lattice of one disguised token; results for tokens of ordinary length are remembered."""
 
-    def __init__(self, chars: CharModel):
-        self.logp = chars.logp
+    def __init__(self, chars: CharModel, heads: frozenset[str] | None = None):
+        """With ``heads``, the first letters of all words that count, runs of letters single (``Model.runs``),
+        tokens of letters whose every reading begins otherwise are not searched."""
+        self.logp, self.heads = chars.logp, heads
         self.remembered = functools.lru_cache(1 << 16)(self._restore)
+        self.known = functools.lru_cache(1 << 17)(self._words)
+
+    def words(self, token: str) -> tuple[str, ...]:
+        """The words that stand in a token as it is, and the restored one."""
+        return self.known(token) if len(token) <= REMEMBERED else self._words(token)
+
+    def _words(self, token: str) -> tuple[str, ...]:
+        if not may_hide(token):
+            return tuple(WORD.findall(token))
+        if self.heads is not None and token.isalpha():
+            single = single_runs(token)
+            if not any(single[:size] in self.heads for size in range(1, PREFIXES[0] + 1)):
+                return (token,)
+        return (*WORD.findall(token), self._restore(token))
 
     def restore(self, token: str) -> str:
         return self.remembered(token) if len(token) <= REMEMBERED else self._restore(token)
@@ -120,6 +141,8 @@ class Restorer:
     def readings(self, token: str) -> list[list[tuple[str, float]]]:
         """For every run of equal characters, what it may stand for."""
         out, i = [], 0
+        letters_at = [m.start() for m in WORD.finditer(token)]
+        first, last = (letters_at[0], max(m.end() for m in WORD.finditer(token))) if letters_at else (0, len(token))
         while i < len(token):
             j = i
             while j < len(token) and token[j] == token[i]:
@@ -133,6 +156,8 @@ class Restorer:
                 node.append((c, cost + (SHORTEN if length > 1 else 0)))
                 if length > 1:
                     node.append((c * 2, cost + (KEEP if length == 2 else SHORTEN)))
+            if node and (j <= first or i >= last):
+                node.append(("", DROP))
             if node:
                 out.append(node)
             i = j
@@ -191,30 +216,43 @@ class Restorer:
         return out
 
 
+def single_runs(word: str) -> str:
+    return re.sub(r"(.)\1+", r"\1", word)
+
+
+def may_hide(token: str) -> bool:
+    """Does a token mix letters with look-alikes, or repeat a letter?"""
+    if WORD.fullmatch(token):
+        return DOUBLED.search(token) is not None
+    return WORD.search(token) is not None
+
+
+def tokens_of(text: str) -> set[str]:
+    found = set(TOKEN.findall(text))
+    return {part for token in found for part in token.split("_") if part} if "_" in text else found
+
+
 def disguised(text: str) -> list[str]:
-    """The tokens of a lower-cased text that look disguised, separators removed."""
-    found = [m.group() for m in LEET.finditer(text)] if _MAY_LEET.search(text) else []
-    found += [m.group() for m in REPEATED.finditer(text)] if _MAY_REPEAT.search(text) else []
-    return found + spaced(text)
+    """The tokens of a lower-cased text that may be disguised, separators removed."""
+    return [t for t in tokens_of(text) if may_hide(t)] + spaced(text)
 
 
 def spaced(text: str) -> list[str]:
     """The runs of single letters, separators removed."""
-    return [re.sub(r"[ .\-_*,/]", "", m.group()) for m in SPACED.finditer(text)]
-
-
-_MAY_LEET = re.compile(rf"[^\W\d_]{_SIGN}+[^\W\d_]|(?<!\S){_SIGN}[^\W\d_]{{2}}")
-_MAY_REPEAT = re.compile(r"([^\W\d_])\1\1")
+    found = [re.sub(_BETWEEN, "", m.group()) for m in SPACED.finditer(text)]
+    return [run for run in found if WORD.search(run)]
 
 
 def words_of(text: str, restorer: Restorer) -> set[str]:
     """The distinct words of a text and of its restored tokens."""
     text = text.lower()
-    words = set(WORD.findall(text))
-    for token in disguised(text):
-        words.add(restorer.restore(token))
+    words = set()
+    for token in tokens_of(text):
+        words.update(restorer.words(token))
     for run in spaced(text):
+        words.add(restorer.restore(run))
         words |= restorer.words_in(run)
+    words.discard("")
     return words
 
 
@@ -233,6 +271,7 @@ class Model:
 
     def __post_init__(self):
         self.heads = {f.rstrip("*")[: PREFIXES[0]] for f in self.odds}
+        self.runs = frozenset(map(single_runs, self.heads))
 
     def score(self, words: set[str]) -> float:
         found = []
@@ -286,7 +325,7 @@ def calibrate(model: Model, picked: DataFrame, shared) -> Model:
     plain = dataclasses.replace(model, chars=None)
 
     def run(batches):
-        restorer = Restorer(shared.value)
+        restorer = Restorer(shared.value, plain.runs)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([plain.score(words_of(t or "", restorer)) for t in batch.column(2).to_pylist()], pa.float64())], names=["toxic", "score"])
 
@@ -312,7 +351,7 @@ def score(docs: DataFrame, model: Model, held: int = 1, folds: int = 3, threshol
 
     def run(batches):
         model = shared.value
-        restorer = Restorer(model.chars)
+        restorer = Restorer(model.chars, model.runs)
         for batch in batches:
             for part in slices(batch, 1):
                 scores = [model.score(words_of(t or "", restorer)) for t in part.column(1).to_pylist()]
@@ -331,7 +370,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
 
     def run(batches):
         model = shared.value
-        restorer = Restorer(model.chars)
+        restorer = Restorer(model.chars, model.runs)
         for batch in batches:
             for part in slices(batch, at):
                 fine = [model.score(words_of(t or "", restorer)) < threshold for t in part.column(at).to_pylist()]

@@ -211,6 +211,19 @@ def test_disguised_words_are_restored(spark):
     assert "idiot" in toxicity.disguised("an i d i o t said") and toxicity.disguised("plain words only") == []
 
 
+def test_look_alikes_in_any_position_are_restored(spark):
+    clean = [f"you are the asshole {w} idiot kill hate moron {WORDS[i % 20]} stupid fag ass and a letter or " for i in range(40) for w in ("idiots", "morons")]
+    restorer = toxicity.Restorer(toxicity.CharModel.of((r.gram, r.n) for r in toxicity.count_trigrams(frame(spark, *clean)).collect()))
+    for text, word in (("a55", "ass"), ("ki11", "kill"), ("hat3", "hate"), ("moron5", "morons"), ("1d1075", "idiots"), ("@$$hole", "asshole"), ('"$tupid"', "stupid"), ("($tupid)", "stupid"), ("f a g", "fag"), ("i  d  i  o  t", "idiot"), ("i - d - i - o - t", "idiot"), ("a $ $", "ass"), ("iiddiioott", "idiot"), ("idiot!!", "idiot"), ("_id10t_", "idiot")):
+        assert word in toxicity.words_of(f"you {text} there", restorer), text
+    model = toxicity.Model(None, {"idiot": 2.0, "asshole": 1.5, "kill*": 1.0, "fag": 1.0}, -2.0, 1.0, 0.0)
+    fewer = toxicity.Restorer(toxicity.CharModel(restorer.logp), model.runs)
+    for text in ("iiddiioott", "aasshhoollee", "kkiilllleerr", "ffaagg", "letter", "aass", "kiill"):
+        assert model.score(toxicity.words_of(text, restorer)) == model.score(toxicity.words_of(text, fewer))
+    assert fewer.words("letter") == ("letter",)
+    assert toxicity.words_of("plain words, 1 2 3 + 4", restorer) == {"plain", "words"}
+
+
 def test_long_disguises_are_restored(spark):
     clean = [f"you are the idiot clown house {WORDS[i % 20]} and a stupid river moron" for i in range(40)]
     restorer = toxicity.Restorer(toxicity.CharModel.of((r.gram, r.n) for r in toxicity.count_trigrams(frame(spark, *clean)).collect()))
