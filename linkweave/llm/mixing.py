@@ -9,7 +9,7 @@ blocks (sqrt(n) rows a source) and over one block's documents (about sqrt(n)).
 ``plan_shards`` then deals the quotas of blocks out to output shards: each node of a binary tree
 splits its exact block counts per source by a multivariate hypergeometric draw, so that every shard
 gets its share of every source without replacement. A shard's blocks are disjoint and its documents
-are shuffled locally by hash.
+are shuffled locally by hash. ``report`` counts the rows dealt this way, and ``shuffled`` is the mix in their order.
 
 Defined results: a null text has size 0 and is taken 0 words; a null source is a source, last in
 order; sources of size 0 have target 0; repeated rows each count, and are ordered by id hash and then
@@ -29,6 +29,9 @@ CAP = 3
 SEED = "mix-1"
 #: Beyond so many sources shards are dealt by hash instead of by the tree (see ``plan_shards``).
 MAX_TREE_SOURCES = 10_000
+#: Words of a shard, and the bounds of the number of shards.
+SHARD_WORDS = 4_000_000
+LEAST_SHARDS, MOST_SHARDS = 16, 1 << 16
 
 
 def words(text: Column) -> Column:
@@ -59,7 +62,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
 
 def _take(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], cap: int, seed: str) -> tuple[DataFrame, DataFrame]:
     """(documents with their block and how often they are taken, plan of the sources)."""
-    slim = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"))
+    slim = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), F.monotonically_increasing_id().alias("row"))
     docs = materialise(slim.withColumn("key", order_key(F.col("doc_id"), seed)).withColumn("spread", F.conv(F.substring("key", 1, 8), 16, 10).cast("long")), "mix")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     plan = materialise(targets(sizes, weights, cap).coalesce(1), "mixplan")
@@ -84,11 +87,6 @@ def _take(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: t
     return outside.unionByName(inside).withColumn("times", (F.col("passes") + F.col("extra")).cast("long")), plan
 
 
-def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED) -> DataFrame:
-    docs, _ = _take(df, id_col, text_col, source_col, weights, cap, seed)
-    return docs.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
-
-
 def plan_shards(blocks: list[tuple[int, int]], shards: int, seed: int = 0) -> list[tuple[int, int, int, int]]:
     """(source, block units) -> (source, shard, first unit, end). Only counts come here, no documents.
 
@@ -114,19 +112,17 @@ def plan_shards(blocks: list[tuple[int, int]], shards: int, seed: int = 0) -> li
     return out
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, shards: int = 0) -> DataFrame:
-    """The mix itself: each row as often as it is taken. With ``shards`` also ``mix_shard`` and
-    ``mix_order``: the output shard by the splitting tree, and the place within it."""
-    taken, plan = _take(df, id_col, text_col, source_col, weights, cap, seed)
-    picked = taken.filter("times > 0")
-    if not shards:
-        # rows that repeat have equal counts, so one row per id is joined back
-        counts = picked.groupBy(F.col("doc_id").alias("__mix_id")).agg(F.max("times").cast("int").alias("__mix_times"))
-        return df.join(counts, df[id_col].eqNullSafe(F.col("__mix_id"))).withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*[df[c] for c in df.columns])
+def shard_count(plan: DataFrame) -> int:
+    total = plan.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    return min(MOST_SHARDS, max(LEAST_SHARDS, -(-int(total) // SHARD_WORDS)))
+
+
+def _deal(picked: DataFrame, seed: str, shards: int) -> DataFrame:
+    """Each taken row once per copy, with its ``mix_shard`` and ``mix_order``."""
     copies = picked.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     units = copies.select("sid", "copy", "block").distinct()
     per_source = units.groupBy("sid").agg(F.count("*").alias("n"))
-    spark = df.sparkSession
+    spark = picked.sparkSession
     if per_source.count() <= MAX_TREE_SOURCES:
         rows = plan_shards(sorted((r.sid, r.n) for r in per_source.collect()), shards)
         dealt = spark.createDataFrame(rows, "sid long, mix_shard int, low long, high long").select("sid", "mix_shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("unit"))
@@ -135,6 +131,35 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     else:
         units = units.withColumn("mix_shard", F.pmod(F.xxhash64("sid", "copy", "block"), F.lit(shards)).cast("int"))
     placed = copies.join(units.select("sid", "copy", "block", "mix_shard"), ["sid", "copy", "block"])
-    place = F.md5(F.concat_ws(":", F.lit(seed), "mix_shard", "key", "copy"))
-    slim = placed.select(F.col("doc_id").alias("__mix_id"), "mix_shard", place.alias("mix_order"))
+    return placed.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(seed), "mix_shard", "key", "copy")))
+
+
+def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, shards: int = 0) -> DataFrame:
+    """``taken`` is counted over the rows dealt to shards (``shards``, or as many as the targets fill)."""
+    docs, plan = _take(df, id_col, text_col, source_col, weights, cap, seed)
+    docs = materialise(docs, "taken")
+    dealt = _deal(docs.filter("times > 0"), seed, shards or shard_count(plan)).groupBy("row").agg(F.count("*").alias("dealt"))
+    return docs.join(dealt, "row", "left").select("doc_id", "size", "source_size", "target", (F.coalesce("dealt", F.lit(0)) * F.col("size")).alias("taken"))
+
+
+def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, shards: int = 0) -> DataFrame:
+    """The mix itself: each row as often as it is taken. With ``shards`` also ``mix_shard`` and
+    ``mix_order``: the output shard by the splitting tree, and the place within it."""
+    taken, _ = _take(df, id_col, text_col, source_col, weights, cap, seed)
+    picked = taken.filter("times > 0")
+    if not shards:
+        # rows that repeat have equal counts, so one row per id is joined back
+        counts = picked.groupBy(F.col("doc_id").alias("__mix_id")).agg(F.max("times").cast("int").alias("__mix_times"))
+        return df.join(counts, df[id_col].eqNullSafe(F.col("__mix_id"))).withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*[df[c] for c in df.columns])
+    placed = _deal(materialise(picked, "taken"), seed, shards)
+    slim = placed.select(F.col("doc_id").alias("__mix_id"), "mix_shard", "mix_order")
     return df.join(slim.distinct(), df[id_col].eqNullSafe(F.col("__mix_id"))).drop("__mix_id")
+
+
+def shuffled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = 0, **how) -> DataFrame:
+    """The columns of ``df``, each shard's rows together and in its order."""
+    if not shards:
+        sizes = df.agg(F.sum(words(F.col(text_col))).alias("target"))  # targets add up to all words, less what caps take
+        shards = shard_count(sizes.select(F.col("target").cast("double")))
+    dealt = mix(df, id_col, text_col, source_col, shards=shards, **how)
+    return dealt.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_order").select(df.columns)

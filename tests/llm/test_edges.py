@@ -138,6 +138,28 @@ def test_mix_repeats_rows_and_deals_shards(spark):
     assert listed(mixing.mix(df, shards=4), "doc_id", "mix_shard", "mix_order") == listed(sharded, "doc_id", "mix_shard", "mix_order")
 
 
+def test_report_and_stage_go_through_the_tree(spark, monkeypatch):
+    from collections import Counter
+
+    import corpus_pipeline
+
+    df = frame(spark, *["w " * (i % 9 + 1) for i in range(300)]).selectExpr("doc_id", "text", "lang", "concat('s', doc_id % 5) AS source", "n_chars")
+    asked, plan = [], mixing.plan_shards
+    monkeypatch.setattr(mixing, "plan_shards", lambda blocks, shards, seed=0: asked.append(shards) or plan(blocks, shards, seed))
+    want = {r.doc_id: r.taken for r in mixing.report(df).collect()}
+    rows = corpus_pipeline.mix_sources(spark, df, "").collect()
+    assert asked == [mixing.LEAST_SHARDS] * 2
+    times = Counter(r.doc_id for r in rows)
+    assert all(times[r.doc_id] * len(r.text.split()) == want[r.doc_id] for r in df.collect())
+    dealt = {}
+    for r in mixing.mix(df, shards=mixing.LEAST_SHARDS).collect():
+        dealt.setdefault(r.mix_shard, []).append((r.mix_order, r.doc_id))
+    order, at = [r.doc_id for r in rows], 0
+    while at < len(order):  # whole shards follow each other, each in its order
+        own = next(ids for ids in ([i for _, i in sorted(x)] for x in dealt.values()) if order[at : at + len(ids)] == ids)
+        at += len(own)
+
+
 def test_splitting_tree_is_exact():
     blocks = [(7, 10), (8, 0), (9, 55), (10, 3)]
     plan = mixing.plan_shards(blocks, 5, seed=3)
