@@ -2,8 +2,8 @@
 
 1. One scan gives every document its number of distinct shingles, a hash of its whole shingle set and a
    sketch of minwise tokens. Documents with equal sets form a class, represented by its smallest id.
-2. Independent trees: the root chooses sketch coordinates (always one, a second with probability
-   1/lambda - 1), and documents branch by their tokens there; nodes larger than ``NODE`` branch again,
+2. Ten trees: the root chooses sketch coordinates (always one, a second with probability
+   1/lambda - 1, where lambda follows from the threshold, see ``branching``), and documents branch by their tokens there; nodes larger than ``NODE`` branch again,
    with coordinates chosen by the node's path. Small nodes are compared exhaustively on sketches, far
    below the threshold, and leave a spanning forest of the pairs that may be alike.
 3. Components of that forest are compared on full sets in one task each; a component too large for
@@ -11,8 +11,9 @@
    with every block. Within a task a comparison is left out only if its two documents are known to be
    in one component already, so no link that could change a component is lost.
 
-A pair at the threshold shares a root token in one tree with probability 0.85 at least, so ten trees
-miss it with 0.15 ** 10, before deeper branching; a link is confirmed on full sets, by counts.
+A pair at the threshold that meets none but large nodes down to the last level is missed with a chance
+of at most ``MISS``, its sketch's deviation from the true similarity included (``missed``); links are
+confirmed on full sets, by counts.
 
 Defined results: null or empty texts (or only white space) have no shingles and are linked with
 nothing; fewer words than the shingle's make one shingle; repeated rows with one id form one class and
@@ -22,6 +23,8 @@ ignored by ``near_duplicates`` and kept by ``drop_near``; an empty table gives a
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +40,8 @@ from linkweave.sources.storage import materialise
 SHINGLE = 5
 COORDINATES = 64
 TREES = 10
-LAMBDA = 0.85
+#: Greatest chance to miss a pair at the threshold in the deepest nodes.
+MISS = 1e-4
 NODE = 128
 DEPTH = 6
 #: Sketches that agree so much less than the threshold are not looked at again: over five standard deviations.
@@ -51,6 +55,27 @@ BROADCAST_ROWS = 1 << 20
 _FACTORS = np.random.default_rng(85).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def missed(threshold: float, branch: float, trees: int, depth: int) -> float:
+    """Chance that no tree brings a pair at the threshold together in a node of the given depth. The sketch
+    has a binomial number of equal coordinates; given it, a level keeps each branch with that share."""
+    total = 0.0
+    for k in range(COORDINATES + 1):
+        apart = 0.0
+        for _ in range(depth):
+            together = k / COORDINATES * (1 - apart)
+            apart = (1 - together) * (1 - (1 / branch - 1) * together)
+        total += math.comb(COORDINATES, k) * threshold**k * (1 - threshold) ** (COORDINATES - k) * apart**trees
+    return total
+
+
+@functools.cache
+def branching(threshold: float, trees: int, depth: int) -> float:
+    """The greatest lambda, at most the threshold, in hundredths, that misses no more than ``MISS``; at
+    least 0.5, where every node takes two coordinates."""
+    steps = range(int(threshold * 100), 49, -1)
+    return next((i / 100 for i in steps if missed(threshold, i / 100, trees, depth) <= MISS), 0.5)
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of the distinct shingles, ascending."""
     starts, ends, text_of = R.word_bounds(R.lower_ascii(data), offsets)
@@ -102,7 +127,7 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
 
 
-def _branch(rows: DataFrame) -> DataFrame:
+def _branch(rows: DataFrame, lam: float) -> DataFrame:
     """(node, class_id, sketch) -> (node, class_id) one level below."""
 
     def run(batches):
@@ -114,7 +139,7 @@ def _branch(rows: DataFrame) -> DataFrame:
             for turn in range(2):
                 draw = R.mix(node + np.uint64(0x9E3779B97F4A7C15 * (turn + 1) % (1 << 64)))
                 coordinate = (draw % np.uint64(COORDINATES)).astype(np.int64)
-                chosen = np.ones(len(node), bool) if turn == 0 else (R.mix(draw) >> np.uint64(11)) * 2.0**-53 < 1 / LAMBDA - 1
+                chosen = np.ones(len(node), bool) if turn == 0 else (R.mix(draw) >> np.uint64(11)) * 2.0**-53 < 1 / lam - 1
                 token = matrix[np.arange(len(node)), coordinate].astype(np.uint64)
                 below = R.mix(node ^ R.mix(token + (coordinate.astype(np.uint64) << np.uint64(40))))
                 out_node.append(below[chosen].view(np.int64))
@@ -191,7 +216,8 @@ def _candidates(reps: DataFrame, trees: int, threshold: float) -> DataFrame:
     """Edges whose components hold every pair that the trees bring together."""
     spark = reps.sparkSession
     node = reps.withColumn("node", F.explode(F.array(*[F.xxhash64(F.lit(f"tree-{t}")) for t in range(trees)])))
-    rows = materialise(_branch(node), "nodes")
+    lam = branching(threshold, trees, DEPTH)
+    rows = materialise(_branch(node, lam), "nodes")
     edges: DataFrame | None = None
     for depth in range(DEPTH):
         counts = materialise(rows.groupBy("node").count().filter("count > 1"), "counts")
@@ -206,7 +232,7 @@ def _candidates(reps: DataFrame, trees: int, threshold: float) -> DataFrame:
             first = large.groupBy("node").agg(F.min("class_id").alias("b"))
             edges = edges.unionByName(large.join(first, "node").select(F.col("class_id").alias("a"), "b"))
             break
-        rows = materialise(_branch(large.join(reps, "class_id")), "nodes")
+        rows = materialise(_branch(large.join(reps, "class_id"), lam), "nodes")
     return edges if edges is not None else spark.createDataFrame([], "a long, b long")
 
 

@@ -313,6 +313,19 @@ def test_audio_edges(spark):
     assert audio.search(df.limit(0), clip.limit(0)).isEmpty()
 
 
+def test_trees_keep_their_recall_in_the_deepest_nodes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NODE", 1)
+    random = np.random.default_rng(4)
+    one = random.integers(0, 1 << 32, (2000, 64), dtype=np.uint32)
+    two = np.where(random.random(one.shape) < 0.8, one, random.integers(0, 1 << 32, one.shape, dtype=np.uint32))
+    rows = [(2 * i + j, x[i].tobytes()) for i in range(len(one)) for j, x in enumerate((one, two))]
+    reps = spark.createDataFrame(rows, "class_id long, sketch binary")
+    found = near_dedup._candidates(reps, near_dedup.TREES, 0.8).filter("a <> b").selectExpr("least(a, b) AS a").distinct().count()
+    assert len(one) - found <= 3
+    for threshold in (0.8, 0.85):
+        assert near_dedup.missed(threshold, near_dedup.branching(threshold, near_dedup.TREES, near_dedup.DEPTH), near_dedup.TREES, near_dedup.DEPTH) <= near_dedup.MISS
+
+
 def test_near_hot_group_against_brute_force(spark, monkeypatch):
     import random
 
