@@ -26,6 +26,8 @@ import functools
 import hashlib
 import math
 import re
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,8 @@ _SIGNS = r"@$!|+€(*#%&"
 #: What is between white space and punctuation that looks like no letter; split at underscores.
 TOKEN = re.compile(rf"[\w{_SIGNS}]+")
 DOUBLED = re.compile(r"([^\W\d_])\1")
+#: Runs of an equal letter, and signs and digits.
+RUNS = re.compile(r"([^\W\d_])\1+|([\W\d_])\2*")
 _UNIT, _BETWEEN = rf"(?:[^\W_]|[@$!|+€(#%&])", r"[\s.\-_*,/]+"
 SPACED = re.compile(rf"(?<![^\W_])(?:{_UNIT}{_BETWEEN}){{2,}}{_UNIT}(?![^\W_])")
 KEEP, SUBSTITUTE, SHORTEN = math.log(0.6), math.log(0.2), math.log(0.2)
@@ -60,8 +64,12 @@ KEEP, SUBSTITUTE, SHORTEN = math.log(0.6), math.log(0.2), math.log(0.2)
 DROP = math.log(0.01)
 #: Words of a spaced run are read if a path through them is so close to the best one; those on the best path always.
 CLOSE, CLOSE_LETTERS = 8.0, 32
+#: Letters of a run of single letters that are read together.
+RUN_WINDOW = 2048
 #: Restored tokens up to this length are remembered.
 REMEMBERED = 64
+#: Steps of Viterbi after which the common part of all paths is settled.
+SETTLE = 512
 
 
 def symbol(char: str) -> int:
@@ -115,10 +123,14 @@ class CharModel:
 class Restorer:
     """Viterbi over the lattice of one disguised token; results for tokens of ordinary length are remembered."""
 
-    def __init__(self, chars: CharModel, heads: frozenset[str] | None = None):
-        """With ``heads``, the first letters of all words that count, runs of letters single (``Model.runs``),
-        tokens of letters whose every reading begins otherwise are not searched."""
-        self.logp, self.heads = chars.logp, heads
+    def __init__(self, chars: CharModel, runs: frozenset[str] | None = None):
+        """With ``runs``, the beginnings of all words that count, runs of letters single (``Model.runs``),
+        tokens of which no reading begins so are not searched."""
+        self.logp, self.runs = chars.logp, runs
+        #: From any state the same letters lead on, and two of them to one state: a path that is so far behind
+        #: another can't win any more.
+        self.behind = 3 * float(self.logp.max() - self.logp.min())
+        self.stems = frozenset(r[:size] for r in runs or () for size in range(len(r) + 1))
         self.remembered = functools.lru_cache(1 << 16)(self._restore)
         self.known = functools.lru_cache(1 << 17)(self._words)
 
@@ -127,27 +139,48 @@ class Restorer:
         return self.known(token) if len(token) <= REMEMBERED else self._words(token)
 
     def _words(self, token: str) -> tuple[str, ...]:
-        if not may_hide(token):
+        if not may_hide(token) or (self.runs is not None and not self.may_begin(token)):
             return tuple(WORD.findall(token))
-        if self.heads is not None and token.isalpha():
-            single = single_runs(token)
-            if not any(single[:size] in self.heads for size in range(1, PREFIXES[0] + 1)):
-                return (token,)
         return (*WORD.findall(token), self._restore(token))
 
+    def may_begin(self, token: str) -> bool:
+        """Does any reading of the token begin like a word that counts?"""
+        alive, before = {""}, ""
+        for char in token:
+            if char == before:
+                continue
+            before = char
+            letter = char.isalpha()
+            new = set() if letter else set(alive)  # a sign may stand for nothing
+            for c in char if letter else LOOKALIKES.get(char, ""):
+                for start in alive:
+                    longer = start if start.endswith(c) and start else start + c
+                    if longer in self.runs:
+                        return True
+                    if longer in self.stems:
+                        new.add(longer)
+            if not new:
+                return False
+            alive = new
+        return False
+
     def restore(self, token: str) -> str:
         return self.remembered(token) if len(token) <= REMEMBERED else self._restore(token)
 
-    def readings(self, token: str) -> list[list[tuple[str, float]]]:
-        """For every run of equal characters, what it may stand for."""
-        out, i = [], 0
-        letters_at = [m.start() for m in WORD.finditer(token)]
-        first, last = (letters_at[0], max(m.end() for m in WORD.finditer(token))) if letters_at else (0, len(token))
-        while i < len(token):
-            j = i
-            while j < len(token) and token[j] == token[i]:
-                j += 1
-            char, length = token[i], j - i
+    def readings(self, token: str, apart: bool = False) -> Iterator[list[tuple[str, float]]]:
+        """What each part may stand for: letters that stand once are one part with one reading (each its own
+        part with ``apart``), every run of equal letters or signs is a part with several."""
+        found = WORD.search(token)
+        first = found.start() if found else 0
+        last = len(token) - WORD.search(token[::-1]).start() if found else len(token)
+        at = 0
+        for run in chain(RUNS.finditer(token), (None,)):
+            begin = run.start() if run else len(token)
+            if begin > at:
+                yield from [[(c, KEEP)] for c in token[at:begin]] if apart else [[(token[at:begin], 0.0)]]
+            if run is None:
+                return
+            at, char, length = run.end(), token[begin], run.end() - begin
             letters = LOOKALIKES.get(char, "")
             own = [(char, KEEP if not letters else SUBSTITUTE + math.log(0.05))] if char.isalpha() else []
             own += [(c, SUBSTITUTE - math.log(max(1, len(letters)))) for c in letters]
@@ -156,41 +189,73 @@ class Restorer:
                 node.append((c, cost + (SHORTEN if length > 1 else 0)))
                 if length > 1:
                     node.append((c * 2, cost + (KEEP if length == 2 else SHORTEN)))
-            if node and (j <= first or i >= last):
+            if node and (at <= first or begin >= last):
                 node.append(("", DROP))
             if node:
-                out.append(node)
-            i = j
-        return out
+                yield node
 
     def _restore(self, token: str, breaks: bool = False) -> str:
-        """The best path; with ``breaks`` a word may end after any reading, shown by a blank."""
+        """The best path; with ``breaks`` a word may end after any reading, shown by a blank. What all paths
+        have in common is settled now and then, so that memory is bounded."""
+        out: list[str] = []
         best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for node in self.readings(token):
+        for step, node in enumerate(self.readings(token, breaks), 1):
             if breaks:
                 node = node + [(reading + " ", cost) for reading, cost in node]
             new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, path) in best.items():
                 for reading, cost in node:
                     x, y, s = a, b, score + cost
-                    for c in reading:
+                    # behind two letters of its own a reading costs the same on every path
+                    for c in reading[:2] if len(node) == 1 else reading:
                         z = symbol(c)
                         s += float(self.logp[x, y, z])
                         x, y = y, z
+                    if len(node) == 1 and len(reading) > 2:
+                        x, y = symbol(reading[-2]), symbol(reading[-1])
                     if (x, y) not in new or s > new[x, y][0]:
-                        new[x, y] = (s, (path, reading))
+                        new[x, y] = (s, (path, reading) if reading else path)
             best = new
+            if step % SETTLE == 0:
+                least = max(s for s, _ in best.values()) - self.behind
+                best = self._settle({state: x for state, x in best.items() if x[0] >= least}, out)
         # a path that ends with a break has paid for the edge
         _, path = max(((s + (float(self.logp[a, b, 0]) if b else 0.0), path) for (a, b), (s, path) in best.items()), key=lambda x: x[0])
-        out = []
-        while path is not None:
-            path, reading = path
-            out.append(reading)
-        return "".join(reversed(out))
+        settled, parts = _unwound(path)
+        return "".join(out + parts if settled else parts)
+
+    @staticmethod
+    def _settle(best: dict, out: list[str]) -> dict:
+        """Move what the paths that were settled before, or all if none was, have in common to ``out``. Paths
+        that have left out every sign so far are empty and wait for their first letter."""
+        unwound = {state: _unwound(path) for state, (_, path) in best.items()}
+        several = [parts for settled, parts in unwound.values() if settled or (not out and parts)]
+        same = 0
+        for column in zip(*several):
+            if len(set(column)) > 1:
+                break
+            same += 1
+        if not same:
+            return best
+        begun = bool(out)
+        out += several[0][:same]
+        new = {}
+        for state, (settled, parts) in unwound.items():
+            path = best[state][1]
+            if settled or (not begun and parts):
+                path = functools.reduce(lambda before, x: (before, x), parts[same:], _SETTLED)
+            new[state] = (best[state][0], path)
+        return new
 
     def words_in(self, run: str) -> set[str]:
-        """The words of a run of single letters, whose boundaries are unknown: those of the best path through
-        its lattice, and those on any segmentation of the restored letters that is nearly as good."""
+        """The words of a run of single letters, whose boundaries are unknown; a long run is read in windows
+        that overlap by two words of ``CLOSE_LETTERS``."""
+        step = RUN_WINDOW - 2 * CLOSE_LETTERS
+        return set().union(*(self._words_in(run[i : i + RUN_WINDOW]) for i in range(0, max(1, len(run) - 2 * CLOSE_LETTERS), step)))
+
+    def _words_in(self, run: str) -> set[str]:
+        """The words of the best path through the run's lattice, and those on any segmentation of the restored
+        letters that is nearly as good."""
         best = self._restore(run, breaks=True)
         letters = best.replace(" ", "")
         codes, count = [symbol(c) for c in letters], len(letters)
@@ -216,6 +281,18 @@ class Restorer:
         return out
 
 
+_SETTLED = ()
+
+
+def _unwound(path: tuple | None) -> tuple[bool, list[str]]:
+    """Whether a path goes on from what is settled, and its own parts."""
+    out = []
+    while path:
+        path, reading = path
+        out.append(reading)
+    return path is _SETTLED, out[::-1]
+
+
 def single_runs(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", word)
 
@@ -244,7 +321,7 @@ def spaced(text: str) -> list[str]:
 
 
 def words_of(text: str, restorer: Restorer) -> set[str]:
-    """The distinct words of a text and of its restored tokens."""
+    """The distinct words of a text and of its restored tokens; learning reads all, ``Scorer`` those that count."""
     text = text.lower()
     words = set()
     for token in tokens_of(text):
@@ -256,7 +333,7 @@ def words_of(text: str, restorer: Restorer) -> set[str]:
     return words
 
 
-def features(words: set[str]) -> set[str]:
+def spelled_features(words: set[str]) -> set[str]:
     """Words and their prefixes, which are marked by a star."""
     return words.union(*({w[:size] + "*" for w in words if len(w) > size} for size in PREFIXES))
 
@@ -273,26 +350,56 @@ class Model:
         self.heads = {f.rstrip("*")[: PREFIXES[0]] for f in self.odds}
         self.runs = frozenset(map(single_runs, self.heads))
 
-    def score(self, words: set[str]) -> float:
-        found = []
-        for word in words:
-            if word[: PREFIXES[0]] in self.heads:
-                best = max([self.odds.get(word, 0.0), *(self.odds.get(word[:size] + "*", 0.0) for size in PREFIXES if len(word) > size)])
-                if best > 0:
-                    found.append(best)
-        odds = sum(sorted(found)[-STRONGEST:]) if found else self.base
+    def weight(self, word: str) -> float:
+        """Odds of the strongest feature of a word, 0 if none speaks for toxic."""
+        if word[: PREFIXES[0]] not in self.heads:
+            return 0.0
+        return max([0.0, self.odds.get(word, 0.0), *(self.odds.get(word[:size] + "*", 0.0) for size in PREFIXES if len(word) > size)])
+
+    def score(self, words: Iterable[str]) -> float:
+        """Of distinct words."""
+        return self.curve([w for w in map(self.weight, words) if w])
+
+    def curve(self, weights: Iterable[float]) -> float:
+        strongest = sorted(weights)[-STRONGEST:]
+        odds = sum(strongest) if strongest else self.base
         return 1 / (1 + math.exp(-(self.slope * odds + self.shift)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int = 3, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """At most ``sample`` labelled texts outside the held-out fold, chosen by a hash of the id; equal texts count once."""
+class Scorer:
+    """Scores texts; of each distinct token only the words that count are remembered."""
+
+    def __init__(self, model: Model, chars: CharModel | None = None):
+        self.model, self.restorer = model, Restorer(chars or model.chars, model.runs)
+        self.remembered = functools.lru_cache(1 << 18)(self._hits)
+
+    def _hits(self, token: str) -> tuple[tuple[str, float], ...]:
+        return tuple((word, weight) for word in set(self.restorer._words(token)) if (weight := self.model.weight(word)))
+
+    def __call__(self, text: str | None) -> float:
+        text = (text or "").lower()
+        found: dict[str, float] = {}
+        for token in tokens_of(text):
+            hits = self.remembered(token) if len(token) <= REMEMBERED else self._hits(token)
+            if hits:
+                found.update(hits)
+        for run in spaced(text):
+            found.update((word, weight) for word in (self.restorer.restore(run), *self.restorer.words_in(run)) if (weight := self.model.weight(word)))
+        return self.model.curve(found.values())
+
+
+def learn(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int = 3, sample: int = SAMPLE, features: int = FEATURES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """From at most ``sample`` labelled texts outside the held-out fold, chosen by a hash of the id; equal texts
+    count once. The lexicon keeps the ``features`` strongest. Other columns of both frames, whatever their
+    names, are not looked at."""
     spark = docs.sparkSession
     small_batches(spark)
     chars = CharModel.of((r.gram, r.n) for r in count_trigrams(docs, text_col).collect())
     fold = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
-    able = labels.filter((fold != held) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = able.groupBy(F.col(id_col).alias("pick")).agg(F.max(label_col).cast("int").alias("toxic")).orderBy(F.xxhash64("pick"), "pick").limit(sample)
-    picked = docs.join(F.broadcast(chosen), docs[id_col] == F.col("pick")).select("pick", "toxic", F.col(text_col).alias("text"))
+    able = labels.filter((fold != held) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("pick"), F.col(label_col).alias("toxic"))
+    chosen = able.groupBy("pick").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("pick"), "pick").limit(sample)
+    slim = docs.select(F.col(id_col).alias("pick"), F.col(text_col).alias("text"))
+    picked = slim.join(F.broadcast(chosen), "pick").select("pick", "toxic", "text")
     shared = spark.sparkContext.broadcast(chars)
 
     def spell(batches):
@@ -306,13 +413,13 @@ def learn(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int = 3, sam
                 if len(first):
                     family[present] = values[first]
                 for i, text in enumerate(part.column(2).to_pylist()):
-                    own = sorted(features(words_of(text or "", restorer)))
+                    own = sorted(spelled_features(words_of(text or "", restorer)))
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.string()), pa.array([part.column(1)[i].as_py()] * len(own), pa.int32()), pa.array([int(family[i].view(np.int64))] * len(own), pa.int64())], names=["feature", "toxic", "family"])
 
     spelled = picked.mapInArrow(tidy(spell), "feature string, toxic int, family long").distinct()
     counts = spelled.groupBy("feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).filter((F.col("bad") >= SUPPORT) & (F.col("bad") >= PRECISION * F.col("n")))
     odds = F.log(F.col("bad") / (F.col("n") - F.col("bad") + 1))
-    lexicon = {r.feature: r.odds for r in counts.select("feature", odds.alias("odds")).orderBy(F.desc("odds"), "feature").limit(FEATURES).collect()}
+    lexicon = {r.feature: r.odds for r in counts.select("feature", odds.alias("odds")).orderBy(F.desc("odds"), "feature").limit(features).collect()}
     size = picked.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     rate = math.log((size[1] + 1e-3) / (size[0] - size[1] + 1))
     if not lexicon:
@@ -325,9 +432,9 @@ def calibrate(model: Model, picked: DataFrame, shared) -> Model:
     plain = dataclasses.replace(model, chars=None)
 
     def run(batches):
-        restorer = Restorer(shared.value, plain.runs)
+        scorer = Scorer(plain, shared.value)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([plain.score(words_of(t or "", restorer)) for t in batch.column(2).to_pylist()], pa.float64())], names=["toxic", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(map(scorer, batch.column(2).to_pylist())), pa.float64())], names=["toxic", "score"])
 
     rows = picked.mapInArrow(tidy(run), "toxic int, score double").collect()
     y = np.array([r.toxic for r in rows], float)
@@ -350,11 +457,10 @@ def score(docs: DataFrame, model: Model, held: int = 1, folds: int = 3, threshol
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed table of characters and at most FEATURES features
 
     def run(batches):
-        model = shared.value
-        restorer = Restorer(model.chars, model.runs)
+        scorer = Scorer(shared.value)
         for batch in batches:
             for part in slices(batch, 1):
-                scores = [model.score(words_of(t or "", restorer)) for t in part.column(1).to_pylist()]
+                scores = list(map(scorer, part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     out = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), "doc_id long, score double")
@@ -369,11 +475,10 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text
     at = docs.columns.index(text_col)
 
     def run(batches):
-        model = shared.value
-        restorer = Restorer(model.chars, model.runs)
+        scorer = Scorer(shared.value)
         for batch in batches:
             for part in slices(batch, at):
-                fine = [model.score(words_of(t or "", restorer)) < threshold for t in part.column(at).to_pylist()]
+                fine = [scorer(t) < threshold for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(fine, pa.bool_()))
 
     return docs.mapInArrow(tidy(run), docs.schema)
