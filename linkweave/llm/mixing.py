@@ -1,24 +1,29 @@
 """Mixing sources to target weights by quotas of blocks and a hypergeometric splitting tree.
 
-Only DataFrame functions touch rows. A source's documents are permuted by a hash of their id; the
-permuted order is cut into about sqrt(n) equal ranges of the hash, its blocks. The target of a source
-is full passes over it and a rest; the rest takes whole blocks in permuted order, and of the one block
-in which it ends the documents up to the boundary. No step gathers a source in one task: sums run over
-blocks (sqrt(n) rows a source) and over one block's documents (about sqrt(n)).
-
-``plan_shards`` then deals the quotas of blocks out to output shards: each node of a binary tree
-splits its exact block counts per source by a multivariate hypergeometric draw, so that every shard
-gets its share of every source without replacement. A shard's blocks are disjoint and its documents
-are shuffled locally by hash. ``report`` counts the rows dealt this way, and ``shuffled`` is the mix in their order.
-
-Defined results: a null text has size 0 and is taken 0 words; a null source is a source, last in
-order; sources of size 0 have target 0; repeated rows each count, and are ordered by id hash and then
-alike; an empty table gives an empty result; other columns are kept by ``mix``, ignored by ``report``.
+Only DataFrame functions touch rows. Rows are written once with a number of their own, so that repeated
+ids, also across sources, are told apart. A source's documents are permuted by a hash of their id; the
+permuted order is cut into about sqrt(n) equal ranges of the hash, its blocks. The target of a source is
+full passes over it and a rest; the rest takes whole blocks in permuted order, and of the one block in
+which it ends the ids up to the boundary, and of the id at the boundary (which may repeat) its rows in
+blocks again. No step gathers a source or an id in one task: sums run over blocks (sqrt(n) rows), over
+the ids of one block, and over one more block of rows.
+
+The taken blocks are then dealt out to output shards by a tree. A node holds exact quotas of blocks per
+source; its blocks are permuted and the permutation is cut between its children at their exact sizes, so
+that every child's quotas are a multivariate hypergeometric draw from its parent's. The tree is a table
+that grows by one level at a time (``split``): the permutation of a node is ranked in about sqrt(n)
+ranges of its hash, so the root needs no single task either, and the number of sources and shards has no
+bound. A shard's blocks are disjoint, and its rows are shuffled locally by hash. ``report`` counts the
+rows dealt this way, ``mix`` has each row as often as it is dealt, and ``shuffled`` has them in their order.
+
+Defined results: a null text has size 0 and is taken 0 words; a null source is a source, last in order;
+sources of size 0 have target 0; repeated rows each count as rows of their own, and are ordered by id
+hash, size and row number; a null id is an id; an empty table gives an empty result; other columns,
+whatever their names, are kept by ``mix`` and ``shuffled``, ignored by ``report``.
 """
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,15 +32,17 @@ from linkweave.sources.storage import materialise
 WEIGHTS = (1, 2, 3)
 CAP = 3
 SEED = "mix-1"
-#: Beyond so many sources shards are dealt by hash instead of by the tree (see ``plan_shards``).
-MAX_TREE_SOURCES = 10_000
 #: Words of a shard, and the bounds of the number of shards.
 SHARD_WORDS = 4_000_000
 LEAST_SHARDS, MOST_SHARDS = 16, 1 << 16
+#: Children of a node of the tree.
+FAN = 64
+#: Ranges in which the sources are ordered.
+RANGES = 32
 
 
 def words(text: Column) -> Column:
-    """Number of words without building them: spaces to one blank, then count the changes into words."""
+    """Number of words without building them."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
@@ -43,123 +50,162 @@ def order_key(id_col: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(id_col.cast("string"), F.lit("null"))))
 
 
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``name``: place of each row, from 0, in ``order``, by sorted ranges instead of one window over all rows."""
+    ranges = df.repartitionByRange(RANGES, *order).withColumn("__range", F.spark_partition_id())
+    ranges = materialise(ranges, "ranges")
+    counts = ranges.groupBy("__range").agg(F.count("*").alias("__n"))  # at most RANGES rows
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("__range", before.alias("__before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*order)) - 1 + F.col("__before")
+    return ranges.join(F.broadcast(counts), "__range").withColumn(name, place.cast("long")).drop("__range", "__before")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """source, source_size, n_docs -> also target. Sources are taken in the order in which they reach
-    their cap; the first that doesn't sets the words that a unit of weight gets."""
-    one = Window.partitionBy(F.lit(0))
-    by_name = one.orderBy(F.col("source").isNull(), F.col("source"))
-    rank = F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights)))
-    ranked = sizes.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank + 1).cast("int")).cast("long"))
-    ranked = ranked.withColumn("ratio", cap * F.col("source_size") / F.col("weight"))
-    before = one.orderBy("ratio", F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.sum("source_size").over(one) - F.coalesce(F.sum(cap * F.col("source_size")).over(before), F.lit(0))
-    heavy = F.sum("weight").over(one) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    ranked = ranked.withColumn("unit", left / heavy).withColumn("free", F.col("ratio") >= F.col("unit"))
-    ranked = ranked.withColumn("unit", F.min(F.when(F.col("free"), F.struct("ratio", F.col("source").isNull(), "source", "unit"))).over(one)["unit"])
-    target = F.when(F.col("free"), F.col("weight") * F.col("unit")).otherwise((cap * F.col("source_size")).cast("double"))
-    return ranked.select("source", "source_size", "n_docs", "weight", target.alias("target"))
-
-
-def _take(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], cap: int, seed: str) -> tuple[DataFrame, DataFrame]:
-    """(documents with their block and how often they are taken, plan of the sources)."""
-    slim = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), F.monotonically_increasing_id().alias("row"))
-    docs = materialise(slim.withColumn("key", order_key(F.col("doc_id"), seed)).withColumn("spread", F.conv(F.substring("key", 1, 8), 16, 10).cast("long")), "mix")
+    """source, source_size, n_docs -> also weight and target. Sources that would get more than ``cap`` times
+    their size get that, and the rest is shared anew by weight until none is above; each round is one sum
+    over the sources."""
+    rank = F.pmod(F.col("__rank"), F.lit(len(weights)))
+    plan = ranked(sizes, [F.col("source").isNull(), F.col("source")], "__rank")
+    plan = plan.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank + 1).cast("int")).cast("long")).drop("__rank")
+    plan = materialise(plan, "weights")
+    unit, full = 0.0, -1
+    while True:
+        free = cap * F.col("source_size") / F.col("weight") >= unit
+        row = plan.agg(
+            F.coalesce(F.sum("source_size"), F.lit(0)).alias("all"),
+            F.coalesce(F.sum(F.when(~free, cap * F.col("source_size"))), F.lit(0)).alias("capped"),
+            F.coalesce(F.sum(F.when(free, F.col("weight"))), F.lit(0)).alias("weight"),
+            F.count_if(~free).alias("full"),
+        ).first()
+        if not row.weight or row.full == full:
+            break
+        unit, full = (row["all"] - row.capped) / row.weight, row.full
+    target = F.when(free, F.col("weight") * F.lit(unit)).otherwise((cap * F.col("source_size")).cast("double"))
+    return plan.select("source", "source_size", "n_docs", "weight", target.cast("double").alias("target"))
+
+
+def _blocks(n: Column) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(n))).cast("long")
+
+
+def _cut(rows: DataFrame, part: Column, tag: str) -> DataFrame:
+    """Rows with ``node`` and ``room``, the words that their node still takes in the order of ``part``. Adds
+    ``left``, what is left of the room where the row's part begins, ``part_size``, ``part_rows`` and ``at``."""
+    rows = rows.withColumn("part", part).withColumn("at", F.xxhash64("node", "part"))
+    # grouped by one hash of node and part, so that partial sums are shuffled whatever the rows came from
+    sums = rows.groupBy("at").agg(F.sum("size").alias("part_size"), F.count("*").alias("part_rows"), *(F.first(c).alias(c) for c in ("node", "part", "room")))
+    so_far = Window.partitionBy("node").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("room") - F.coalesce(F.sum("part_size").over(so_far), F.lit(0))
+    return materialise(rows.join(sums.select("at", "part_size", "part_rows", left.alias("left")), "at"), tag)
+
+
+#: The room ends within the row's part.
+_ENDS = "left > 0 and left < part_size"
+
+
+def _take(df: DataFrame, row: Column, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], cap: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with their block and how often they are taken, plan of the sources); ``row`` numbers the rows."""
+    slim = df.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"))
+    docs = materialise(slim.withColumn("key", order_key(F.col("doc_id"), seed)), "mix")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    plan = materialise(targets(sizes, weights, cap).coalesce(1), "mixplan")
-    named = plan.select(F.col("source").alias("s"), "source_size", "target", F.greatest(F.lit(1), F.ceil(F.sqrt("n_docs"))).alias("n_blocks"))
-    # as many rows as sources; a source's many documents are split by adaptive execution
-    docs = docs.join(named, docs["source"].eqNullSafe(named["s"])).withColumn("block", F.shiftright(F.col("spread") * F.col("n_blocks"), 32))
-    docs = docs.withColumn("sid", F.xxhash64("source", F.col("source").isNull())).withColumn("at", F.xxhash64("sid", "block"))
+    plan = materialise(targets(sizes, weights, cap), "mixplan")
     passes = F.least(F.floor(F.coalesce(F.try_divide("target", "source_size"), F.lit(0))), F.lit(cap))
-    docs = docs.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * F.col("source_size"))
-    # grouped by one hash of source and block, so that partial sums are shuffled whatever the join was
-    blocks = docs.groupBy("at").agg(F.sum("size").alias("block_size"), *(F.first(c).alias(c) for c in ("rest", "sid", "block")))
-    so_far = Window.partitionBy("sid").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("before", F.coalesce(F.sum("block_size").over(so_far), F.lit(0))).withColumn("room", F.col("rest") - F.col("before"))
-    docs = docs.drop("rest").join(blocks.select("at", "room", "block_size"), "at")
-    # Whole blocks need no order; the window sees the documents of boundary blocks only.
-    edge = (F.col("room") > 0) & (F.col("room") < F.col("block_size"))
-    within = Window.partitionBy("at").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    inside = docs.filter(edge).withColumn("seen", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    # the document over the boundary is taken if that comes nearer to the target
-    inside = inside.withColumn("extra", F.when(F.col("seen") + F.col("size") / 2 <= F.col("room"), 1).otherwise(0)).drop("seen")
-    outside = docs.filter(~edge).withColumn("extra", F.when(F.col("room") > 0, 1).otherwise(0))
-    return outside.unionByName(inside).withColumn("times", (F.col("passes") + F.col("extra")).cast("long")), plan
-
-
-def plan_shards(blocks: list[tuple[int, int]], shards: int, seed: int = 0) -> list[tuple[int, int, int, int]]:
-    """(source, block units) -> (source, shard, first unit, end). Only counts come here, no documents.
-
-    Every node of the tree stands for a range of shards and holds exact counts per source; the units of
-    its left half are a multivariate hypergeometric draw from them.
-    """
-    random = np.random.default_rng(seed)
-    done = [0] * len(blocks)
-    out: list[tuple[int, int, int, int]] = []
-    todo = [(0, shards, np.array([n for _, n in blocks], np.int64))]
-    while todo:
-        low, high, counts = todo.pop()
-        if high - low == 1:
-            for i, n in enumerate(counts.tolist()):
-                if n:
-                    out.append((blocks[i][0], low, done[i], done[i] + n))
-                    done[i] += n
-            continue
-        middle = (low + high) // 2
-        total = int(counts.sum())
-        left = random.multivariate_hypergeometric(counts, total * (middle - low) // (high - low), method="marginals") if total else counts
-        todo += [(middle, high, counts - left), (low, middle, left)]
+    named = plan.select(F.col("source").alias("s"), "source_size", "target", _blocks(F.col("n_docs")).alias("n_blocks"), passes.alias("passes"))
+    # as many rows as sources; a source's many documents are split by adaptive execution
+    docs = docs.join(named, docs["source"].eqNullSafe(named["s"])).drop("s")
+    docs = docs.withColumn("sid", F.xxhash64("source", F.col("source").isNull())).withColumn("node", F.col("sid")).withColumn("room", F.col("target") - F.col("passes") * F.col("source_size"))
+    spread = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
+    base = _cut(docs.drop("source"), F.shiftright(spread * F.col("n_blocks"), 32), "blocks").withColumnRenamed("part", "block")
+    # of the block in which the room ends the ids in permuted order, of the last id its rows
+    down = lambda rows: rows.filter(_ENDS).select("row", "key", "size", F.col("at").alias("node"), F.col("left").alias("room"), "part_rows")
+    ids = _cut(down(base).drop("part_rows"), F.col("key"), "ids")
+    any_order = F.shiftright(F.shiftrightunsigned(F.xxhash64("row"), 32) * _blocks(F.col("n_rows")), 32)
+    rows = _cut(down(ids).withColumnRenamed("part_rows", "n_rows"), any_order, "idrows")
+    within = Window.partitionBy("at").orderBy("size", "row").rowsBetween(Window.unboundedPreceding, -1)
+    # the row over the boundary is taken if that comes nearer to the target
+    last = rows.filter(_ENDS).withColumn("seen", F.coalesce(F.sum("size").over(within), F.lit(0))).select("row", (F.col("seen") + F.col("size") / 2 <= F.col("left")).cast("int").alias("some"))
+    whole = lambda x: x.filter(f"not ({_ENDS})").select("row", (F.col("left") > 0).cast("int").alias("some"))
+    edge = whole(ids).unionByName(whole(rows)).unionByName(last).withColumnRenamed("row", "r")
+    some = F.coalesce("some", (F.col("left") > 0).cast("int"))
+    taken = base.join(edge, F.col("row") == F.col("r"), "left").withColumn("times", (F.col("passes") + some).cast("long"))
+    return materialise(taken.select("row", "doc_id", "key", "size", "source_size", "target", "sid", "block", "times"), "taken"), plan
+
+
+def fans(shards: int) -> list[int]:
+    """Children of a node on each level of a tree with at least ``shards`` leaves."""
+    out = []
+    while shards > 1:
+        out.append(min(FAN, shards))
+        shards = -(-shards // out[-1])
     return out
 
 
+def split(units: DataFrame, levels: list[int], seed: str = SEED) -> DataFrame:
+    """units: ``unit``, a number of its own, and other columns -> with ``mix_shard``, a leaf of the tree. On each
+    level a node's units are permuted by a hash and cut at the exact sizes of its children."""
+    now = units.withColumn("mix_shard", F.lit(0).cast("long"))
+    for level, fan in enumerate(levels):
+        now = now.withColumn("h", F.xxhash64(F.lit(seed), F.lit(level), "unit"))
+        sizes = now.groupBy("mix_shard").agg(F.count("*").alias("n"))
+        now = now.join(materialise(sizes, "nodes"), "mix_shard").withColumn("bucket", F.shiftright(F.shiftrightunsigned("h", 32) * _blocks(F.col("n")), 32))
+        counts = now.groupBy("mix_shard", "bucket").agg(F.count("*").alias("c"))
+        so_far = Window.partitionBy("mix_shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.select("mix_shard", "bucket", F.coalesce(F.sum("c").over(so_far), F.lit(0)).alias("before"))
+        inside = Window.partitionBy("mix_shard", "bucket").orderBy(F.shiftrightunsigned("h", 32), "h", "unit")
+        now = now.join(counts, ["mix_shard", "bucket"]).withColumn("rank", F.col("before") + F.row_number().over(inside) - 1)
+        now = now.withColumn("mix_shard", F.col("mix_shard") * fan + F.floor(F.col("rank") * fan / F.col("n")).cast("long")).select(*units.columns, "mix_shard")
+        now = materialise(now, "tree")
+    return now
+
+
 def shard_count(plan: DataFrame) -> int:
     total = plan.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
     return min(MOST_SHARDS, max(LEAST_SHARDS, -(-int(total) // SHARD_WORDS)))
 
 
-def _deal(picked: DataFrame, seed: str, shards: int) -> DataFrame:
+def _deal(taken: DataFrame, seed: str, shards: int) -> DataFrame:
     """Each taken row once per copy, with its ``mix_shard`` and ``mix_order``."""
-    copies = picked.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
-    units = copies.select("sid", "copy", "block").distinct()
-    per_source = units.groupBy("sid").agg(F.count("*").alias("n"))
-    spark = picked.sparkSession
-    if per_source.count() <= MAX_TREE_SOURCES:
-        rows = plan_shards(sorted((r.sid, r.n) for r in per_source.collect()), shards)
-        dealt = spark.createDataFrame(rows, "sid long, mix_shard int, low long, high long").select("sid", "mix_shard", F.explode(F.sequence("low", F.col("high") - 1)).alias("unit"))
-        unit_no = F.row_number().over(Window.partitionBy("sid").orderBy("copy", F.md5(F.concat_ws(":", F.lit(seed), "block", "copy")), "block")) - 1
-        units = units.withColumn("unit", unit_no.cast("long")).join(dealt, ["sid", "unit"])
-    else:
-        units = units.withColumn("mix_shard", F.pmod(F.xxhash64("sid", "copy", "block"), F.lit(shards)).cast("int"))
-    placed = copies.join(units.select("sid", "copy", "block", "mix_shard"), ["sid", "copy", "block"])
-    return placed.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(seed), "mix_shard", "key", "copy")))
+    copies = taken.filter("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).withColumn("unit", F.xxhash64("sid", "copy", "block"))
+    units = split(copies.select("unit", "sid").distinct(), fans(shards), seed)
+    placed = copies.join(units.select("unit", "mix_shard"), "unit")
+    return placed.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(seed), "mix_shard", "key", "copy", "row")))
 
 
 def report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, shards: int = 0) -> DataFrame:
-    """``taken`` is counted over the rows dealt to shards (``shards``, or as many as the targets fill)."""
-    docs, plan = _take(df, id_col, text_col, source_col, weights, cap, seed)
-    docs = materialise(docs, "taken")
-    dealt = _deal(docs.filter("times > 0"), seed, shards or shard_count(plan)).groupBy("row").agg(F.count("*").alias("dealt"))
-    return docs.join(dealt, "row", "left").select("doc_id", "size", "source_size", "target", (F.coalesce("dealt", F.lit(0)) * F.col("size")).alias("taken"))
+    """``taken`` is counted over the rows dealt to shards (at least ``shards``, or as many as the targets fill)."""
+    taken, plan = _take(df, F.monotonically_increasing_id(), id_col, text_col, source_col, weights, cap, seed)
+    dealt = _deal(taken, seed, shards or shard_count(plan)).groupBy("row").agg(F.count("*").alias("dealt"))
+    return taken.join(dealt, "row", "left").select("doc_id", "size", "source_size", "target", (F.coalesce("dealt", F.lit(0)) * F.col("size")).alias("taken"))
+
+
+def _dealt(df: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], cap: int, seed: str, shards: int) -> tuple[DataFrame, int]:
+    """Every row as often as it is taken, with ``__shard`` and ``__order``, and the number of shards. The rows
+    are written with their numbers first, as a number must mean the same row each time it is read."""
+    number, shard, order = _free(df, "__row"), _free(df, "__shard"), _free(df, "__order")
+    own = materialise(df.withColumn(number, F.monotonically_increasing_id()), "mixrows", "zstd")
+    taken, plan = _take(own, F.col(number), id_col, text_col, source_col, weights, cap, seed)
+    shards = shards or shard_count(plan)
+    placed = _deal(taken, seed, shards).select(F.col("row").alias(number), F.col("mix_shard").alias(shard), F.col("mix_order").alias(order))
+    return own.join(placed, number).select(*df.columns, shard, order), shards
+
+
+def _free(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, shards: int = 0) -> DataFrame:
-    """The mix itself: each row as often as it is taken. With ``shards`` also ``mix_shard`` and
-    ``mix_order``: the output shard by the splitting tree, and the place within it."""
-    taken, _ = _take(df, id_col, text_col, source_col, weights, cap, seed)
-    picked = taken.filter("times > 0")
-    if not shards:
-        # rows that repeat have equal counts, so one row per id is joined back
-        counts = picked.groupBy(F.col("doc_id").alias("__mix_id")).agg(F.max("times").cast("int").alias("__mix_times"))
-        return df.join(counts, df[id_col].eqNullSafe(F.col("__mix_id"))).withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*[df[c] for c in df.columns])
-    placed = _deal(materialise(picked, "taken"), seed, shards)
-    slim = placed.select(F.col("doc_id").alias("__mix_id"), "mix_shard", "mix_order")
-    return df.join(slim.distinct(), df[id_col].eqNullSafe(F.col("__mix_id"))).drop("__mix_id")
-
-
-def shuffled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shards: int = 0, **how) -> DataFrame:
+    """The mix itself: each row as often as it is taken. With ``shards`` also ``mix_shard`` and ``mix_order``:
+    the output shard by the splitting tree, and the place within it."""
+    dealt, _ = _dealt(df, id_col, text_col, source_col, weights, cap, seed, shards)
+    shard, order = dealt.columns[-2:]
+    return dealt.withColumnsRenamed({shard: "mix_shard", order: "mix_order"}) if shards else dealt.select(df.columns)
+
+
+def shuffled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, shards: int = 0) -> DataFrame:
     """The columns of ``df``, each shard's rows together and in its order."""
-    if not shards:
-        sizes = df.agg(F.sum(words(F.col(text_col))).alias("target"))  # targets add up to all words, less what caps take
-        shards = shard_count(sizes.select(F.col("target").cast("double")))
-    dealt = mix(df, id_col, text_col, source_col, shards=shards, **how)
-    return dealt.repartition(shards, "mix_shard").sortWithinPartitions("mix_shard", "mix_order").select(df.columns)
+    dealt, shards = _dealt(df, id_col, text_col, source_col, weights, cap, seed, shards)
+    shard, order = dealt.columns[-2:]
+    return dealt.repartition(shards, shard).sortWithinPartitions(shard, order).select(df.columns)

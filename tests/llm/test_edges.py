@@ -144,11 +144,11 @@ def test_report_and_stage_go_through_the_tree(spark, monkeypatch):
     import corpus_pipeline
 
     df = frame(spark, *["w " * (i % 9 + 1) for i in range(300)]).selectExpr("doc_id", "text", "lang", "concat('s', doc_id % 5) AS source", "n_chars")
-    asked, plan = [], mixing.plan_shards
-    monkeypatch.setattr(mixing, "plan_shards", lambda blocks, shards, seed=0: asked.append(shards) or plan(blocks, shards, seed))
+    asked, split = [], mixing.split
+    monkeypatch.setattr(mixing, "split", lambda units, levels, seed: asked.append(levels) or split(units, levels, seed))
     want = {r.doc_id: r.taken for r in mixing.report(df).collect()}
     rows = corpus_pipeline.mix_sources(spark, df, "").collect()
-    assert asked == [mixing.LEAST_SHARDS] * 2
+    assert asked == [[mixing.LEAST_SHARDS]] * 2
     times = Counter(r.doc_id for r in rows)
     assert all(times[r.doc_id] * len(r.text.split()) == want[r.doc_id] for r in df.collect())
     dealt = {}
@@ -160,15 +160,56 @@ def test_report_and_stage_go_through_the_tree(spark, monkeypatch):
         at += len(own)
 
 
-def test_splitting_tree_is_exact():
-    blocks = [(7, 10), (8, 0), (9, 55), (10, 3)]
-    plan = mixing.plan_shards(blocks, 5, seed=3)
-    for source, n in blocks:
-        own = sorted((a, b) for s, _, a, b in plan if s == source)
-        assert sum(b - a for a, b in own) == n and all(x[1] == y[0] for x, y in zip(own, own[1:]))
-    sizes = [sum(b - a for _, s, a, b in plan if s == shard) for shard in range(5)]
-    assert max(sizes) - min(sizes) <= 1 or sum(sizes) == 68
-    assert plan == mixing.plan_shards(blocks, 5, seed=3)
+def test_splitting_tree_is_exact_and_a_fair_draw(spark):
+    counts = {7: 400, 8: 0, 9: 1200, 10: 3}
+    units = spark.createDataFrame([(s * 10_000 + i, s) for s, n in counts.items() for i in range(n)], "unit long, sid int")
+    got = mixing.split(units, [3, 5], "seed").collect()
+    assert sorted(r.unit for r in got) == sorted(r.unit for r in units.collect())
+    from collections import Counter
+
+    leaves = Counter(r.mix_shard for r in got)
+    assert set(leaves) == set(range(15)) and max(leaves.values()) - min(leaves.values()) <= 2
+    own = Counter((r.mix_shard, r.sid) for r in got)
+    # a leaf of 107 units draws about 80 of 1200 of 1603; its standard deviation is 4.4
+    assert all(60 <= own[leaf, 9] <= 100 for leaf in leaves) and len({own[leaf, 9] for leaf in leaves}) > 3
+    assert sorted(map(tuple, mixing.split(units, [3, 5], "seed").collect())) == sorted(map(tuple, got))
+    assert mixing.split(units, [], "seed").select("mix_shard").distinct().collect()[0][0] == 0
+    assert mixing.fans(1) == [] and mixing.fans(16) == [16] and mixing.fans(100) == [64, 2]
+
+
+@pytest.mark.parametrize("case", ["one id a source", "ids shared by sources", "null ids", "one row"])
+def test_mix_equals_report_with_repeated_rows(spark, case):
+    from collections import Counter
+
+    key = {"one id a source": lambda i: i % 3, "ids shared by sources": lambda i: i % 10, "null ids": lambda i: None if i % 2 else i, "one row": lambda i: 1}[case]
+    rows = [(key(i), "w " * (i % 4 + 1), f"s{i % 3}", 1, 2) for i in range(1 if case == "one row" else 90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __row int, block int")
+    plan = mixing.report(df).collect()
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns
+    taken, drawn = Counter(), Counter()
+    for r in plan:
+        taken[r.doc_id] += r.taken
+        assert r.taken <= 3 * r["size"]
+    for r in mixed.collect():
+        drawn[r.doc_id] += len(r.text.split())
+    assert +taken == +drawn
+    if case == "one id a source":
+        targets = {r.doc_id: r.target for r in plan}
+        assert all(abs(taken[i] - targets[i]) <= 2.5 for i in targets)
+
+
+def test_targets_by_water_filling(spark):
+    sizes = {"a": 1000, "b": 10, "c": 1, None: 500, "d": 0, "e": 50}
+    df = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, source_size long, n_docs long")
+    got = {r.source: (r.weight, r.target) for r in mixing.targets(df).collect()}
+    weight = {"a": 1, "b": 2, "c": 3, "d": 1, "e": 2, None: 3}
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        unit = (low + high) / 2
+        low, high = (unit, high) if sum(min(3 * n, weight[s] * unit) for s, n in sizes.items()) < sum(sizes.values()) else (low, unit)
+    assert {s: w for s, (w, _) in got.items()} == weight
+    assert all(abs(got[s][1] - min(3 * n, weight[s] * low)) < 1e-6 for s, n in sizes.items())
 
 
 def test_bpe_round_trip(odd):
