@@ -68,7 +68,6 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     rank = F.pmod(F.col("__rank"), F.lit(len(weights)))
     plan = ranked(sizes, [F.col("source").isNull(), F.col("source")], "__rank")
     plan = plan.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank + 1).cast("int")).cast("long")).drop("__rank")
-    plan = materialise(plan, "weights")
     unit, full = 0.0, -1
     while True:
         free = cap * F.col("source_size") / F.col("weight") >= unit
@@ -89,7 +88,7 @@ def _blocks(n: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.sqrt(n))).cast("long")
 
 
-def _cut(rows: DataFrame, part: Column, tag: str) -> DataFrame:
+def _cut(rows: DataFrame, part: Column) -> DataFrame:
     """Rows with ``node`` and ``room``, the words that their node still takes in the order of ``part``. Adds
     ``left``, what is left of the room where the row's part begins, ``part_size``, ``part_rows`` and ``at``."""
     rows = rows.withColumn("part", part).withColumn("at", F.xxhash64("node", "part"))
@@ -97,7 +96,7 @@ def _cut(rows: DataFrame, part: Column, tag: str) -> DataFrame:
     sums = rows.groupBy("at").agg(F.sum("size").alias("part_size"), F.count("*").alias("part_rows"), *(F.first(c).alias(c) for c in ("node", "part", "room")))
     so_far = Window.partitionBy("node").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("room") - F.coalesce(F.sum("part_size").over(so_far), F.lit(0))
-    return materialise(rows.join(sums.select("at", "part_size", "part_rows", left.alias("left")), "at"), tag)
+    return rows.join(sums.select("at", "part_size", "part_rows", left.alias("left")), "at")
 
 
 #: The room ends within the row's part.
@@ -109,19 +108,19 @@ def _take(df: DataFrame, row: Column, id_col: str, text_col: str, source_col: st
     slim = df.select(row.alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"))
     docs = materialise(slim.withColumn("key", order_key(F.col("doc_id"), seed)), "mix")
     sizes = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    plan = materialise(targets(sizes, weights, cap), "mixplan")
+    plan = targets(sizes, weights, cap)
     passes = F.least(F.floor(F.coalesce(F.try_divide("target", "source_size"), F.lit(0))), F.lit(cap))
     named = plan.select(F.col("source").alias("s"), "source_size", "target", _blocks(F.col("n_docs")).alias("n_blocks"), passes.alias("passes"))
     # as many rows as sources; a source's many documents are split by adaptive execution
     docs = docs.join(named, docs["source"].eqNullSafe(named["s"])).drop("s")
     docs = docs.withColumn("sid", F.xxhash64("source", F.col("source").isNull())).withColumn("node", F.col("sid")).withColumn("room", F.col("target") - F.col("passes") * F.col("source_size"))
     spread = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
-    base = _cut(docs.drop("source"), F.shiftright(spread * F.col("n_blocks"), 32), "blocks").withColumnRenamed("part", "block")
+    base = materialise(_cut(docs.drop("source"), F.shiftright(spread * F.col("n_blocks"), 32)).withColumnRenamed("part", "block"), "blocks")
     # of the block in which the room ends the ids in permuted order, of the last id its rows
     down = lambda rows: rows.filter(_ENDS).select("row", "key", "size", F.col("at").alias("node"), F.col("left").alias("room"), "part_rows")
-    ids = _cut(down(base).drop("part_rows"), F.col("key"), "ids")
+    ids = _cut(materialise(down(base).drop("part_rows"), "edges"), F.col("key"))
     any_order = F.shiftright(F.shiftrightunsigned(F.xxhash64("row"), 32) * _blocks(F.col("n_rows")), 32)
-    rows = _cut(down(ids).withColumnRenamed("part_rows", "n_rows"), any_order, "idrows")
+    rows = _cut(down(ids).withColumnRenamed("part_rows", "n_rows"), any_order)
     within = Window.partitionBy("at").orderBy("size", "row").rowsBetween(Window.unboundedPreceding, -1)
     # the row over the boundary is taken if that comes nearer to the target
     last = rows.filter(_ENDS).withColumn("seen", F.coalesce(F.sum("size").over(within), F.lit(0))).select("row", (F.col("seen") + F.col("size") / 2 <= F.col("left")).cast("int").alias("some"))
@@ -129,7 +128,7 @@ def _take(df: DataFrame, row: Column, id_col: str, text_col: str, source_col: st
     edge = whole(ids).unionByName(whole(rows)).unionByName(last).withColumnRenamed("row", "r")
     some = F.coalesce("some", (F.col("left") > 0).cast("int"))
     taken = base.join(edge, F.col("row") == F.col("r"), "left").withColumn("times", (F.col("passes") + some).cast("long"))
-    return materialise(taken.select("row", "doc_id", "key", "size", "source_size", "target", "sid", "block", "times"), "taken"), plan
+    return taken.select("row", "doc_id", "key", "size", "source_size", "target", "sid", "block", "times"), plan
 
 
 def fans(shards: int) -> list[int]:
@@ -146,16 +145,17 @@ def split(units: DataFrame, levels: list[int], seed: str = SEED) -> DataFrame:
     level a node's units are permuted by a hash and cut at the exact sizes of its children."""
     now = units.withColumn("mix_shard", F.lit(0).cast("long"))
     for level, fan in enumerate(levels):
+        if level:
+            now = materialise(now, "tree")
         now = now.withColumn("h", F.xxhash64(F.lit(seed), F.lit(level), "unit"))
         sizes = now.groupBy("mix_shard").agg(F.count("*").alias("n"))
-        now = now.join(materialise(sizes, "nodes"), "mix_shard").withColumn("bucket", F.shiftright(F.shiftrightunsigned("h", 32) * _blocks(F.col("n")), 32))
+        now = now.join(sizes, "mix_shard").withColumn("bucket", F.shiftright(F.shiftrightunsigned("h", 32) * _blocks(F.col("n")), 32))
         counts = now.groupBy("mix_shard", "bucket").agg(F.count("*").alias("c"))
         so_far = Window.partitionBy("mix_shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.select("mix_shard", "bucket", F.coalesce(F.sum("c").over(so_far), F.lit(0)).alias("before"))
         inside = Window.partitionBy("mix_shard", "bucket").orderBy(F.shiftrightunsigned("h", 32), "h", "unit")
         now = now.join(counts, ["mix_shard", "bucket"]).withColumn("rank", F.col("before") + F.row_number().over(inside) - 1)
         now = now.withColumn("mix_shard", F.col("mix_shard") * fan + F.floor(F.col("rank") * fan / F.col("n")).cast("long")).select(*units.columns, "mix_shard")
-        now = materialise(now, "tree")
     return now
 
 
@@ -167,7 +167,7 @@ def shard_count(plan: DataFrame) -> int:
 def _deal(taken: DataFrame, seed: str, shards: int) -> DataFrame:
     """Each taken row once per copy, with its ``mix_shard`` and ``mix_order``."""
     copies = taken.filter("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).withColumn("unit", F.xxhash64("sid", "copy", "block"))
-    units = split(copies.select("unit", "sid").distinct(), fans(shards), seed)
+    units = split(materialise(copies.select("unit", "sid").distinct(), "units"), fans(shards), seed)
     placed = copies.join(units.select("unit", "mix_shard"), "unit")
     return placed.withColumn("mix_order", F.md5(F.concat_ws(":", F.lit(seed), "mix_shard", "key", "copy", "row")))
 
