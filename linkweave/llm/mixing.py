@@ -4,9 +4,9 @@ Only DataFrame functions touch rows. Rows are written once with a number of thei
 ids, also across sources, are told apart. A source's documents are permuted by a hash of their id; the
 permuted order is cut into about sqrt(n) equal ranges of the hash, its blocks. The target of a source is
 full passes over it and a rest; the rest takes whole blocks in permuted order, and of the one block in
-which it ends the ids up to the boundary, and of the id at the boundary (which may repeat) its rows in
-blocks again. No step gathers a source or an id in one task: sums run over blocks (sqrt(n) rows), over
-the ids of one block, and over one more block of rows.
+which it ends the rows up to the boundary. No step gathers a source or an id in one task: sums run over
+blocks (sqrt(n) rows) and over one block's rows, and a block that is large because an id repeats is cut
+by ids and by ranges of that id's rows first.
 
 The taken blocks are then dealt out to output shards by a tree. A node holds exact quotas of blocks per
 source; its blocks are permuted and the permutation is cut between its children at their exact sizes, so
@@ -18,12 +18,14 @@ rows dealt this way, ``mix`` has each row as often as it is dealt, and ``shuffle
 
 Defined results: a null text has size 0 and is taken 0 words; a null source is a source, last in order;
 sources of size 0 have target 0; repeated rows each count as rows of their own, and are ordered by id
-hash, size and row number; a null id is an id; an empty table gives an empty result; other columns,
+hash and a hash of the row number; a null id is an id; an empty table gives an empty result; other columns,
 whatever their names, are kept by ``mix`` and ``shuffled``, ignored by ``report``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,8 @@ SHARD_WORDS = 4_000_000
 LEAST_SHARDS, MOST_SHARDS = 16, 1 << 16
 #: Children of a node of the tree.
 FAN = 64
+#: Rows of a block up to which one window decides what its source still takes.
+WINDOW_ROWS = 1 << 20
 #: Ranges in which the sources are ordered.
 RANGES = 32
 
@@ -61,25 +65,39 @@ def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return ranges.join(F.broadcast(counts), "__range").withColumn(name, place.cast("long")).drop("__range", "__before")
 
 
+def _level(plan: DataFrame, cap: int) -> float:
+    """Words that a unit of weight gets. Sources below it get ``cap`` times their size: whole classes of equal
+    ratio (to 1/256 of a power of two, so their number is bounded) are settled at once, and a class in
+    which the level may lie by exact sums over the sources, until they stay the same."""
+    ratio = cap * F.col("source_size") / F.col("weight")
+    sums = (F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))
+    classes = plan.groupBy(F.floor(F.log2(ratio) * 256).alias("class")).agg(*sums, F.min(ratio).alias("low"), F.max(ratio).alias("high")).collect()
+    size, weight = sum(r["size"] for r in classes), sum(r.weight for r in classes)
+    unit, at_level = 0.0, False
+    for r in sorted(classes, key=lambda r: r.low):
+        unit = size / weight
+        if r.high >= unit:
+            at_level = r.low < unit
+            break
+        size, weight = size - cap * r["size"], weight - r.weight
+    full = -1
+    while at_level:
+        free = ratio >= unit
+        row = plan.agg(F.sum("source_size").alias("size"), F.coalesce(F.sum(F.when(~free, cap * F.col("source_size"))), F.lit(0)).alias("capped"), F.sum(F.when(free, F.col("weight"))).alias("weight"), F.count_if(~free).alias("full")).first()
+        if not row.weight or row.full == full:
+            break
+        unit, full = (row["size"] - row.capped) / row.weight, row.full
+    return unit
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """source, source_size, n_docs -> also weight and target. Sources that would get more than ``cap`` times
-    their size get that, and the rest is shared anew by weight until none is above; each round is one sum
-    over the sources."""
+    their size get that, and the rest is shared anew by weight until none is above."""
     rank = F.pmod(F.col("__rank"), F.lit(len(weights)))
     plan = ranked(sizes, [F.col("source").isNull(), F.col("source")], "__rank")
     plan = plan.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank + 1).cast("int")).cast("long")).drop("__rank")
-    unit, full = 0.0, -1
-    while True:
-        free = cap * F.col("source_size") / F.col("weight") >= unit
-        row = plan.agg(
-            F.coalesce(F.sum("source_size"), F.lit(0)).alias("all"),
-            F.coalesce(F.sum(F.when(~free, cap * F.col("source_size"))), F.lit(0)).alias("capped"),
-            F.coalesce(F.sum(F.when(free, F.col("weight"))), F.lit(0)).alias("weight"),
-            F.count_if(~free).alias("full"),
-        ).first()
-        if not row.weight or row.full == full:
-            break
-        unit, full = (row["all"] - row.capped) / row.weight, row.full
+    unit = _level(plan, cap)
+    free = cap * F.col("source_size") / F.col("weight") >= unit
     target = F.when(free, F.col("weight") * F.lit(unit)).otherwise((cap * F.col("source_size")).cast("double"))
     return plan.select("source", "source_size", "n_docs", "weight", target.cast("double").alias("target"))
 
@@ -116,21 +134,32 @@ def _take(df: DataFrame, row: Column, id_col: str, text_col: str, source_col: st
     docs = docs.withColumn("sid", F.xxhash64("source", F.col("source").isNull())).withColumn("node", F.col("sid")).withColumn("room", F.col("target") - F.col("passes") * F.col("source_size"))
     spread = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     base = materialise(_cut(docs.drop("source"), F.shiftright(spread * F.col("n_blocks"), 32)).withColumnRenamed("part", "block"), "blocks")
-    # of the block in which the room ends the ids in permuted order, of the last id its rows
-    down = lambda rows: rows.filter(_ENDS).select("row", "key", "size", F.col("at").alias("node"), F.col("left").alias("room"), "part_rows")
-    ids = _cut(materialise(down(base).drop("part_rows"), "edges"), F.col("key"))
-    any_order = F.shiftright(F.shiftrightunsigned(F.xxhash64("row"), 32) * _blocks(F.col("n_rows")), 32)
-    rows = _cut(down(ids).withColumnRenamed("part_rows", "n_rows"), any_order)
-    within = Window.partitionBy("at").orderBy("size", "row").rowsBetween(Window.unboundedPreceding, -1)
-    # the row over the boundary is taken if that comes nearer to the target
-    last = rows.filter(_ENDS).withColumn("seen", F.coalesce(F.sum("size").over(within), F.lit(0))).select("row", (F.col("seen") + F.col("size") / 2 <= F.col("left")).cast("int").alias("some"))
-    whole = lambda x: x.filter(f"not ({_ENDS})").select("row", (F.col("left") > 0).cast("int").alias("some"))
-    edge = whole(ids).unionByName(whole(rows)).unionByName(last).withColumnRenamed("row", "r")
+    edge = _last_block(base.filter(_ENDS).select("row", "key", "size", F.col("at").alias("node"), F.col("left").alias("room"), "part_rows")).withColumnRenamed("row", "r")
     some = F.coalesce("some", (F.col("left") > 0).cast("int"))
     taken = base.join(edge, F.col("row") == F.col("r"), "left").withColumn("times", (F.col("passes") + some).cast("long"))
     return taken.select("row", "doc_id", "key", "size", "source_size", "target", "sid", "block", "times"), plan
 
 
+def _last_block(edges: DataFrame) -> DataFrame:
+    """row, some (1 if it is taken once more) of the rows of the blocks in which the room ends: in permuted order
+    of the ids, and within an id by a hash of the row."""
+    edges = materialise(edges, "edges")
+    by_row = F.shiftrightunsigned(F.xxhash64("row"), 32)
+    settled = []
+    if (edges.agg(F.max("part_rows")).first()[0] or 0) > WINDOW_ROWS:
+        # an id repeats so often that its block is too large for one window: first whole ids, then, of the id in
+        # which the room ends, whole ranges of its rows; the order is the same
+        for part in (F.col("key"), F.shiftright(by_row * _blocks(F.col("n_rows")), 32)):
+            cut = _cut(edges.withColumnRenamed("part_rows", "n_rows"), part)
+            settled.append(cut.filter(f"not ({_ENDS})").select("row", (F.col("left") > 0).cast("int").alias("some")))
+            edges = cut.filter(_ENDS).select("row", "key", "size", F.col("at").alias("node"), F.col("left").alias("room"), "part_rows")
+    within = Window.partitionBy("node").orderBy("key", by_row, "row").rowsBetween(Window.unboundedPreceding, -1)
+    seen = edges.withColumn("seen", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    # the row over the boundary is taken if that comes nearer to the target
+    takes = (F.col("seen") < F.col("room")) & (F.col("seen") + F.col("size") / 2 <= F.col("room"))
+    return reduce(DataFrame.unionByName, settled, seen.select("row", takes.cast("int").alias("some")))
+
+
 def fans(shards: int) -> list[int]:
     """Children of a node on each level of a tree with at least ``shards`` leaves."""
     out = []

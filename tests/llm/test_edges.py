@@ -199,6 +199,14 @@ def test_mix_equals_report_with_repeated_rows(spark, case):
         assert all(abs(taken[i] - targets[i]) <= 2.5 for i in targets)
 
 
+def test_a_large_last_block_is_cut_alike(spark, monkeypatch):
+    rows = [(1 if i % 3 else i, "w " * (i % 5), f"s{i % 2}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    usual = listed(mixing.report(df), "doc_id", "size", "target", "taken")
+    monkeypatch.setattr(mixing, "WINDOW_ROWS", 1)
+    assert listed(mixing.report(df), "doc_id", "size", "target", "taken") == usual
+
+
 def test_targets_by_water_filling(spark):
     sizes = {"a": 1000, "b": 10, "c": 1, None: 500, "d": 0, "e": 50}
     df = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "source string, source_size long, n_docs long")
