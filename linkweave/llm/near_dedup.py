@@ -6,10 +6,13 @@
    1/lambda - 1, where lambda follows from the threshold, see ``branching``), and documents branch by their tokens there; nodes larger than ``NODE`` branch again,
    with coordinates chosen by the node's path. Small nodes are compared exhaustively on sketches, far
    below the threshold, and leave a spanning forest of the pairs that may be alike.
-3. Components of that forest are compared on full sets in one task each; a component too large for
-   that is cut into blocks that share its leader, and what does not link to the leader is compared
-   with every block. Within a task a comparison is left out only if its two documents are known to be
-   in one component already, so no link that could change a component is lost.
+3. Components of that forest, if small, are compared on full sets in one task each. A larger one is cut
+   into blocks that share its leader, which settles most of a group of copies. Documents that stay apart
+   from the leader are compared pair by pair: the small nodes they are in name every pair with another
+   label whose sketches are alike (a node has ``NODE`` documents, so the pairs are linear in the
+   documents), and only the shingle hashes of such pairs travel. Nodes that are still large on the last
+   level are compared there on sketches, in blocks, first. A comparison is left out only if its two
+   documents are known to be in one component already, so no link that could change a component is lost.
 
 A pair at the threshold that meets none but large nodes down to the last level is missed with a chance
 of at most ``MISS``, its sketch's deviation from the true similarity included (``missed``); links are
@@ -26,6 +29,7 @@ from __future__ import annotations
 import functools
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +48,8 @@ TREES = 10
 MISS = 1e-4
 NODE = 128
 DEPTH = 6
-#: Sketches that agree so much less than the threshold are not looked at again: over five standard deviations.
-SKETCH_SLACK = 0.27
+#: Chance that the sketches of a pair at the threshold agree so little that it isn't looked at again.
+UNLIKE = 1e-6
 #: Documents, and shingles, of a component that are compared in one task.
 BLOCK = 512
 BLOCK_SHINGLES = 300_000
@@ -76,6 +80,17 @@ def branching(threshold: float, trees: int, depth: int) -> float:
     return next((i / 100 for i in steps if missed(threshold, i / 100, trees, depth) <= MISS), 0.5)
 
 
+@functools.cache
+def alike(threshold: float) -> int:
+    """Equal coordinates below which a pair's sketches are too different, by the binomial distribution."""
+    less = 0.0
+    for k in range(COORDINATES + 1):
+        less += math.comb(COORDINATES, k) * threshold**k * (1 - threshold) ** (COORDINATES - k)
+        if less > UNLIKE:
+            return k
+    return COORDINATES
+
+
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of the distinct shingles, ascending."""
     starts, ends, text_of = R.word_bounds(R.lower_ascii(data), offsets)
@@ -194,9 +209,9 @@ class Sets:
 
 def _forest(rows: DataFrame, threshold: float) -> DataFrame:
     """(node, class_id, sketch) of small nodes -> spanning edges of the pairs whose sketches are alike."""
+    need = alike(threshold)
 
     def run(batches):
-        need = int(np.ceil((threshold - SKETCH_SLACK) * COORDINATES))
         for group in runs(batches, 1):
             ids, matrix = group.column("class_id").to_numpy(), _matrix(group.column("sketch"))
             sets = Sets(len(ids))
@@ -212,16 +227,19 @@ def _forest(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.select("node", "class_id", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(tidy(run), "a long, b long")
 
 
-def _candidates(reps: DataFrame, trees: int, threshold: float) -> DataFrame:
-    """Edges whose components hold every pair that the trees bring together."""
+def _candidates(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Edges whose components hold every pair that the trees bring together, and the nodes (node, class_id, large)
+    of every level."""
     spark = reps.sparkSession
     node = reps.withColumn("node", F.explode(F.array(*[F.xxhash64(F.lit(f"tree-{t}")) for t in range(trees)])))
     lam = branching(threshold, trees, DEPTH)
     rows = materialise(_branch(node, lam), "nodes")
     edges: DataFrame | None = None
+    levels: list[DataFrame] = []
     for depth in range(DEPTH):
         counts = materialise(rows.groupBy("node").count().filter("count > 1"), "counts")
         held = materialise(rows.join(counts, "node").select("node", "class_id", (F.col("count") > NODE).alias("large")), "held")
+        levels.append(held if depth == DEPTH - 1 else held.filter("not large"))
         small = _forest(held.filter("not large").join(reps, "class_id"), threshold)
         edges = small if edges is None else edges.unionByName(small)
         large = held.filter("large")
@@ -233,7 +251,7 @@ def _candidates(reps: DataFrame, trees: int, threshold: float) -> DataFrame:
             edges = edges.unionByName(large.join(first, "node").select(F.col("class_id").alias("a"), "b"))
             break
         rows = materialise(_branch(large.join(reps, "class_id"), lam), "nodes")
-    return edges if edges is not None else spark.createDataFrame([], "a long, b long")
+    return edges if edges is not None else spark.createDataFrame([], "a long, b long"), levels
 
 
 class _Group:
@@ -283,24 +301,77 @@ def _confirm(rows: DataFrame, size: int, least: int, most: int) -> DataFrame:
     return rows.select("comp", "block", "class_id", "text").repartition("comp", "block").sortWithinPartitions("comp", "block").mapInArrow(tidy(run), "comp long, block long, class_id long, label long")
 
 
-def _across(rows: DataFrame, size: int, least: int, most: int) -> DataFrame:
-    """(comp, block, part, side, class_id, label, text) -> edges between the open texts (side 0) and a block's (side 1)."""
+def _apart(levels: list[DataFrame], labels: DataFrame, reps: DataFrame, least: int, most: int, block: int) -> DataFrame:
+    """(a, b) with a < b: pairs of a node whose labels differ, one of them open, that sizes and sketches allow to
+    be linked. labels: class_id, label, n, open. Open documents are probes (side 1) of all documents of
+    their node (side 0); a large node is cut into blocks of both."""
+    need = alike(least / most)
+
+    def run(batches):
+        for group in runs(batches, 3):
+            ids, label, n, side = (group.column(c).to_numpy() for c in ("class_id", "label", "n", "side"))
+            matrix, body = _matrix(group.column("sketch")), np.flatnonzero(side == 0)
+            a, b = [], []
+            for i in np.flatnonzero(side == 1):
+                fits = (label[body] != label[i]) & (most * np.minimum(n[body], n[i]) >= least * np.maximum(n[body], n[i]))
+                some = body[fits]
+                near = ids[some[(matrix[some] == matrix[i]).sum(1) >= need]]
+                a.append(np.minimum(near, ids[i]))
+                b.append(np.maximum(near, ids[i]))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    rows = reduce(DataFrame.unionByName, levels).select("node", "class_id").distinct().join(labels, "class_id")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("count"), F.count_if("open").alias("opens")).filter("opens > 0 and count > 1")
+    parts = lambda c: F.when(F.col("count") <= NODE, F.lit(1)).otherwise(F.ceil(F.col(c) / block)).cast("long")
+    rows = rows.join(materialise(sizes.select("node", parts("count").alias("blocks"), parts("opens").alias("parts")), "opennodes"), "node").join(reps, "class_id")
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    own = lambda c: F.pmod(F.xxhash64("class_id"), F.col(c))
+    body = rows.withColumn("block", own("blocks")).withColumn("part", every("parts")).withColumn("side", F.lit(0))
+    probes = rows.filter("open").withColumn("part", own("parts")).withColumn("block", every("blocks")).withColumn("side", F.lit(1))
+    both = body.unionByName(probes).select("node", "block", "part", "class_id", "label", "n", "side", "sketch")
+    return both.repartition("node", "block", "part").sortWithinPartitions("node", "block", "part").mapInArrow(tidy(run), "a long, b long").distinct()
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, size: int, least: int, most: int, block: int) -> DataFrame:
+    """The pairs that are linked on full sets. The set of ``a`` meets those of its partners one by one; an ``a``
+    with many partners meets them in several tasks."""
+
+    def sets(batches):
+        for batch in batches:
+            for part in slices(batch, 1, PIECE_BYTES):
+                owner, values = shingles(*text_bytes(part.column(1)), size)
+                edge = np.searchsorted(owner, np.arange(len(part) + 1))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([values[i:j].tobytes() for i, j in zip(edge, edge[1:])], pa.binary())], names=["class_id", "hashes"])
 
     def run(batches):
-        for table in runs(batches, 3):
-            side, ids, label = (table.column(c).to_numpy() for c in ("side", "class_id", "label"))
-            group, begin = _Group(table.column("text"), size), int(np.searchsorted(side, 1))
+        key, own = None, []
+        for batch in batches:
             a, b = [], []
-            if begin < len(ids):
-                for i in range(begin):
-                    found = group.links(i, begin, least, most)
-                    found = found[np.unique(label[found], return_index=True)[1]]
-                    a += [ids[i]] * len(found)
-                    b += ids[found].tolist()
+            for left, part, right, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if (left, part) != key:
+                    key, own = (left, part), []
+                values = np.frombuffer(raw, np.uint64)
+                if right is None:
+                    own.append(values)
+                    continue
+                for x in own:
+                    both = int(R.member(values, x).sum())
+                    if most * both >= least * (len(x) + len(values) - both):
+                        a.append(left)
+                        b.append(right)
+                        break
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.select("comp", "block", "part", "side", "class_id", "label", "text").repartition("comp", "block", "part").sortWithinPartitions("comp", "block", "part", "side").mapInArrow(tidy(run), "a long, b long")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+    hashes = materialise(texts.select("class_id", "text").join(wanted, "class_id", "left_semi").mapInArrow(tidy(sets), "class_id long, hashes binary"), "hashes", "uncompressed")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / block).alias("parts"))
+    cut = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
+    partners = cut.select("a", "part", "b").join(hashes, F.col("b") == F.col("class_id")).select("a", "part", "b", "hashes")
+    first = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")).join(hashes, F.col("a") == F.col("class_id"))
+    rows = first.select("a", "part", F.lit(None).cast("long").alias("b"), "hashes").unionByName(partners)
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 85, most: int = 100, size: int = SHINGLE, trees: int = TREES, block: int = BLOCK) -> DataFrame:
@@ -311,7 +382,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = materialise(solid.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id")), "classes")
     reps = solid.select("doc_id", "sketch").join(classes.select("class_id"), F.col("doc_id") == F.col("class_id")).select("class_id", "sketch").dropDuplicates(["class_id"])
     reps = materialise(reps, "reps", "uncompressed")
-    supers = components(_candidates(reps, trees, least / most))
+    edges, levels = _candidates(reps, trees, least / most)
+    supers = components(edges)
     supers = materialise(supers.join(classes.select("class_id", "n"), F.col("id") == F.col("class_id")).select("label", "class_id", "n"), "supers")
     sizes = materialise(supers.groupBy("label").agg(F.count("*").alias("count"), F.sum("n").alias("total")), "sizes")
     share = F.greatest(F.col("count") / block, F.col("total") / BLOCK_SHINGLES)
@@ -331,14 +403,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         off = local.filter("label <> comp").join(large.select("class_id", "n"), "class_id").select("class_id", "comp", "label", "n")
         off = materialise(off, "open")
         if not off.isEmpty():
-            parts = off.groupBy(F.col("comp").alias("c")).agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
-            body = texts.filter("blocks > 0")
-            label_of = local.select(F.col("class_id").alias("i"), "label").distinct()
-            to_blocks = body.join(off.select("class_id", "label", F.col("comp").alias("of")).join(parts, F.col("of") == F.col("c")), "class_id").withColumn("part", F.pmod(F.xxhash64("class_id", F.lit(1)), F.col("parts"))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            side = ["comp", "block", "part", "side", "class_id", "label", "text"]
-            first = to_blocks.withColumn("side", F.lit(0)).select(side)
-            second = body.join(label_of.groupBy("i").agg(F.min("label").alias("label")), F.col("class_id") == F.col("i")).join(parts, F.col("comp") == F.col("c")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("side", F.lit(1)).select(side)
-            links = links.unionByName(_across(first.unionByName(second), size, least, most))
+            labels = local.join(large.select("class_id", "n"), "class_id").join(off.select("comp").distinct(), "comp", "left_semi")
+            labels = materialise(labels.select("class_id", "label", "n", (F.col("label") != F.col("comp")).alias("open")).distinct(), "labels")
+            pairs = materialise(_apart(levels, labels, reps, least, most, block), "pairs")
+            links = links.unionByName(_linked(pairs, texts.filter("blocks > 0"), size, least, most, block))
         final = components(links)
     else:
         final = links.select(F.col("a").alias("id"), F.col("b").alias("label")).distinct()  # rows may repeat

@@ -369,7 +369,7 @@ def test_trees_keep_their_recall_in_the_deepest_nodes(spark, monkeypatch):
     two = np.where(random.random(one.shape) < 0.8, one, random.integers(0, 1 << 32, one.shape, dtype=np.uint32))
     rows = [(2 * i + j, x[i].tobytes()) for i in range(len(one)) for j, x in enumerate((one, two))]
     reps = spark.createDataFrame(rows, "class_id long, sketch binary")
-    found = near_dedup._candidates(reps, near_dedup.TREES, 0.8).filter("a <> b").selectExpr("least(a, b) AS a").distinct().count()
+    found = near_dedup._candidates(reps, near_dedup.TREES, 0.8)[0].filter("a <> b").selectExpr("least(a, b) AS a").distinct().count()
     assert len(one) - found <= 3
     for threshold in (0.8, 0.85):
         assert near_dedup.missed(threshold, near_dedup.branching(threshold, near_dedup.TREES, near_dedup.DEPTH), near_dedup.TREES, near_dedup.DEPTH) <= near_dedup.MISS
@@ -399,6 +399,21 @@ def test_near_hot_group_against_brute_force(spark, monkeypatch):
     assert got == {i: up.find(i) for i in range(240)}
 
 
+def test_a_long_chain_with_sparse_links_is_compared_in_linear_time(spark, monkeypatch):
+    """Neighbours in the chain share 93 of 100 words' shingles, every twentieth link is broken; one component of sketches."""
+    count, step = 20_000, 4
+    rows = []
+    for i in range(count):
+        begin = i * step + 8 * (i // 20)  # after each twenty documents a wider step, under the threshold
+        rows.append((i, " ".join(f"w{k}" for k in range(begin, begin + 100))))
+    named, real = [], near_dedup.materialise
+    monkeypatch.setattr(near_dedup, "materialise", lambda df, tag, *a: named.append((tag, real(df, tag, *a))) or named[-1][1])
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=64).collect()}
+    assert got == {i: i // 20 * 20 for i in range(count)}
+    sizes = {tag: df.count() for tag, df in named}
+    assert 0 < sizes["pairs"] <= 20 * count and sizes["hashes"] <= count
+
+
 def test_packs_hold_whole_texts(spark, odd):
     packs = exchange.pack(odd, "doc_id", "text", 100)
     chunks = [exchange.Texts(bytes(r.blob)) for r in packs.collect()]
