@@ -3,9 +3,10 @@
 Pages are ordered by their reversed-host URL key (range partitions, sorted within), and every task
 writes archives of one gzip member per record. The index lines of an archive, which are in key order
 as well, are written next to it in compressed blocks of ``BLOCK_LINES``; the directory, a table with the
-first key and place of each block, is the only other thing kept. A look-up finds its block by binary
-search in the directory, its line by binary search in the block, and its record by one range read; a
-full reading goes through the directory, block by block, with one range read per block.
+first and last key and the place of each block, is the only other thing kept. A look-up finds its block by
+binary search in the directory, of which a task only gets its own part, its line by binary search in the
+block, and neighbouring records by one range read. ``round_trip`` looks every page up so; ``read_archives``
+reads all blocks, also by stretches.
 
 Of pages with equal payloads the one with the largest id is written as response; the others are
 revisit records that name it and keep its HTTP headers but no payload.
@@ -26,7 +27,7 @@ import bisect
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -38,10 +39,15 @@ from linkweave.sources.storage import fresh_path, materialise
 
 BLOCK_LINES = 2000
 ARCHIVE_BYTES = 64 << 20
-#: Rows of 16 bytes, and directory entries: at most some tens of MB go to every executor.
-BROADCAST_ROWS = 1 << 20
-DIRECTORY_ROWS = 1 << 18
-DIRECTORY_SCHEMA = "first_key string, archive string, index string, at long, size long, lines long"
+#: Bytes that are read at once, and bytes of payload of a writing task, of which there are at most so many.
+SPAN_BYTES = 8 << 20
+TASK_BYTES = 256 << 20
+MOST_TASKS = 1 << 16
+#: Characters of a task's first and last keys that every task gets to know: at most some 16 MB.
+BOUND_CHARS = 128
+#: Rows of 16 bytes, some 64 as a hashed relation: at most 16 MB go to every executor.
+BROADCAST_ROWS = 1 << 18
+DIRECTORY_SCHEMA = "part long, first_key string, last_key string, archive string, index string, at long, size long, lines long, bytes long"
 RECORD_SCHEMA = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 _ID = "urn:page:"
 
@@ -102,11 +108,13 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def _referred(pages: DataFrame) -> DataFrame:
-    """(page, keeper) for pages whose payload a page with a larger id has; groups are only aggregated."""
-    hashed = materialise(pages.select("page_id", F.sha1("payload").alias("sha")), "digests")
+def _referred(pages: DataFrame) -> tuple[DataFrame, int]:
+    """(page, keeper) for pages whose payload a page with a larger id has, groups are only aggregated; and the
+    bytes of all payloads."""
+    hashed = materialise(pages.select("page_id", F.sha1("payload").alias("sha"), F.octet_length("payload").alias("size")), "digests")
+    total = hashed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     groups = materialise(hashed.groupBy("sha").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).filter("n > 1"), "payloads")
-    return materialise(hashed.join(groups, "sha").filter("page_id <> keeper").select(F.col("page_id").alias("page"), "keeper").distinct(), "revisits")
+    return materialise(hashed.join(groups, "sha").filter("page_id <> keeper").select(F.col("page_id").alias("page"), "keeper").distinct(), "revisits"), total
 
 
 def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", folder: str | None = None, date: str = "1970-01-01T00:00:00Z", block_lines: int = BLOCK_LINES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -115,7 +123,7 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     small_batches(spark)
     folder = folder or fresh_path(spark, "warc")
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"))
-    revisits = _referred(pages)
+    revisits, total = _referred(pages)
     keyed = pages.join(F.broadcast(revisits) if revisits.count() <= BROADCAST_ROWS else revisits, F.col("page_id") == F.col("page"), "left")
     # a revisit's payload is not stored, but its size and digest are
     keyed = keyed.select(url_key(F.col("url")).alias("key"), "page_id", "url", "payload", "keeper")
@@ -136,7 +144,7 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
                     part = lines[begin : begin + block_lines]
                     block = zlib.compress("\n".join("\t".join(map(str, x)) for x in part).encode())
                     index.write(block)
-                    rows.append((part[0][0], f"{folder}/{stem}-{number}.warc.gz", f"{folder}/{stem}-{number}.cdx", at, len(block), len(part)))
+                    rows.append((task.partitionId(), part[0][0], part[-1][0], f"{folder}/{stem}-{number}.warc.gz", f"{folder}/{stem}-{number}.cdx", at, len(block), len(part), part[-1][1] + part[-1][2] - part[0][1]))
                     at += len(block)
             return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=[f.split()[0] for f in DIRECTORY_SCHEMA.split(", ")])
 
@@ -156,15 +164,40 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
         if out is not None:
             yield close()
 
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = keyed.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id")
+    ordered = keyed.repartitionByRange(_tasks(spark, total), "key", "page_id").sortWithinPartitions("key", "page_id")
     return materialise(ordered.mapInArrow(tidy(run), DIRECTORY_SCHEMA), "directory")
 
 
-def _lines(files, root: str, at: int, size: int) -> list[list[str]]:
+def _tasks(spark, size: int) -> int:
+    return min(MOST_TASKS, max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES)))
+
+
+def _lines(files, root: str, at: int, size: int) -> list[tuple[str, int, int]]:
+    """The lines (key, place, size) of an index block."""
     with files.open_input_file(root) as index:
         index.seek(at)
-        return [x.split("\t") for x in zlib.decompress(index.read(size)).decode().split("\n")]
+        lines = zlib.decompress(index.read(size)).decode().split("\n")
+    return [(key, int(place), int(length)) for key, place, length in (x.split("\t") for x in lines)]
+
+
+def spans(places: Iterable[tuple[int, int]], most: int = SPAN_BYTES) -> Iterator[list[tuple[int, int]]]:
+    """Records (place, size) in ascending order -> stretches without a gap, of at most ``most`` bytes unless one
+    record is larger."""
+    held: list[tuple[int, int]] = []
+    for at, size in places:
+        if held and (at != sum(held[-1]) or at + size - held[0][0] > most):
+            yield held
+            held = []
+        held.append((at, size))
+    if held:
+        yield held
+
+
+def read_span(source, span: list[tuple[int, int]]) -> list[dict]:
+    """The records of a stretch, by one range read."""
+    source.seek(span[0][0])
+    raw = source.read(sum(span[-1]) - span[0][0])
+    return [parse(zlib.decompress(raw[at - span[0][0] : at - span[0][0] + size], 31)) for at, size in span]
 
 
 def _records(rows: list[dict]) -> pa.RecordBatch:
@@ -172,74 +205,93 @@ def _records(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in kinds.items()], names=list(kinds))
 
 
+def _fetch(archive: str, places: Iterable[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    files, path = _open(archive)
+    with files.open_input_file(path) as source:
+        for span in spans(places):
+            yield _records(read_span(source, span))
+
+
 def read_archives(directory: DataFrame) -> DataFrame:
     """All records, block by block: an index block's records are one stretch of its archive."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                files, archive = _open(row["archive"])
-                lines = _lines(files, _open(row["index"])[1], row["at"], row["size"])
-                with files.open_input_file(archive) as source:
-                    source.seek(int(lines[0][1]))
-                    for begin in range(0, len(lines), 256):
-                        found = [parse(zlib.decompress(source.read(int(size)), 31)) for _, _, size in lines[begin : begin + 256]]
-                        yield _records(found)
+                files, index = _open(row["index"])
+                yield from _fetch(row["archive"], [x[1:] for x in _lines(files, index, row["at"], row["size"])])
+
+    size = directory.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    return directory.repartition(_tasks(directory.sparkSession, size)).mapInArrow(tidy(run), RECORD_SCHEMA)
+
 
-    blocks = max(1, int(directory.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return directory.repartition(blocks).mapInArrow(tidy(run), RECORD_SCHEMA)
+def find_blocks(directory: list[dict], firsts: list[str], key: str) -> Iterator[dict]:
+    """The blocks of a sorted directory that may hold a key, by binary search."""
+    i = max(0, bisect.bisect_left(firsts, key) - 1)  # equal keys may begin in the block before
+    while i < len(firsts) and firsts[i] <= key:
+        if directory[i]["last_key"] >= key:
+            yield directory[i]
+        i += 1
 
 
 def look_up(directory: DataFrame, urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """The records of the given URLs. A directory of at most ``DIRECTORY_ROWS`` blocks goes to the tasks
-    and is searched there; beyond that the index lines are joined with the keys."""
+    """The records of the given URLs.
+
+    The first and last keys of every writing task (at most ``MOST_TASKS``, each cut to ``BOUND_CHARS``) go to
+    all tasks; a key finds by binary search whose archives may hold it. There it meets the task's part of the
+    directory, sorted, finds its blocks by binary search, its lines in a block by binary search again, and
+    neighbouring records are read together.
+    """
+    spark = directory.sparkSession
     keys = urls.select(url_key(F.col(url_col)).alias("key")).distinct()
+    ends = directory.groupBy("part").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high"))
+    ends = ends.select("part", F.substring("low", 1, BOUND_CHARS).alias("low"), F.substring("high", 1, BOUND_CHARS).alias("high"))
+    bounds = spark.sparkContext.broadcast(sorted((r.low, r.high, r.part) for r in ends.collect()))
 
-    def fetch(archive: str, places: list[tuple[int, int]]) -> pa.RecordBatch:
-        files, path = _open(archive)
-        found = []
-        with files.open_input_file(path) as source:
-            for at, size in places:
-                source.seek(at)
-                found.append(parse(zlib.decompress(source.read(size), 31)))
-        return _records(found)
-
-    if directory.count() <= DIRECTORY_ROWS:
-        blocks = sorted(map(tuple, directory.collect()))
-        shared = urls.sparkSession.sparkContext.broadcast(blocks)
-
-        def search(batches):
-            blocks = shared.value
-            firsts = [b[0] for b in blocks]
-            for batch in batches:
-                for key in batch.column(0).to_pylist():
-                    i = max(0, bisect.bisect_left(firsts, key) - 1)  # equal keys may begin in the block before
-                    while i < len(blocks) and firsts[i] <= key:
-                        files, index = _open(blocks[i][2])
-                        lines = _lines(files, index, blocks[i][3], blocks[i][4])
-                        a = bisect.bisect_left(lines, key, key=lambda x: x[0])
-                        b = bisect.bisect_right(lines, key, key=lambda x: x[0])
-                        if b > a:
-                            yield fetch(blocks[i][1], [(int(x[1]), int(x[2])) for x in lines[a:b]])
-                        i += 1
-
-        return keys.mapInArrow(tidy(search), RECORD_SCHEMA)
-
-    def index_lines(batches):
+    def route(batches):
+        lows = [x[0] for x in bounds.value]
         for batch in batches:
-            for row in batch.to_pylist():
-                lines = _lines(*_open(row["index"]), row["at"], row["size"])
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in lines]), pa.array([row["archive"]] * len(lines)), pa.array([int(x[1]) for x in lines]), pa.array([int(x[2]) for x in lines])], names=["key", "archive", "at", "size"])
-
-    def read(batches):
+            part, key = [], []
+            for k in batch.column(0).to_pylist():
+                cut = k[:BOUND_CHARS]
+                i = bisect.bisect_right(lows, cut) - 1
+                while i >= 0 and bounds.value[i][1] >= cut:
+                    part.append(bounds.value[i][2])
+                    key.append(k)
+                    i -= 1
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(key, pa.string())], names=["part", "key"])
+
+    def search(batches):
+        part, own, firsts, block, lines, places = None, [], [], None, [], []
         for batch in batches:
             for row in batch.to_pylist():
-                yield fetch(row["archive"], [(row["at"], row["size"])])
-
-    hits = directory.mapInArrow(tidy(index_lines), "key string, archive string, at long, size long").join(keys, "key", "left_semi")
-    return hits.sort("archive", "at").mapInArrow(tidy(read), RECORD_SCHEMA)
+                if row["part"] != part:
+                    part, own, firsts = row["part"], [], []
+                if row["asked"] is None:
+                    own.append(row)
+                    firsts.append(row["first_key"])
+                    continue
+                key = row["asked"]
+                for found in find_blocks(own, firsts, key):
+                    if block is None or (found["index"], found["at"]) != (block["index"], block["at"]):
+                        if block is not None:
+                            yield from _fetch(block["archive"], places)
+                        files, index = _open(found["index"])
+                        block, lines, places = found, _lines(files, index, found["at"], found["size"]), []
+                    a = bisect.bisect_left(lines, key, key=lambda x: x[0])
+                    b = bisect.bisect_right(lines, key, key=lambda x: x[0])
+                    places += [x[1:] for x in lines[a:b]]
+        if block is not None:
+            yield from _fetch(block["archive"], places)
+
+    routed = keys.mapInArrow(tidy(route), "part long, key string")
+    asked = routed.select("part", F.col("key").alias("asked"), F.col("key").alias("order"), *[F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in DIRECTORY_SCHEMA.split(", ")) if c != "part"])
+    rows = directory.withColumns({"asked": F.lit(None).cast("string"), "order": F.col("first_key")}).unionByName(asked)
+    size = directory.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    sorted_rows = rows.repartition(_tasks(spark, size), "part").sortWithinPartitions("part", F.col("asked").isNotNull(), "order", "archive", "at")
+    return sorted_rows.mapInArrow(tidy(search), RECORD_SCHEMA)
 
 
 def round_trip(df: DataFrame) -> DataFrame:
-    """Write the pages, read the archives back: one row per page."""
-    return read_archives(write_archives(df)).drop("payload", "url")
+    """Write the pages, look every page's URL up in the archives: one row per page."""
+    return look_up(write_archives(df), df.select(F.col("url"))).drop("payload", "url")

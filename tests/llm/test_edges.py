@@ -330,16 +330,48 @@ def test_warc_edges(spark):
     directory = warc.write_archives(df, block_lines=2, archive_bytes=500)
     got = listed(warc.read_archives(directory), "page_id", "url", "payload_bytes", "record_type", "refers_to")
     assert got == sorted([(1, rows[0][1], 1, "revisit", 2), (2, rows[1][1], 1, "response", None), (2, rows[1][1], 1, "response", None), (3, None, 0, "revisit", 4), (4, "not a url\n", 0, "response", None), (None, "http://a.b/", 1, "response", None), (5, rows[5][1], 300_000, "response", None)], key=str)
-    for limit in (warc.DIRECTORY_ROWS, 0):
-        old, warc.DIRECTORY_ROWS = warc.DIRECTORY_ROWS, limit
-        try:
-            assert listed(warc.look_up(directory, df.filter("page_id in (1, 4, 5)").select("url")), "page_id") == [(1,), (4,), (5,)]
-            assert warc.look_up(directory, spark.createDataFrame([("http://none.example/",)], "url string")).isEmpty()
-        finally:
-            warc.DIRECTORY_ROWS = old
+    assert listed(warc.look_up(directory, df.filter("page_id in (1, 4, 5)").select("url")), "page_id") == [(1,), (4,), (5,)]
+    assert warc.look_up(directory, spark.createDataFrame([("http://none.example/",)], "url string")).isEmpty()
+    assert listed(warc.look_up(directory, df.select("url")), "page_id", "record_type", "refers_to") == [(r[0], r[3], r[4]) for r in got]
     assert warc.round_trip(df.limit(0)).isEmpty()
 
 
+def test_a_key_on_many_blocks_and_clashing_columns(spark):
+    rows = [(i, "http://hot.example/" if i % 3 else f"http://h{i % 7}.example/{i}", f"page {i % 50}", "k", 1, 2, "s", 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, key string, page long, keeper long, sha string, size long")
+    directory = warc.write_archives(df, block_lines=7, archive_bytes=3000)
+    assert directory.count() > 40
+    assert len(listed(warc.look_up(directory, df.filter("page_id = 1").select("url")), "page_id")) == 200
+    got = {r.page_id: r for r in warc.round_trip(df).collect()}
+    assert sorted(got) == list(range(300)) and all(got[i].refers_to == (None if i >= 250 else i % 50 + 250) for i in got)
+
+
+def test_reads_are_counted():
+    import io
+
+    class Counted(io.BytesIO):
+        reads = 0
+
+        def read(self, *a):
+            Counted.reads += 1
+            return super().read(*a)
+
+    import zlib
+
+    members, places, at = [], [], 0
+    for i in range(500):
+        gzip = zlib.compressobj(4, zlib.DEFLATED, 31)
+        member = gzip.compress(warc.record(i, "http://a.b/", b"x" * i, None, "1970-01-01T00:00:00Z")) + gzip.flush()
+        members.append(member)
+        places.append((at, len(member)))
+        at += len(member)
+    source = Counted(b"".join(members))
+    found = [r["page_id"] for span in warc.spans(places) for r in warc.read_span(source, span)]
+    assert found == list(range(500)) and Counted.reads == 1
+    apart = places[:10] + places[20:30]
+    assert [len(x) for x in warc.spans(apart)] == [10, 10] and len(list(warc.spans(places, 5000))) <= 2 * at // 5000 + 1
+
+
 def test_url_keys(spark):
     from pyspark.sql import functions as F
 
