@@ -1,9 +1,13 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Texts are packed into chunks. A chunk sends the distinct pre-tokens of its texts to buckets by hash;
-a bucket encodes every distinct word of the whole corpus that falls to it once and answers each chunk
-with the ids of its words; the chunk puts the ids back at the words' positions. Decoding joins ids
-with the table of token bytes, whose size is that of the vocabulary.
+Texts are cut into pre-tokens once, chunk by chunk. A chunk sends its distinct words to buckets by hash,
+and every position with the number of its word on to where the ids will come; a bucket encodes every
+distinct word of the whole corpus that falls to it once and answers each chunk with the ids of its words;
+there the ids are put back at the words' positions. Decoding joins the ids of a chunk with the table of
+token bytes, whose size is that of the vocabulary, and puts the bytes together by position.
+
+A long text is cut and put together in pieces; in memory are its bytes and four bytes a pre-token. One
+pre-token is encoded as a whole, of whatever length.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; repeated rows each get a
 row; other columns are ignored, whatever their names; an empty table gives an empty result. Text that
@@ -17,6 +21,7 @@ import functools
 import hashlib
 import re
 import zlib
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -27,6 +32,11 @@ from pyspark.sql import functions as F
 
 from linkweave.llm import exchange as X
 
+#: Characters of a text that are cut at a time, and matches at the end of a piece that what follows may change.
+PIECE_CHARS = 1 << 20
+AHEAD = 4
+#: Words that are put together at a time.
+STEP = 1 << 18
 RESULT_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded binary"
 
 
@@ -137,70 +147,178 @@ def _encode_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def decode_ids(ids: np.ndarray, table: list[bytes]) -> bytes:
-    return b"".join(map(table.__getitem__, ids.tolist()))
+def pieces(text: str, pattern: str, size: int = PIECE_CHARS) -> Iterator[list[str]]:
+    """The matches of the pattern in a text, some at a time. A long text is read in pieces; the last matches of a
+    piece, which what follows may change, are found again with the next one."""
+    find, at = splitter(pattern), 0
+    while len(text) - at > size:
+        width = size
+        while True:
+            part = text[at : at + width]
+            own = find(part)
+            if at + width >= len(text) or sum(map(len, own)) != len(part):  # the end, or a pattern that leaves gaps
+                yield find(text[at:])
+                return
+            if len(own) > AHEAD:
+                break
+            width *= 2
+        del own[-AHEAD:]
+        at += sum(map(len, own))
+        yield own
+    yield find(text[at:])
+
+
+class _Numbers(dict):
+    """Words to numbers in the order in which they are met."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = len(self)
+        return self[word]
+
+
+def _explode(texts: X.Texts, pattern: str, buckets: int) -> tuple[list[list[str]], bytes]:
+    """(the chunk's distinct words, ascending, by bucket; ids of the documents, their numbers of words, and every
+    position's word). Positions name words by how frequent they are, which packs best."""
+    numbers, found, counts = _Numbers(), [], []
+    raw, at = texts.data.tobytes(), texts.offsets.tolist()
+    for a, b in zip(at, at[1:]):
+        size = 0
+        for own in pieces(raw[a:b].decode("utf-8", "replace"), pattern) if b > a else ():
+            found.append(np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)))
+            size += len(own)
+        counts.append(size)
+    positions = np.concatenate(found) if found else np.zeros(0, np.uint32)
+    words = sorted(numbers)
+    bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(words), np.uint32)  # of the word with a number among all, by bucket
+    place[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))[order]] = np.arange(len(words))
+    frequent = np.argsort(-np.bincount(positions, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), np.uint32)
+    rank[frequent] = np.arange(len(words), dtype=np.uint32)
+    mine: list[list[str]] = [[] for _ in range(buckets)]
+    for i, k in zip(order.tolist(), bucket[order].tolist()):
+        mine[k].append(words[i])
+    parts = [X.planes(texts.ids), X.planes(texts.no_id.astype(np.uint8)), X.planes(np.array(counts, np.uint32)), X.planes(place[frequent]), X.planes(rank[positions])]
+    return mine, X.join_blobs(parts)
 
 
-def _by_bucket(texts: X.Texts, pattern: str, buckets: int) -> tuple[list[list[str]], list[list[str]]]:
-    """The pre-tokens of every text, and the chunk's distinct ones, ascending, by bucket."""
-    find, raw, at = splitter(pattern), texts.data.tobytes(), texts.offsets.tolist()
-    tokens = [find(raw[a:b].decode("utf-8", "replace")) if b > a else [] for a, b in zip(at, at[1:])]
-    mine: list[list[str]] = [[] for _ in range(buckets)]
-    for word in sorted(set(chain.from_iterable(tokens))):
-        mine[zlib.crc32(word.encode()) % buckets].append(word)
-    return tokens, mine
+def decode_ids(ids: np.ndarray, tokens: pa.Table) -> pa.Array:
+    """The bytes of every id: the distinct ids are joined with the token-byte table (id, piece), and the bytes
+    joined back by position."""
+    present = np.flatnonzero(np.bincount(ids)) if len(ids) else np.zeros(0, np.int64)
+    joined = pa.table({"id": pa.array(present.astype(np.uint32))}).join(tokens, "id", join_type="inner", use_threads=False).combine_chunks()
+    row = np.zeros(int(present[-1]) + 1 if len(present) else 0, np.int64)
+    row[joined.column("id").to_numpy()] = np.arange(len(joined))
+    if len(joined) != len(present):
+        raise ValueError("ids that the vocabulary lacks")
+    piece = joined.column("piece")
+    return piece.chunk(0).take(pa.array(row[ids])) if piece.num_chunks else pa.array([], pa.large_binary())
+
+
+@functools.cache
+def token_rows(path: str) -> pa.Table:
+    """The token-byte table; its size is that of the vocabulary."""
+    ranks = load_ranks(path)
+    return pa.table({"id": pa.array(list(ranks.values()), pa.uint32()), "piece": pa.array(list(ranks), pa.large_binary())})
+
+
+def _flat(taken: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The bytes of a binary array and its offsets."""
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1]
+    return memoryview(taken.buffers()[2] or b""), offsets
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_payload: bool = False, pack_bytes: int | None = None) -> DataFrame:
     """One row per document: number of ids, digests, and with ``keep_payload`` ids (little-endian u32) and decoded bytes."""
     pack_bytes, buckets = X.plan(df, text_col, pack_bytes)
-    packs = X.pack(df, id_col, text_col, pack_bytes)
 
     def emit(chunk, texts):
-        for bucket, words in enumerate(_by_bucket(texts, pattern, buckets)[1]):
+        mine, positions = _explode(texts, pattern, buckets)
+        for bucket, words in enumerate(mine):
             if words:
-                yield bucket, X.to_blob(pa.table({"w": pa.array(words, pa.large_string())}))
+                yield bucket, X.join_blobs([b"w", X.to_blob(pa.table({"w": pa.array(words, pa.large_string())}))])
+        # positions wait in any bucket for the words' ids
+        yield zlib.crc32(str(chunk).encode()) % buckets, X.join_blobs([b"p", positions])
 
     def reply(chunks, blobs):
         one = word_encoder(ranks_path)
-        lists = [pa.ipc.open_stream(b).read_all().column(0).combine_chunks() for b in blobs]
-        every = pc.unique(pa.chunked_array(lists))
+        asked = []
+        for chunk, blob in zip(chunks, blobs, strict=True):
+            kind, body = X.split_blobs(blob)
+            if kind == b"p":
+                yield chunk, blob
+            else:
+                asked.append((chunk, pa.ipc.open_stream(body).read_all().column(0).combine_chunks()))
+        if not asked:
+            return
+        every = pc.unique(pa.chunked_array([words for _, words in asked]))
         codes = [one(w.encode()) for w in every.to_pylist()]
         counts = np.fromiter(map(len, codes), np.uint32, len(codes))
         ids = np.fromiter(chain.from_iterable(codes), np.uint32, int(counts.sum()))
         begin = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        for chunk, words in zip(chunks, lists, strict=True):
+        for chunk, words in asked:
             place = pc.index_in(words, every).to_numpy()
             n = counts[place].astype(np.int64)
             take = np.repeat(begin[place] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            yield chunk, X.join_blobs([X.planes(counts[place]), X.planes(ids[take])])
-
-    replies = X.answer(X.send(packs, emit), reply)
-
-    def work(texts, answers):
-        table = token_table(ranks_path)
-        tokens, mine = _by_bucket(texts, pattern, buckets)
-        code: dict[str, bytes] = {}
-        for bucket, blob in answers:
-            counts, ids = X.split_blobs(blob)
-            ends = (np.cumsum(X.unplanes(counts, np.uint32), dtype=np.int64) * 4).tolist()
-            raw = X.unplanes(ids, np.uint32).astype("<u4").tobytes()
-            begin = 0
-            for word, end in zip(mine[bucket], ends, strict=True):
-                code[word] = raw[begin:end]
-                begin = end
+            yield chunk, X.join_blobs([b"i", X.planes(counts[place]), X.planes(ids[take])])
+
+    replies = X.answer(X.send_packed(df, id_col, text_col, pack_bytes, emit), reply)
+
+    def work(answers):
+        parts = [(bucket, X.split_blobs(blob)) for bucket, blob in answers]
+        (positions,) = (rest[0] for _, (kind, *rest) in parts if kind == b"p")
+        by_bucket = [rest for _, (kind, *rest) in sorted((x for x in parts if x[1][0] == b"i"), key=lambda x: x[0])]
+        counts = np.concatenate([np.zeros(0, np.uint32), *(X.unplanes(r[0], np.uint32) for r in by_bucket)])
+        ids = np.concatenate([np.zeros(0, np.uint32), *(X.unplanes(r[1], np.uint32) for r in by_bucket)])
+        ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64) * 4])
+        words = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u4"))])
+        own, no_id, sizes, frequent, ranks = (X.unplanes(x, kind) for x, kind in zip(X.split_blobs(positions), (np.int64, np.uint8, np.uint32, np.uint32, np.uint32), strict=True))
+        words = words.take(pa.array(frequent))
+        tokens = token_rows(ranks_path)
         n, digest, back, payload, plain = [], [], [], [], []
-        for own in tokens:
-            raw = b"".join(map(code.__getitem__, own))
-            text = decode_ids(np.frombuffer(raw, "<u4"), table)
-            n.append(len(raw) // 4)
-            digest.append(hashlib.sha256(raw).hexdigest())
-            back.append(hashlib.sha256(text).hexdigest())
-            payload.append(raw if keep_payload else None)
-            plain.append(text if keep_payload else None)
-        return pa.table({"doc_id": texts.id_array(), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(digest, pa.string()), "decoded_sha256": pa.array(back, pa.string()), "ids": pa.array(payload, pa.binary()), "decoded": pa.array(plain, pa.binary())})
-
-    out = X.meet(packs, replies, work, RESULT_SCHEMA)
+        edge = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        doc = 0
+        while doc < len(own):
+            # documents with some words together, or a part of a long one at a time
+            last = max(doc + 1, int(np.searchsorted(edge, edge[doc] + STEP, "right")) - 1)
+            one, two = hashlib.sha256(), hashlib.sha256()
+            kept: tuple[list[bytes], list[bytes]] = ([], [])
+            total, at = 0, int(edge[doc])
+            while True:
+                stop = min(int(edge[last]), at + STEP) if last == doc + 1 else int(edge[last])
+                raw, at_word = _flat(words.take(pa.array(ranks[at:stop])))
+                flat = np.frombuffer(raw, "<u4")[: at_word[-1] // 4]
+                text, at_id = _flat(decode_ids(flat, tokens))
+                if last == doc + 1:
+                    one.update(raw[: at_word[-1]])
+                    two.update(text[: at_id[-1]])
+                    total += len(flat)
+                    if keep_payload:
+                        kept[0].append(bytes(raw[: at_word[-1]]))
+                        kept[1].append(bytes(text[: at_id[-1]]))
+                    at = stop
+                    if at < edge[last]:
+                        continue
+                    n.append(total)
+                    digest.append(one.hexdigest())
+                    back.append(two.hexdigest())
+                    payload.append(b"".join(kept[0]) if keep_payload else None)
+                    plain.append(b"".join(kept[1]) if keep_payload else None)
+                    break
+                for a, b in zip(edge[doc:last].tolist(), edge[doc + 1 : last + 1].tolist()):
+                    i, j = int(at_word[a - at]), int(at_word[b - at])
+                    k, m = int(at_id[i // 4]), int(at_id[j // 4])
+                    n.append((j - i) // 4)
+                    digest.append(hashlib.sha256(raw[i:j]).hexdigest())
+                    back.append(hashlib.sha256(text[k:m]).hexdigest())
+                    payload.append(bytes(raw[i:j]) if keep_payload else None)
+                    plain.append(bytes(text[k:m]) if keep_payload else None)
+                break
+            doc = last
+        return pa.table({"doc_id": pa.array(own, pa.int64(), mask=no_id.astype(bool)), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(digest, pa.string()), "decoded_sha256": pa.array(back, pa.string()), "ids": pa.array(payload, pa.binary()), "decoded": pa.array(plain, pa.binary())})
+
+    out = X.collect(replies, work, RESULT_SCHEMA)
     return out if keep_payload else out.drop("ids", "decoded")
 
 

@@ -38,38 +38,49 @@ def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> Da
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 32
-        number = 0
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal number, held, size
-            table = pa.Table.from_batches(held).combine_chunks()
-            row = {"chunk": [base + number], "n_bytes": [size], "blob": [to_blob(table)]}
-            number, held, size = number + 1, [], 0
-            return pa.RecordBatch.from_pydict(row, schema=pa.schema([("chunk", pa.int64()), ("n_bytes", pa.int64()), ("blob", pa.binary())]))
+        for chunk, size, table in _chunks(batches, pack_bytes):
+            row = {"chunk": [chunk], "n_bytes": [size], "blob": [to_blob(table)]}
+            yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("chunk", pa.int64()), ("n_bytes", pa.int64()), ("blob", pa.binary())]))
+
+    return _scanned(df, key, text).mapInArrow(tidy(run), PACK_SCHEMA)
 
-        for batch in batches:
-            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            begin = 0
-            while begin < len(lengths):
-                room = np.cumsum(lengths[begin:])
-                count = max(1 if not held else 0, int(np.searchsorted(room, pack_bytes - size, "right")))
-                if count:
-                    held.append(batch.slice(begin, count))
-                    size += int(room[count - 1])
-                    begin += count
-                if begin < len(lengths) or size >= pack_bytes:
-                    yield flush()
-        if held:
-            yield flush()
 
+def _scanned(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, text) in an order that every reading meets again."""
     small_batches(df.sparkSession)
     slim = df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("binary").alias("text"))
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         slim = materialise(slim, "rows", "zstd")
-    return slim.mapInArrow(tidy(run), PACK_SCHEMA)
+    return slim
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], pack_bytes: int) -> Iterator[tuple[int, int, pa.Table]]:
+    """(chunk, bytes of text, rows)."""
+    base = TaskContext.get().partitionId() << 32
+    number = 0
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def flush() -> tuple[int, int, pa.Table]:
+        nonlocal number, held, size
+        out = base + number, size, pa.Table.from_batches(held).combine_chunks()
+        number, held, size = number + 1, [], 0
+        return out
+
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        begin = 0
+        while begin < len(lengths):
+            room = np.cumsum(lengths[begin:])
+            count = max(1 if not held else 0, int(np.searchsorted(room, pack_bytes - size, "right")))
+            if count:
+                held.append(batch.slice(begin, count))
+                size += int(room[count - 1])
+                begin += count
+            if begin < len(lengths) or size >= pack_bytes:
+                yield flush()
+    if held:
+        yield flush()
 
 
 def to_blob(table: pa.Table) -> bytes:
@@ -82,8 +93,8 @@ def to_blob(table: pa.Table) -> bytes:
 class Texts:
     """One chunk: ``ids`` and the bytes of all texts with their offsets (null texts are empty)."""
 
-    def __init__(self, blob: bytes):
-        table = pa.ipc.open_stream(blob).read_all().combine_chunks()
+    def __init__(self, rows: bytes | pa.Table):
+        table = rows if isinstance(rows, pa.Table) else pa.ipc.open_stream(rows).read_all().combine_chunks()
         column = table.column(1)
         column = column.chunk(0) if column.num_chunks else pa.array([], pa.binary())
         self.null = column.is_null().to_numpy(zero_copy_only=False)
@@ -173,6 +184,17 @@ def send(packs: DataFrame, emit: Callable[[int, Texts], Iterator[tuple[int, byte
     return packs.select("chunk", "blob").mapInArrow(tidy(run), MAIL_SCHEMA)
 
 
+def send_packed(df: DataFrame, key: str, text: str, pack_bytes: int, emit: Callable[[int, Texts], Iterator[tuple[int, bytes]]]) -> DataFrame:
+    """``send`` for texts that are read only once: no packs are made."""
+
+    def run(batches):
+        for chunk, _, table in _chunks(batches, pack_bytes):
+            rows = list(emit(chunk, Texts(table)))
+            yield mail([b for b, _ in rows], [chunk] * len(rows), [x for _, x in rows])
+
+    return _scanned(df, key, text).mapInArrow(tidy(run), MAIL_SCHEMA)
+
+
 def mail(buckets, chunks, blobs) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(chunks, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "chunk", "blob"])
 
@@ -221,6 +243,17 @@ def meet(packs: DataFrame, replies: DataFrame, work: Callable[[Texts, list[tuple
     return packs.select("chunk", "blob").groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(run, schema)
 
 
+def collect(replies: DataFrame, work: Callable[[list[tuple[int, bytes]]], pa.Table], schema: str) -> DataFrame:
+    """All answers, as pairs of bucket and blob, that a chunk got."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = work(list(zip(table.column("bucket").to_pylist(), table.column("blob").to_pylist(), strict=True)))
+        release()
+        return out
+
+    return replies.groupBy("chunk").applyInArrow(run, schema)
+
+
 def plan(df: DataFrame, text: str, pack_bytes: int | None = None) -> tuple[int, int]:
     """(bytes of text in a pack, number of buckets) for an input.
 

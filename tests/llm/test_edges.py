@@ -228,6 +228,38 @@ def test_bpe_round_trip(odd):
     assert {r.n_tokens for r in rows if r.doc_id in (0, 1)} == {0}
 
 
+def test_long_texts_are_cut_as_short_ones():
+    import random
+
+    _, pattern = _vocabulary()
+    random.seed(7)
+    for _ in range(300):
+        text = "".join(random.choice(["a", "b ", "  ", "\n", "'", "ll", "re", "9", "中", ".", "é"]) for _ in range(random.randrange(80)))
+        assert [w for own in bpe.pieces(text, pattern, 9) for w in own] == bpe.splitter(pattern)(text)
+    assert [w for own in bpe.pieces("x" * 5000, pattern, 9) for w in own] == ["x" * 5000]
+
+
+def test_a_long_text_is_put_together_in_parts(spark, odd, monkeypatch):
+    usual = listed(bpe.encode(odd, *_vocabulary()), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    monkeypatch.setattr(bpe, "STEP", 7)
+    path, pattern = _vocabulary()
+    df = odd.filter("doc_id in (4, 5, 6, 7, 8)")
+    # the constants travel with the function, as the workers import the module anew
+    emit = {}
+    monkeypatch.setattr(bpe.X, "send_packed", lambda df, a, b, c, f: emit.setdefault("send", f))
+    monkeypatch.setattr(bpe.X, "answer", lambda sent, reply: emit.setdefault("reply", reply))
+    monkeypatch.setattr(bpe.X, "collect", lambda replies, work, schema: emit.setdefault("work", work) and df)
+    bpe.encode(df, path, pattern, keep_payload=True)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    texts = exchange.Texts(__import__("pyarrow").table({"id": [i for i, _ in rows], "text": [t.encode() for _, t in rows]}))
+    boxes = {}
+    for bucket, blob in emit["send"](0, texts):
+        boxes.setdefault(bucket, []).append(blob)
+    answers = [(bucket, blob) for bucket, blobs in boxes.items() for _, blob in emit["reply"]([0] * len(blobs), blobs)]
+    got = sorted(((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in emit["work"](answers).to_pylist()), key=str)
+    assert got == [r for r in usual if r[0] in (4, 5, 6, 7, 8)]
+
+
 def test_bpe_merge_loops_agree():
     import random
 
