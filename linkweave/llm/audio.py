@@ -7,13 +7,15 @@ one offset, so an index from integers to places finds them: hits are counted by
 the best offsets are confirmed by the share of differing bits over the whole overlap.
 
 Recordings with equal fingerprints form a class, represented by its smallest id; only classes are
-compared. The index holds every integer of every class, nothing is sampled or capped; a key that many
-classes share is split by adaptive execution like any skewed join.
+compared. The index holds every integer of every class, nothing is sampled or capped. A stretch of one
+integer (silence, a held tone) is one row of the index, and meets another at the sum of their lengths of
+offsets; a key that many classes share is split by adaptive execution like any skewed join.
 
 Defined results: null, empty or unreadable audio, and audio shorter than the filters' width, has an
 empty fingerprint, is a member of a class of its own and matches nothing; silence has fingerprints like
 any sound; stereo is mixed down and other sample rates are interpolated; repeated rows are members of one
-class; an empty table gives an empty result; other columns are ignored.
+class; of offsets of equal error the one with more overlap wins, then the smaller; an empty table gives an
+empty result; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -169,12 +171,26 @@ def bit_error(a: Column, b: Column, offset: Column) -> Column:
     return F.aggregate(differ, F.lit(0), lambda s, x: s + x) / (32 * length)
 
 
+def places(fps: DataFrame, id_col: str) -> DataFrame:
+    """id, key, begin, length: the stretches of equal integers of a fingerprint."""
+    n = F.size("fp")
+    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get("fp", i) != F.get("fp", i - 1)))
+    edged = fps.filter(n > 0).select(id_col, "fp", F.concat(starts, F.array(n)).alias("edges"))
+    runs = edged.select(id_col, "fp", "edges", F.posexplode(F.slice("edges", F.lit(1), F.size("edges") - 1)).alias("i", "begin"))
+    return runs.select(id_col, F.get("fp", F.col("begin")).alias("key"), "begin", (F.get("edges", F.col("i") + 1) - F.col("begin")).alias("length"))
+
+
 def align(queries: DataFrame, reps: DataFrame, votes: int = VOTES, overlap: int = OVERLAP, most: float = BIT_ERROR) -> DataFrame:
     """queries: query_id, fp; reps: class_id, fp -> query_id, class_id, offset (frames by which the query
     begins after the recording does), n_votes, n_overlap, bit_error; the best offset of each pair."""
-    probes = queries.select("query_id", F.posexplode("fp").alias("q", "key"))
-    index = reps.select("class_id", F.posexplode("fp").alias("p", "key"))
-    hits = index.join(probes, "key").groupBy("query_id", "class_id", (F.col("p") - F.col("q")).alias("offset")).agg(F.count("*").alias("n_votes")).filter(F.col("n_votes") >= votes)
+    probes = places(queries, "query_id").withColumnsRenamed({"begin": "q", "length": "m"})
+    index = places(reps, "class_id").withColumnsRenamed({"begin": "p", "length": "l"})
+    low, high = F.col("p") - F.col("q") - F.col("m") + 1, F.col("p") + F.col("l") - 1 - F.col("q")
+    met = index.join(probes, "key").select("query_id", "class_id", "l", "m", low.alias("low"), high.alias("high"))
+    # two stretches of one integer meet at l + m - 1 offsets, not at l * m pairs of frames
+    met = met.withColumn("offset", F.explode(F.sequence("low", "high")))
+    votes_here = F.least("l", "m", F.col("offset") - F.col("low") + 1, F.col("high") - F.col("offset") + 1)
+    hits = met.groupBy("query_id", "class_id", "offset").agg(F.sum(votes_here).alias("n_votes")).filter(F.col("n_votes") >= votes)
     both = hits.join(queries.withColumnRenamed("fp", "a"), "query_id").join(reps.withColumnRenamed("fp", "b"), "class_id")
     start = F.greatest(F.lit(0), -F.col("offset"))
     both = both.withColumn("n_overlap", F.least(F.size("a") - start, F.size("b") - start - F.col("offset"))).filter(F.col("n_overlap") >= overlap)

@@ -2,15 +2,16 @@
 
 Byte n-grams of the lower-cased text (all but letters become one blank) are hashed to rows of an
 embedding; a text is the mean of its rows, and a linear softmax reads the language from the mean. The
-model is trained by stochastic gradient descent in numpy, on the driver, from a bounded sample
-(``SAMPLE`` documents, ``SNIPPETS`` stretches of ``SNIPPET`` bytes of each, evenly spread over it); a
-tenth of the sample is held back, on which the temperature of the scores and the rejection threshold
-are calibrated. As the mean and the last layer are linear, both are folded into one table of a row of
-logits per n-gram hash, so that scoring is three look-ups per byte.
+model is trained by stochastic gradient descent in numpy, on the driver, from a bounded sample (``SAMPLE``
+documents, whole texts, each as a histogram over the rows); a tenth of the sample is held back, on which
+the temperature of the scores and the rejection threshold are calibrated. As the mean and the last layer
+are linear, both are folded into one table of a row of logits per n-gram hash, so that scoring is three
+look-ups per byte.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter; a text of any length is
 read whole; repeated rows get equal rows; rows without a language or id are never learned from; if
-nothing can be learned every text is ``und``; other columns are ignored. ``rejected`` marks texts whose
+nothing can be learned every text is ``und``; of languages that score equally the first by name is
+predicted; other columns, whatever their names, are ignored. ``rejected`` marks texts whose
 score is below the calibrated threshold.
 """
 
@@ -26,9 +27,8 @@ from pyspark.sql import functions as F
 from linkweave.llm import rolling as R
 from linkweave.llm.batches import slices, small_batches, text_bytes, tidy
 
-SAMPLE = 8000
-SNIPPET = 240
-SNIPPETS = 2
+SAMPLE = 3000
+PIECE_BYTES = 1 << 20
 ROWS = 1 << 16
 DIMENSION = 16
 GRAMS = (2, 3, 4)
@@ -73,24 +73,26 @@ def gram_rows(data: np.ndarray, size: int) -> np.ndarray:
     return ((h * np.uint32(0x2C1B3C6D)) >> np.uint32(16)).astype(np.int64)
 
 
-def snippets(data: np.ndarray) -> list[np.ndarray]:
-    if len(data) <= SNIPPET:
-        return [data]
-    return [data[a : a + SNIPPET] for a in np.linspace(0, len(data) - SNIPPET, SNIPPETS).astype(int)]
+def histogram(text: bytes | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, counts) of all n-grams of a whole text."""
+    data = clean(np.frombuffer(text, np.uint8) if isinstance(text, bytes) else text)
+    data = np.concatenate([data, np.full(max(GRAMS), 32, np.uint8)])
+    count = np.zeros(ROWS, np.int64)
+    for begin in range(0, len(data) - max(GRAMS), PIECE_BYTES):
+        part = data[begin : begin + PIECE_BYTES + max(GRAMS)]
+        for size in GRAMS:
+            count += np.bincount(gram_rows(part, size)[: min(PIECE_BYTES, len(part) - max(GRAMS))], minlength=ROWS)
+    rows = np.flatnonzero(count)
+    return rows, count[rows]
 
 
-def train(texts: list[bytes], languages: list[str], seed: int = 1) -> Model:
-    """Fit on some texts and their languages; every tenth is only used to calibrate."""
+def train(sample: list[tuple[np.ndarray, np.ndarray]], languages: list[str], seed: int = 1) -> Model:
+    """Fit on the histograms of some texts and their languages; every tenth is only used to calibrate."""
     names = sorted(set(languages))
     random = np.random.default_rng(seed)
-    rows, label, held = [], [], []
-    for i, (text, language) in enumerate(zip(texts, languages, strict=True)):
-        for part in snippets(clean(np.frombuffer(text, np.uint8))):
-            if (part != 32).any():
-                rows.append(np.concatenate([gram_rows(part, n) for n in GRAMS]))
-                label.append(names.index(language))
-                held.append(i % 10 == 9)
-    label_of, held_of = np.array(label), np.array(held, bool)
+    label_of = np.array([names.index(x) for x in languages])
+    held_of = np.arange(len(sample)) % 10 == 9
+    share = [(counts / counts.sum()).astype(np.float32) for _, counts in sample]
     embedding = random.normal(0, 0.1, (ROWS, DIMENSION)).astype(np.float32)
     weight = random.normal(0, 0.1, (DIMENSION, len(names))).astype(np.float32)
     bias = np.zeros(len(names), np.float32)
@@ -102,10 +104,11 @@ def train(texts: list[bytes], languages: list[str], seed: int = 1) -> Model:
         random.shuffle(learn)
         for begin in range(0, len(learn), BATCH):
             chosen = learn[begin : begin + BATCH]
-            flat = np.concatenate([rows[i] for i in chosen])
-            count = np.array([len(rows[i]) for i in chosen])
+            flat = np.concatenate([sample[i][0] for i in chosen])
+            part = np.concatenate([share[i] for i in chosen])
+            count = np.array([len(sample[i][0]) for i in chosen])
             edge = np.concatenate([[0], np.cumsum(count)[:-1]])
-            mean = np.add.reduceat(embedding[flat], edge) / count[:, None].astype(np.float32)
+            mean = np.add.reduceat(embedding[flat] * part[:, None], edge)
             wrong = softmax(mean @ weight + bias)
             wrong[np.arange(len(chosen)), label_of[chosen]] -= 1
             rate = np.float32(0.8 * (1 - step / steps) + 0.01)
@@ -113,18 +116,19 @@ def train(texts: list[bytes], languages: list[str], seed: int = 1) -> Model:
             weight -= rate / len(chosen) * (mean.T @ wrong).astype(np.float32)
             bias -= rate / len(chosen) * wrong.sum(0).astype(np.float32)
             # every occurrence of a row moves it; scaled up, as each n-gram has a small share of the mean
-            move = np.repeat(back * (20 / count[:, None]).astype(np.float32), count, axis=0)
-            np.add.at(embedding, flat, -rate * move)
+            owner = np.repeat(np.arange(len(chosen)), count)
+            for j in range(DIMENSION):
+                embedding[:, j] -= rate * 20 * np.bincount(flat, back[owner, j] * part, ROWS).astype(np.float32)
             step += 1
     table = (embedding @ weight).astype(np.float32)
     temperature, threshold = 1.0, 0.0
     test = np.flatnonzero(held_of)
     if len(test) and len(names) > 1:
-        logits = np.stack([table[rows[i]].mean(0) for i in test]) + bias
+        scores = np.stack([share[i] @ table[sample[i][0]] for i in test]) + bias
         choices = np.geomspace(0.25, 8, 41)
-        loss = [-np.log(softmax(logits / t)[np.arange(len(test)), label_of[test]] + 1e-12).mean() for t in choices]
+        loss = [-np.log(softmax(scores / t)[np.arange(len(test)), label_of[test]] + 1e-12).mean() for t in choices]
         temperature = float(choices[int(np.argmin(loss))])
-        score = softmax(logits / temperature)
+        score = softmax(scores / temperature)
         best = score.max(1)
         right = score.argmax(1) == label_of[test]
         order = np.argsort(-best)
@@ -170,21 +174,27 @@ def logits(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def learn(df: DataFrame, held: int = 2, folds: int = 4, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Train on at most ``sample`` documents outside the held-out fold, chosen by a hash of the id."""
+    """Train on at most ``sample`` documents, whole texts, outside the held-out fold, chosen by a hash of the id."""
     fold = F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
     able = df.filter((fold != held) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = able.select(F.col(id_col).alias("pick")).orderBy(F.xxhash64("pick"), "pick").limit(sample)
-    # only the stretches that are learned from go to the driver: at most sample * SNIPPETS * SNIPPET bytes
-    def cut(batches):
+    able = able.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    chosen = able.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
+
+    def count(batches):
         for batch in batches:
             for part in slices(batch, 1):
                 data, offsets = text_bytes(part.column(1))
-                texts = [b"".join(x.tobytes() for x in snippets(data[a:b])) for a, b in zip(offsets, offsets[1:])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()), part.column(2)], names=["id", "text", "lang"])
+                letters = has_letter(data, offsets)
+                found = [histogram(data[a:b]) for a, b in zip(offsets, offsets[1:])]
+                out = [part.column(0), part.column(2), pa.array([r.astype(np.uint16).tobytes() for r, _ in found], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays(out, names=["id", "lang", "rows", "counts"]).filter(pa.array(letters))
 
-    texts = able.join(F.broadcast(chosen), able[id_col] == F.col("pick")).select(F.col("pick").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = sorted(texts.mapInArrow(tidy(cut), "id long, text binary, lang string").collect(), key=lambda r: (r.id, bytes(r.text)))
-    return train([bytes(r.text) for r in rows], [r.lang for r in rows]) if rows else None
+    # an n-gram histogram of a whole text goes to the driver, of at most 6 * ROWS bytes
+    small_batches(df.sparkSession)
+    texts = able.join(F.broadcast(chosen), "id").select("id", "text", "lang")
+    rows = sorted(texts.mapInArrow(tidy(count), "id long, lang string, rows binary, counts binary").collect(), key=lambda r: (r.id, r.lang, bytes(r.rows), bytes(r.counts)))
+    sample_of = [(np.frombuffer(bytes(r.rows), np.uint16).astype(np.int64), np.frombuffer(bytes(r.counts), np.uint32)) for r in rows]
+    return train(sample_of, [r.lang for r in rows]) if rows else None
 
 
 def predict(df: DataFrame, model: Model | None, held: int = 2, folds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -411,6 +411,52 @@ def test_url_keys(spark):
     assert [r[0] for r in df.select(warc.url_key(F.col("u"))).collect()] == ["com,example,www)/P?q=1", "!mailto:x", "!"]
 
 
+def test_language_logits_against_every_gram():
+    random = np.random.default_rng(2)
+    model = language_id.Model(["a", "b", "c"], random.normal(size=(language_id.ROWS, 3)).astype(np.float32), np.zeros(3, np.float32), 1.0, 0.0)
+    texts = [b"Hello World", b"", "Ünïcode ÄÖ 中文".encode(), b"x", b"12 34"]
+    offsets = np.cumsum([0, *map(len, texts)])
+    got = language_id.logits(model, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    for i, text in enumerate(texts):
+        data = np.concatenate([language_id.clean(np.frombuffer(text, np.uint8)), np.full(4, 32, np.uint8)])
+        rows = []
+        for size in language_id.GRAMS:
+            for k in range(len(text)):
+                h = size * 0x9E3779B1 & 0xFFFFFFFF
+                for j in range(size):
+                    h = (h ^ int(data[k + j])) * int(language_id._STEP[j]) & 0xFFFFFFFF
+                h ^= h >> 15
+                rows.append((h * 0x2C1B3C6D & 0xFFFFFFFF) >> 16)
+        want = model.table[rows].astype(float).mean(0) if rows else np.zeros(3)
+        assert np.allclose(got[i], want, atol=1e-5)
+        where, counts = language_id.histogram(text)
+        assert sorted(np.repeat(where, counts).tolist()) == sorted(rows)
+
+
+def test_language_is_learned_with_clashing_columns(spark):
+    texts = {"en": "the house and the river with this", "de": "das haus und der fluss mit dem"}
+    rows = [(i, texts[k] + f" {i}", k, 1, "r", "c") for i in range(80) for k in [sorted(texts)[i % 2]]]
+    df = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, lang string, pick long, rows string, id string")
+    got = language_id.predict(df, language_id.learn(df)).collect()
+    assert len(got) == 81 and sum(r.lang_pred == sorted(texts)[r.doc_id % 2] for r in got) >= 79
+
+
+def test_audio_silence_in_many_recordings_does_not_multiply(spark):
+    random = np.random.default_rng(9)
+    rows, asked = [], []
+    for i in range(1000):
+        fp = np.concatenate([random.integers(1, 1 << 30, 30), np.zeros(200, int), random.integers(1, 1 << 30, 10)])
+        rows.append((i, fp.tolist(), "k", 1))
+        if i % 250 == 0:
+            asked.append((i, fp[5:].tolist()))
+    reps = spark.createDataFrame(rows, "class_id long, fp array<int>, key string, offset int")
+    queries_ = spark.createDataFrame(asked, "query_id long, fp array<int>")
+    assert audio.places(reps.select("class_id", "fp"), "class_id").count() == 1000 * 41
+    # alone, silence aligns at many offsets; the true one has no error
+    got = audio.align(queries_, reps.select("class_id", "fp"), votes=195, most=0.02)
+    assert {(r.query_id, r.class_id, r.offset, r.n_votes) for r in got.collect() if r.bit_error == 0} == {(i, i, 5, 235) for i, _ in asked}
+
+
 def test_audio_edges(spark):
     tune = audio.melody(np.linspace(-1, 1, 64))
     stereo = bytearray(audio.wav(np.repeat(tune, 2)))
