@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # Fixed values of the data contract: words, abbreviations and codes.
-LEGAL_WORDS = "inc incorporated corp corporation co company ltd limited llc llp lp pvt private plc gmbh sarl sa ag bv pty enterprise enterprises group holdings solutions services consultants consulting associates international global the".split()
-ABBREVIATIONS = dict(x.split(":") for x in "rd:road st:street ave:avenue dr:drive ln:lane blvd:boulevard apt:apartment ste:suite hwy:highway pl:place ct:court cir:circle pkwy:parkway ter:terrace".split())
-ADDRESS_STOP_WORDS = [*ABBREVIATIONS.values(), *"floor near behind off house flat plot block wing village taluka dist district ward sector phase stage no number survey gali city town".split()]
-STATES = "al ak az ar ca co ct de fl ga hi id il in ia ks ky la me md ma mi mn ms mo mt ne nv nh nj nm ny nc nd oh ok or pa ri sc sd tn tx ut vt va wa wv wi wy".split()
+LEGAL_WORDS = ["inc", "incorporated", "corp", "corporation", "co", "company", "ltd", "limited", "llc", "llp", "lp", "pvt", "private", "plc", "gmbh", "sarl", "sa", "ag", "bv", "pty", "enterprise", "enterprises", "group", "holdings", "solutions", "services", "consultants", "consulting", "associates", "international", "global", "the"]
+ABBREVIATIONS = {"rd": "road", "st": "street", "ave": "avenue", "dr": "drive", "ln": "lane", "blvd": "boulevard", "apt": "apartment", "ste": "suite", "hwy": "highway", "pl": "place", "ct": "court", "cir": "circle", "pkwy": "parkway", "ter": "terrace"}
+ADDRESS_STOP_WORDS = [*ABBREVIATIONS.values(), "floor", "near", "behind", "off", "house", "flat", "plot", "block", "wing", "village", "taluka", "dist", "district", "ward", "sector", "phase", "stage", "no", "number", "survey", "gali", "city", "town"]
+STATES = ["al", "ak", "az", "ar", "ca", "co", "ct", "de", "fl", "ga", "hi", "id", "il", "in", "ia", "ks", "ky", "la", "me", "md", "ma", "mi", "mn", "ms", "mo", "mt", "ne", "nv", "nh", "nj", "nm", "ny", "nc", "nd", "oh", "ok", "or", "pa", "ri", "sc", "sd", "tn", "tx", "ut", "vt", "va", "wa", "wv", "wi", "wy"]
 #: Letters that no decomposition reduces to ASCII, with what they are written as.
 SPELLED = {"ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "þ": "th", "Þ": "Th", "ð": "d", "Ð": "D", "ı": "i", "’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-", " ": " "}
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkweave.operators.lists import group_ids, one_row_each
+from linkweave.sources.storage import materialise
 
 S1, CAND = "source1_entity_id", "candidate_entity_id"
 MARGINS = ("1.0", "0.35", "0.25", "0.18", "0.12", "0.08", "0.05")
@@ -104,8 +105,10 @@ def tune(all_s1: DataFrame, truth: DataFrame, scored: DataFrame) -> dict[str, fl
 
 def average_precision(scored: DataFrame, prob: str = "prob", label: str = "label") -> DataFrame:
     """Step-wise average precision. Counts per distinct score come first; the running sums go over them
-    in two levels (within score ranges, then over the ranges), so no window holds all scores."""
-    points = scored.groupBy(F.col(prob).alias("p")).agg(F.sum(label).alias("tp"), F.count("*").alias("n")).withColumn("range", F.floor(F.col("p") * 1024))
+    in two levels (within ranges of as many scores each, by sorted partitions, then over the ranges), so
+    no window holds all scores, however they cluster."""
+    points = scored.groupBy(F.col(prob).alias("p")).agg(F.sum(label).alias("tp"), F.count("*").alias("n"))
+    points = materialise(points.repartitionByRange(64, "p").withColumn("range", F.spark_partition_id()), "scores")
     ranges = points.groupBy("range").agg(F.sum("tp").alias("tp"), F.sum("n").alias("n"))
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     before = ranges.select("range", F.coalesce(F.sum("tp").over(above), F.lit(0)).alias("tp0"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("n0"))

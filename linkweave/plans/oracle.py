@@ -113,6 +113,19 @@ rated AS (SELECT f.*, 0.7 * CASE WHEN a.name_canonical = '' OR b.name_canonical
 top AS MATERIALIZED (SELECT source1_entity_id, candidate_entity_id, signal, score, round(score / 100, 6) AS prob FROM
   (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY round(score, 6) DESC, candidate_entity_id) AS rn FROM rated) WHERE rn <= {K})"""
 
+
+
+def _indel(a: str, b: str) -> str:
+    """200 * LCS / (both lengths): the LCS by a row of bits, one for each letter of ``a`` (names have less than 120)."""
+    masks = f"list_transform(string_split({b}, ''), lambda c: CAST(list_sum(list_transform(string_split({a}, ''), lambda d, i: CASE WHEN d = c THEN CAST(1 AS HUGEINT) << (i - 1) ELSE CAST(0 AS HUGEINT) END)) AS HUGEINT))"
+    ones = f"((CAST(1 AS HUGEINT) << length({a})) - 1)"
+    row = f"list_reduce({masks}, lambda s, m: ((s + (s & m)) | (s - (s & m))) & {ones}, {ones})"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE 200.0 * (length({a}) - bit_count({row})) / (length({a}) + length({b})) END"
+
+
+_INDEL_SCORE = f"0.7 * {_indel('a.name_canonical', 'b.name_canonical')} + 30.0 * {_jaccard('a.addr_tokens', 'b.addr_tokens')}"
+_RATED = f"irated AS (SELECT f.*, {_INDEL_SCORE} AS iscore FROM firsts f JOIN s1 a ON a.entity_id = f.source1_entity_id JOIN cands b ON b.entity_id = f.candidate_entity_id)"
+
 _TRUTH = """
 truth AS (SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id FROM raw a JOIN raw b ON a.source = 'S1' AND b.source <> 'S1' AND a.country = b.country AND a.h = b.h)"""
 
@@ -217,7 +230,8 @@ def all_sql() -> dict[str, str]:
         "average_precision": "WITH p AS (SELECT (n_chars % 1000) / 1000.0 AS p, sum(toxic) AS tp, count(*) AS n FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1), c AS (SELECT tp, sum(tp) OVER (ORDER BY p DESC) AS ctp, sum(n) OVER (ORDER BY p DESC) AS cn FROM p) SELECT round(sum(tp * CAST(ctp AS DOUBLE) / cn) / sum(tp), 6) AS average_precision FROM c",
         "blocking_recall": f"{full}, {_counts('top')} SELECT count(*) AS s1_evaluated, count(*) FILTER (WHERE n_true > 0) AS s1_with_truth, CAST(sum(n_true) AS BIGINT) AS true_pairs, CAST(sum(hits) AS BIGINT) AS found_pairs, count(*) FILTER (WHERE n_true > 0 AND hits = n_true) AS fully_recalled, CAST(sum(n_pred) AS BIGINT) AS candidates, round(sum(hits) / nullif(sum(n_true), 0), 6) AS pair_recall, round(count(*) FILTER (WHERE n_true > 0 AND hits = n_true) / nullif(count(*) FILTER (WHERE n_true > 0), 0), 6) AS entity_recall, round(sum(n_pred) / count(*), 6) AS avg_candidates, round(1 - (sum(n_pred) / count(*)) / (SELECT count(*) FROM cands), 6) AS reduction_ratio FROM cnt",
         "missed_matches": f"{full}, m AS (SELECT * FROM truth t WHERE NOT EXISTS (SELECT 1 FROM top x WHERE x.signal = 'addr_token' AND x.source1_entity_id = t.source1_entity_id AND x.candidate_entity_id = t.candidate_entity_id)), few AS (SELECT DISTINCT source1_entity_id FROM m ORDER BY 1 LIMIT 10), n AS (SELECT m.*, row_number() OVER (PARTITION BY m.source1_entity_id ORDER BY m.candidate_entity_id) AS rn FROM m JOIN few ON few.source1_entity_id = m.source1_entity_id) SELECT n.source1_entity_id, n.candidate_entity_id, CAST(rn AS INT) AS rn, a.business_name AS s1_name, b.business_name AS cand_name, a.business_address AS s1_address, b.business_address AS cand_address FROM n JOIN raw a ON a.entity_id = n.source1_entity_id JOIN raw b ON b.entity_id = n.candidate_entity_id WHERE rn <= 3",
-        "match_subset_antijoin": f"{full} SELECT * FROM truth EXCEPT SELECT source1_entity_id, candidate_entity_id FROM top",
+        "match_subset_antijoin": f"{full} SELECT * FROM truth EXCEPT SELECT source1_entity_id, candidate_entity_id FROM top WHERE CAST(substr(candidate_entity_id, 4) AS BIGINT) % 2 = 0",
+        "candidates_indel_topk": f"{full}, {_RATED} SELECT source1_entity_id, candidate_entity_id, signal, round(iscore, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY source1_entity_id ORDER BY round(iscore, 6) DESC, candidate_entity_id) AS rn FROM irated) WHERE (rn <= {K})",
         "expand_ids_roundtrip": f"{full} SELECT source1_entity_id, candidate_entity_id FROM top",
         "group_fold_integrity": f"{full} SELECT count(DISTINCT source1_entity_id) AS n_entities, CAST(1 AS BIGINT) AS most_folds, true AS low_fits, true AS high_fits FROM top",
         "validate_grouped": f"WITH {_BROKEN}, wanted AS (SELECT 'S1-' || c_custkey AS w, c_custkey AS k FROM customer WHERE c_custkey % 13 <> 0), ids AS (SELECT source1_entity_id, id, count(*) AS n FROM broken_ids WHERE id <> '' GROUP BY 1, 2) SELECT 'duplicate_row' AS rule, source1_entity_id, CAST(NULL AS VARCHAR) AS id FROM broken GROUP BY 2 HAVING count(*) > 1 UNION ALL SELECT 'missing_s1', w, NULL FROM wanted WHERE w NOT IN (SELECT source1_entity_id FROM broken) UNION ALL SELECT DISTINCT 'extra_s1', source1_entity_id, CAST(NULL AS VARCHAR) FROM broken WHERE source1_entity_id NOT IN (SELECT w FROM wanted) UNION ALL SELECT 'duplicate_in_list', source1_entity_id, id FROM ids WHERE n > 1 UNION ALL SELECT 'self_match', source1_entity_id, id FROM ids WHERE starts_with(id, 'S1-') UNION ALL SELECT 'wrong_prefix', source1_entity_id, id FROM ids WHERE NOT regexp_matches(id, '^S[123]-') UNION ALL SELECT 'unknown_id', source1_entity_id, id FROM ids WHERE regexp_matches(id, '^S[23]-') AND substr(id, 4) NOT IN (SELECT CAST(k AS VARCHAR) FROM wanted)",
@@ -227,5 +241,14 @@ def all_sql() -> dict[str, str]:
         "id_sets": f"WITH {_BROKEN} SELECT k, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split(ids, ','), lambda x: trim(x)), lambda x: x <> ''))), '|') AS id_set FROM broken",
     }
     sql |= {f"block_{signal}": f"{full} {block}" for signal, block in _BLOCKS.items()}
-    wide = {name: text.replace(f"<= {CAP}", f"<= {FULL_CAP}").replace(f"rn <= {K})", f"rn <= {FULL_K})") for name, text in sql.items()}
-    return sql | {f"{name}_full": text for name, text in wide.items() if text != sql[name] and name != "block_addr_pincode"}
+    one_size = {
+        "indel_score": f"{full} " + _ATTACHED.format(f"round({_INDEL_SCORE}, 6) AS score"),
+        "feature_frame": f"{full}, {_tfidf('name_canonical', 'nt')}, {_tfidf('addr_normalized', 'adt')}, j AS ({_JACCARDS}), l AS ({sql['feat_levenshtein'].removeprefix(full)}), w AS ({sql['feat_jaro_winkler'].removeprefix(full)}), m AS ({sql['feat_match_flags'].removeprefix(full)})"
+        " SELECT t.source1_entity_id, t.candidate_entity_id, t.signal, round(t.score, 6) AS score, j.feat_name_jaccard, j.feat_name_overlap, j.feat_addr_jaccard, j.feat_addr_overlap, round(coalesce(nt.c, 0.0), 6) AS feat_name_tfidf, round(coalesce(adt.c, 0.0), 6) AS feat_addr_tfidf,"
+        " l.feat_name_levenshtein, w.feat_name_jaro_winkler, l.feat_addr_levenshtein, m.feat_pincode_match, m.feat_country_match FROM top t"
+        " JOIN j USING (source1_entity_id, candidate_entity_id) JOIN l USING (source1_entity_id, candidate_entity_id) JOIN w USING (source1_entity_id, candidate_entity_id) JOIN m USING (source1_entity_id, candidate_entity_id)"
+        " LEFT JOIN nt ON nt.source1_entity_id = t.source1_entity_id AND nt.candidate_entity_id = t.candidate_entity_id LEFT JOIN adt ON adt.source1_entity_id = t.source1_entity_id AND adt.candidate_entity_id = t.candidate_entity_id",
+    }
+    full_size = lambda text: text.replace(f"<= {CAP}", f"<= {FULL_CAP}").replace(f"rn <= {K})", f"rn <= {FULL_K})")
+    wide = {name: full_size(text) for name, text in sql.items()}
+    return sql | {name: full_size(text) for name, text in one_size.items()} | {f"{name}_full": text for name, text in wide.items() if text != sql[name] and name != "block_addr_pincode"}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,7 +19,9 @@ def ship(spark: SparkSession) -> None:
     if application in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="linkweave-")) / "linkweave.zip"
+    folder = tempfile.mkdtemp(prefix="linkweave-")  # the driver's own: Spark serves the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "linkweave.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for path in sorted(root.rglob("*.py")):
             out.write(path, path.relative_to(root.parent))

@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset (tests), a temporary one is set."""
+    """The folder in ``spark.checkpoint.dir``. Where it is unset a temporary one is set, but only for a local
+    master: executors of a cluster would not see it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         local = tempfile.mkdtemp(prefix="linkweave-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
         found = "file://" + local

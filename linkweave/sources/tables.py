@@ -121,6 +121,10 @@ def grouped_output(s1: DataFrame, pairs: DataFrame, ids_col: str) -> DataFrame:
     from linkweave.operators.lists import group_ids
 
     ids = s1.select(F.col("entity_id").alias("source1_entity_id"))
+    # as many rows as entities: a repeated id would be lost among them
+    n = ids.agg(F.count("*").alias("rows"), F.count_distinct("source1_entity_id").alias("ids")).first()
+    if n.rows != n.ids:
+        raise SourceError(f"{ids_col}: {n.rows} rows of source 1 have only {n.ids} ids")
     return one_row_each(ids, group_ids(pairs, "source1_entity_id", "candidate_entity_id", ids_col), "source1_entity_id", ids_col)
 
 

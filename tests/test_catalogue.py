@@ -8,19 +8,21 @@ from linkweave.plans import catalogue
 from .conftest import DATA
 
 SQL = catalogue.oracle_sql()
-ROWS_ONLY = {"indel_score", "metaphone_match", "build_features", "neg_sample", "gbt_oof", "feature_importance"}
+#: The smallest tables have no row for these.
+MAY_BE_EMPTY = {"missed_matches", "missed_matches_full", "truth_restricted"}
+ROWS_ONLY = {"metaphone_match", "build_features", "neg_sample", "gbt_oof", "feature_importance"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_as_sql(name, agree):
-    agree(catalogue.queries()[name], SQL[name])
+    assert agree(catalogue.queries()[name], SQL[name]) > 0 or name in MAY_BE_EMPTY
 
 
 def test_every_query_is_covered():
     assert set(catalogue.queries()) == set(SQL) | ROWS_ONLY
 
 
-@pytest.mark.parametrize("name", ["indel_score", "metaphone_match", "build_features", "neg_sample"])
+@pytest.mark.parametrize("name", ["metaphone_match", "build_features", "neg_sample"])
 def test_rows_only(name, spark):
     assert catalogue.queries()[name](spark, DATA).count() > 0
 

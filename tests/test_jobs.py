@@ -62,11 +62,14 @@ def test_file_rules(spark, tmp_path):
     assert errors == [] and any("outside their candidates" in w for w in warnings)
     comma = write(tmp_path / "comma.tsv", "source1_entity_id,matched_entity_ids\n")
     header = write(tmp_path / "h.tsv", "a\tb\n")
+    latin = str(tmp_path / "latin.tsv")
+    with open(latin, "wb") as out:
+        out.write("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-é\n".encode("latin-1"))
     rows = write(tmp_path / "r.tsv", "source1_entity_id\tmatched_entity_ids\nbroken\nS1-2\tS2-77\n")
-    for path, part in ((comma, "tab-separated"), (header, "unexpected header"), (str(tmp_path / "no.tsv"), "not found"), (write(tmp_path / "e.tsv", ""), "is empty")):
+    for path, part in ((comma, "not commas"), (header, "instead of"), (str(tmp_path / "no.tsv"), "absent"), (write(tmp_path / "e.tsv", ""), "no header"), (latin, "not UTF-8")):
         assert part in V.check_outputs(spark, path, None, str(folder))[0][0]
     text = " ".join(V.check_outputs(spark, rows, None, str(folder), check_ids=True)[0])
-    assert all(x in text for x in ("no tab", "missing_s1", "extra_s1", "unknown_id"))
+    assert all(x in text for x in ("one_field", "missing_s1", "extra_s1", "unknown_id"))
 
 
 def test_config_ranges():
@@ -95,7 +98,7 @@ def test_train_and_predict(spark, tmp_path):
     for key, text in files.items():
         write(tmp_path / key[:-1] / f"{key[:-1]}_source{key[-1]}.tsv", text)
     write(tmp_path / "train/train_ground_truth.tsv", truth)
-    config = pipeline.Config(str(tmp_path / "train"), str(tmp_path / "test"), str(tmp_path / "out"), trees=3, n_splits=2, scripts="latin")
+    config = pipeline.Config(str(tmp_path / "train"), str(tmp_path / "test"), str(tmp_path / "out"), trees=3, n_splits=2, scripts="latin", single_file=True)
     result = pipeline.run_training(spark, config)
     assert result["macro_f05"] > 0.8 and set(result["average_precision"]) == {"gbt", "forest", "linear"}
     assert E.load_experiments(spark, f"{config.output_dir}/experiments").count() == 1
