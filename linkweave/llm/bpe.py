@@ -27,6 +27,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ from linkweave.llm import exchange as X
 #: Characters of a text that are cut at a time, and matches at the end of a piece that what follows may change.
 PIECE_CHARS = 1 << 20
 AHEAD = 4
+#: A byte that no UTF-8 text has.
+SEPARATOR = b"\xff"
 #: Words that are put together at a time.
 STEP = 1 << 18
 RESULT_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded binary"
@@ -177,8 +180,8 @@ class _Numbers(dict):
 
 
 def _explode(texts: X.Texts, pattern: str, buckets: int) -> tuple[list[list[str]], bytes]:
-    """(the chunk's distinct words, ascending, by bucket; ids of the documents, their numbers of words, and every
-    position's word). Positions name words by how frequent they are, which packs best."""
+    """(the chunk's distinct words by bucket, in the order in which they are met; ids of the documents, their
+    numbers of words, every word's bucket, and every position's word)."""
     numbers, found, counts = _Numbers(), [], []
     raw, at = texts.data.tobytes(), texts.offsets.tolist()
     for a, b in zip(at, at[1:]):
@@ -187,22 +190,34 @@ def _explode(texts: X.Texts, pattern: str, buckets: int) -> tuple[list[list[str]
             found.append(np.fromiter(map(numbers.__getitem__, own), np.uint32, len(own)))
             size += len(own)
         counts.append(size)
-    positions = np.concatenate(found) if found else np.zeros(0, np.uint32)
-    words = sorted(numbers)
-    bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-    order = np.argsort(bucket, kind="stable")
-    place = np.empty(len(words), np.uint32)  # of the word with a number among all, by bucket
-    place[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))[order]] = np.arange(len(words))
-    frequent = np.argsort(-np.bincount(positions, minlength=len(words)), kind="stable")
-    rank = np.empty(len(words), np.uint32)
-    rank[frequent] = np.arange(len(words), dtype=np.uint32)
     mine: list[list[str]] = [[] for _ in range(buckets)]
-    for i, k in zip(order.tolist(), bucket[order].tolist()):
-        mine[k].append(words[i])
-    parts = [X.planes(texts.ids), X.planes(texts.no_id.astype(np.uint8)), X.planes(np.array(counts, np.uint32)), X.planes(place[frequent]), X.planes(rank[positions])]
+    bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in numbers), np.uint32, len(numbers))
+    for word, k in zip(numbers, bucket.tolist()):
+        mine[k].append(word)
+    positions = np.concatenate(found) if found else np.zeros(0, np.uint32)
+    parts = [X.planes(texts.ids), X.planes(texts.no_id.astype(np.uint8)), X.planes(np.array(counts, np.uint32)), X.planes(bucket), *_pack_numbers(positions, len(numbers))]
     return mine, X.join_blobs(parts)
 
 
+def _pack_numbers(positions: np.ndarray, count: int) -> tuple[bytes, bytes, bytes]:
+    """Numbers in the order in which they are met: 0 where the next new one stands, otherwise by frequency."""
+    times = np.bincount(positions, minlength=count)
+    frequent = np.argsort(-times, kind="stable")[: int((times > 1).sum())].astype(np.uint32)
+    rank = np.zeros(count, np.uint32)
+    rank[frequent] = np.arange(1, len(frequent) + 1)
+    most = np.maximum.accumulate(positions.astype(np.int64)) if len(positions) else np.zeros(0, np.int64)
+    code = np.where(np.diff(most, prepend=-1) > 0, 0, rank[positions])
+    return X.planes(frequent), X.planes(np.minimum(code, 255).astype(np.uint8)), X.planes((code[code >= 255] - 255).astype(np.uint32))
+
+
+def _unpack_numbers(frequent: bytes, short: bytes, rest: bytes) -> np.ndarray:
+    code = X.unplanes(short, np.uint8).astype(np.int64)
+    code[code == 255] += X.unplanes(rest, np.uint32)
+    new = code == 0
+    known = np.concatenate([[0], X.unplanes(frequent, np.uint32)]).astype(np.int64)
+    return np.where(new, np.cumsum(new) - 1, known[code])
+
+
 def decode_ids(ids: np.ndarray, tokens: pa.Table) -> pa.Array:
     """The bytes of every id: the distinct ids are joined with the token-byte table (id, piece), and the bytes
     joined back by position."""
@@ -237,7 +252,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         mine, positions = _explode(texts, pattern, buckets)
         for bucket, words in enumerate(mine):
             if words:
-                yield bucket, X.join_blobs([b"w", X.to_blob(pa.table({"w": pa.array(words, pa.large_string())}))])
+                yield bucket, X.join_blobs([b"w", zstandard.ZstdCompressor(level=6).compress(SEPARATOR.join(w.encode() for w in words))])
         # positions wait in any bucket for the words' ids
         yield zlib.crc32(str(chunk).encode()) % buckets, X.join_blobs([b"p", positions])
 
@@ -249,11 +264,11 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
             if kind == b"p":
                 yield chunk, blob
             else:
-                asked.append((chunk, pa.ipc.open_stream(body).read_all().column(0).combine_chunks()))
+                asked.append((chunk, pa.array(zstandard.ZstdDecompressor().decompress(body).split(SEPARATOR), pa.large_binary())))
         if not asked:
             return
         every = pc.unique(pa.chunked_array([words for _, words in asked]))
-        codes = [one(w.encode()) for w in every.to_pylist()]
+        codes = list(map(one, every.to_pylist()))
         counts = np.fromiter(map(len, codes), np.uint32, len(codes))
         ids = np.fromiter(chain.from_iterable(codes), np.uint32, int(counts.sum()))
         begin = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
@@ -273,8 +288,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
         ids = np.concatenate([np.zeros(0, np.uint32), *(X.unplanes(r[1], np.uint32) for r in by_bucket)])
         ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64) * 4])
         words = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<u4"))])
-        own, no_id, sizes, frequent, ranks = (X.unplanes(x, kind) for x, kind in zip(X.split_blobs(positions), (np.int64, np.uint8, np.uint32, np.uint32, np.uint32), strict=True))
-        words = words.take(pa.array(frequent))
+        *heads, frequent, short, rest = X.split_blobs(positions)
+        own, no_id, sizes, bucket = (X.unplanes(x, kind) for x, kind in zip(heads, (np.int64, np.uint8, np.uint32, np.uint32), strict=True))
+        place = np.empty(len(bucket), np.int64)
+        place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
+        words = words.take(pa.array(place))
+        numbers = _unpack_numbers(frequent, short, rest)
         tokens = token_rows(ranks_path)
         n, digest, back, payload, plain = [], [], [], [], []
         edge = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
@@ -287,7 +306,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
             total, at = 0, int(edge[doc])
             while True:
                 stop = min(int(edge[last]), at + STEP) if last == doc + 1 else int(edge[last])
-                raw, at_word = _flat(words.take(pa.array(ranks[at:stop])))
+                raw, at_word = _flat(words.take(pa.array(numbers[at:stop])))
                 flat = np.frombuffer(raw, "<u4")[: at_word[-1] // 4]
                 text, at_id = _flat(decode_ids(flat, tokens))
                 if last == doc + 1:
