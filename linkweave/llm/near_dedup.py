@@ -321,7 +321,10 @@ def _apart(levels: list[DataFrame], labels: DataFrame, reps: DataFrame, least: i
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    rows = reduce(DataFrame.unionByName, levels).select("node", "class_id").distinct().join(labels, "class_id")
+    every_node = reduce(DataFrame.unionByName, levels).select("node", "class_id")
+    # first the nodes of open documents, so that the others of a large group are not looked at elsewhere
+    asked = every_node.join(labels.filter("open").select("class_id"), "class_id", "left_semi").select("node").distinct()
+    rows = every_node.join(materialise(asked, "asked"), "node", "left_semi").distinct().join(labels, "class_id")
     sizes = rows.groupBy("node").agg(F.count("*").alias("count"), F.count_if("open").alias("opens")).filter("opens > 0 and count > 1")
     parts = lambda c: F.when(F.col("count") <= NODE, F.lit(1)).otherwise(F.ceil(F.col(c) / block)).cast("long")
     rows = rows.join(materialise(sizes.select("node", parts("count").alias("blocks"), parts("opens").alias("parts")), "opennodes"), "node").join(reps, "class_id")
