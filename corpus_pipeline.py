@@ -13,25 +13,32 @@ from linkweave.sources.storage import materialise
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The model is learned from the labelled documents of this stage's own input."""
+    """Documents scored below the threshold stay; the model is learned from the labelled documents of this
+    stage's own input. Null and empty texts are scored like texts without any toxic word, repeated rows alike."""
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for the case of A-Z the largest id stays, with every row that has it; null
+    texts count as empty."""
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Links at a similarity of 0.8 or more on shingles of five words; the smallest id of a group stays."""
+    """Links at a similarity of 0.8 or more on shingles of five words; the smallest id of a group stays.
+    Null and empty texts are linked with nothing and stay; so do rows without an id."""
     return near_dedup.drop_near(docs, least=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them, by shard and in its order; repeated rows each count, a null source is
+    a source, and rows without words are taken as often as their block is."""
     return mixing.shuffled(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of ids and digests of every row, repeated ones too; a null text has no ids."""
     import public_tokenizers
 
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
