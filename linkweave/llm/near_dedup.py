@@ -8,10 +8,10 @@
    below the threshold, and leave a spanning forest of the pairs that may be alike.
 3. Components of that forest, if small, are compared on full sets in one task each. A larger one is cut
    into blocks that share its leader, which settles most of a group of copies. Documents that stay apart
-   from the leader are compared pair by pair: the small nodes they are in name every pair with another
-   label whose sketches are alike (a node has ``NODE`` documents, so the pairs are linear in the
-   documents), and only the shingle hashes of such pairs travel. Nodes that are still large on the last
-   level are compared there on sketches, in blocks, first. A comparison is left out only if its two
+   from the leader are compared with the others of their small nodes on their ``KEPT`` lowest shingle
+   hashes, which are whole sets for most documents and far sharper than sketches for the others, so that
+   hardly more pairs than the links come out; of these, the whole sets of shingle hashes travel. Nodes that
+   are still large on the last level are compared so in blocks. A comparison is left out only if its two
    documents are known to be in one component already, so no link that could change a component is lost.
 
 A pair at the threshold that meets none but large nodes down to the last level is missed with a chance
@@ -33,6 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,10 +47,13 @@ COORDINATES = 64
 TREES = 10
 #: Greatest chance to miss a pair at the threshold in the deepest nodes.
 MISS = 1e-4
-NODE = 128
+#: Documents of a node that are compared with each other, at 256 bytes (a sketch) or 1 KB (lowest hashes) each.
+NODE = 2048
 DEPTH = 6
 #: Chance that the sketches of a pair at the threshold agree so little that it isn't looked at again.
 UNLIKE = 1e-6
+#: Lowest shingle hashes by which pairs are looked at in the nodes of a large component.
+KEPT = 256
 #: Documents, and shingles, of a component that are compared in one task.
 BLOCK = 512
 BLOCK_SHINGLES = 300_000
@@ -81,14 +85,14 @@ def branching(threshold: float, trees: int, depth: int) -> float:
 
 
 @functools.cache
-def alike(threshold: float) -> int:
-    """Equal coordinates below which a pair's sketches are too different, by the binomial distribution."""
+def alike(threshold: float, count: int = COORDINATES) -> int:
+    """How many of ``count`` draws agree at least, but for ``UNLIKE``, by the binomial distribution."""
     less = 0.0
-    for k in range(COORDINATES + 1):
-        less += math.comb(COORDINATES, k) * threshold**k * (1 - threshold) ** (COORDINATES - k)
+    for k in range(count + 1):
+        less += math.comb(count, k) * threshold**k * (1 - threshold) ** (count - k)
         if less > UNLIKE:
             return k
-    return COORDINATES
+    return count
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,13 +218,16 @@ def _forest(rows: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         for group in runs(batches, 1):
             ids, matrix = group.column("class_id").to_numpy(), _matrix(group.column("sketch"))
-            sets = Sets(len(ids))
+            tree = np.arange(len(ids))
             a, b = [], []
             for i in range(len(ids) - 1):
-                for j in np.flatnonzero((matrix[i + 1 :] == matrix[i]).sum(1) >= need) + i + 1:
-                    if sets.join(i, int(j)):
-                        a.append(ids[i])
-                        b.append(ids[j])
+                rest = np.flatnonzero(tree[i + 1 :] != tree[i]) + i + 1
+                near = rest[(matrix[rest] == matrix[i]).sum(1) >= need]
+                if len(near):
+                    met, first = np.unique(tree[near], return_index=True)
+                    a += [ids[i]] * len(met)
+                    b += ids[near[first]].tolist()
+                    tree[np.isin(tree, met)] = tree[i]
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -301,38 +308,94 @@ def _confirm(rows: DataFrame, size: int, least: int, most: int) -> DataFrame:
     return rows.select("comp", "block", "class_id", "text").repartition("comp", "block").sortWithinPartitions("comp", "block").mapInArrow(tidy(run), "comp long, block long, class_id long, label long")
 
 
-def _apart(levels: list[DataFrame], labels: DataFrame, reps: DataFrame, least: int, most: int, block: int) -> DataFrame:
-    """(a, b) with a < b: pairs of a node whose labels differ, one of them open, that sizes and sketches allow to
-    be linked. labels: class_id, label, n, open. Open documents are probes (side 1) of all documents of
-    their node (side 0); a large node is cut into blocks of both."""
-    need = alike(least / most)
+class _Lowest:
+    """The lowest shingle hashes of some documents, by document and as postings."""
+
+    def __init__(self, raw: list[bytes], n: np.ndarray):
+        self.lists = [np.frombuffer(x, np.uint32) for x in raw]
+        self.size = np.array([len(x) for x in self.lists], np.int64)
+        self.whole = n <= self.size
+        self.top = np.array([(1 << 32) - 1 if w else int(x[-1]) for x, w in zip(self.lists, self.whole)], np.int64)
+        values = np.concatenate([*self.lists, np.zeros(0, np.uint32)])
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], np.repeat(np.arange(len(self.lists)), self.size)[order]
+
+    def shared(self, own: np.ndarray) -> np.ndarray:
+        """How many of ``own`` every document has."""
+        begin = np.searchsorted(self.values, own, "left")
+        count = np.searchsorted(self.values, own, "right") - begin
+        at = np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
+        return np.bincount(self.owner[at], minlength=len(self.lists))
+
+    def alike(self, own: np.ndarray, whole: bool, may: np.ndarray, least: int, most: int) -> np.ndarray:
+        """The documents of ``may`` (a mask) that can be linked with the one that has ``own``. Up to the smaller of
+        two tops both lists are complete, so their union there is a sample of the sets' union, and all of it
+        if both sets are whole."""
+        top = (1 << 32) - 1 if whole else int(own[-1])
+        both = self.shared(own)
+        mine = np.searchsorted(own, np.minimum(top, self.top), "right")
+        need = np.where(self.whole & whole, least / most, alike(least / most, KEPT) / KEPT) - 1e-9
+        some = np.flatnonzero(may & (both >= need * mine))
+        theirs = np.array([self.size[j] if self.top[j] <= top else np.searchsorted(self.lists[j], top, "right") for j in some], np.int64)
+        return some[both[some] >= need[some] * (mine[some] + theirs - both[some])]
+
+
+def _lowest(rows: DataFrame, size: int) -> DataFrame:
+    """(class_id, label, open, text) -> (class_id, label, open, n, low), n as the row itself has it."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 3, PIECE_BYTES):
+                owner, values = shingles(*text_bytes(part.column(3)), size)
+                edge = np.searchsorted(owner, np.arange(len(part) + 1))
+                low = [(values[i : min(j, i + KEPT)] >> np.uint64(32)).astype(np.uint32).tobytes() for i, j in zip(edge, edge[1:])]
+                out = pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(edge), pa.int64()), pa.array(low, pa.binary())], names=["class_id", "label", "open", "n", "low"])
+                yield out.filter(pc.greater(out.column("n"), 0))
+
+    return rows.select("class_id", "label", "open", "text").mapInArrow(tidy(run), "class_id long, label long, open boolean, n long, low binary")
+
+
+def _apart(levels: list[DataFrame], lowest: DataFrame, least: int, most: int, block: int) -> DataFrame:
+    """(a, b) with a < b: pairs of a node whose labels differ, one of them open, that sizes and lowest hashes allow
+    to be linked. lowest: class_id, label, open, n, low. Of a large node the open documents (side 1) meet
+    all documents (side 0) in blocks; in a small node a document is on both sides (2) or not open (0)."""
 
     def run(batches):
         for group in runs(batches, 3):
             ids, label, n, side = (group.column(c).to_numpy() for c in ("class_id", "label", "n", "side"))
-            matrix, body = _matrix(group.column("sketch")), np.flatnonzero(side == 0)
+            raw = group.column("low").to_pylist()
+            body = np.flatnonzero(side != 1)
+            sets = _Lowest([raw[j] for j in body], n[body])
             a, b = [], []
-            for i in np.flatnonzero(side == 1):
-                fits = (label[body] != label[i]) & (most * np.minimum(n[body], n[i]) >= least * np.maximum(n[body], n[i]))
-                some = body[fits]
-                near = ids[some[(matrix[some] == matrix[i]).sum(1) >= need]]
-                a.append(np.minimum(near, ids[i]))
-                b.append(np.maximum(near, ids[i]))
+            for i in np.flatnonzero(side > 0):
+                may = (label[body] != label[i]) & (most * np.minimum(n[body], n[i]) >= least * np.maximum(n[body], n[i]))
+                may &= (side[body] != 2) | (ids[body] > ids[i])  # else they meet from the other side
+                if may.any():
+                    own = np.frombuffer(raw[i], np.uint32)
+                    near = ids[body[sets.alike(own, n[i] <= len(own), may, least, most)]]
+                    a.append(np.minimum(near, ids[i]))
+                    b.append(np.maximum(near, ids[i]))
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    every_node = reduce(DataFrame.unionByName, levels).select("node", "class_id")
+    every_node = reduce(DataFrame.unionByName, levels)
     # first the nodes of open documents, so that the others of a large group are not looked at elsewhere
-    asked = every_node.join(labels.filter("open").select("class_id"), "class_id", "left_semi").select("node").distinct()
-    rows = every_node.join(materialise(asked, "asked"), "node", "left_semi").distinct().join(labels, "class_id")
-    sizes = rows.groupBy("node").agg(F.count("*").alias("count"), F.count_if("open").alias("opens")).filter("opens > 0 and count > 1")
-    parts = lambda c: F.when(F.col("count") <= NODE, F.lit(1)).otherwise(F.ceil(F.col(c) / block)).cast("long")
-    rows = rows.join(materialise(sizes.select("node", parts("count").alias("blocks"), parts("opens").alias("parts")), "opennodes"), "node").join(reps, "class_id")
-    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    opened = lowest.filter("open").select("class_id", F.lit(True).alias("open")).distinct()
+    asked = every_node.join(opened.select("class_id"), "class_id", "left_semi").select("node").distinct()
+    rows = materialise(every_node.join(materialise(asked, "asked"), "node", "left_semi"), "askednodes")
+    zero = F.lit(0).cast("long")
+    small = rows.filter("not large").select("node", zero.alias("block"), zero.alias("part"), "class_id", F.lit(2).alias("side"))
+    chunk = max(block, NODE)
+    large = rows.filter("large").join(opened, "class_id", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    sizes = large.groupBy("node").agg(F.ceil(F.count("*") / chunk).alias("blocks"), F.ceil(F.count_if("open") / chunk).alias("parts"))
+    large = large.join(materialise(sizes, "opennodes"), "node")
+    every = lambda c: F.explode(F.sequence(zero, F.col(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("class_id"), F.col(c))
-    body = rows.withColumn("block", own("blocks")).withColumn("part", every("parts")).withColumn("side", F.lit(0))
-    probes = rows.filter("open").withColumn("part", own("parts")).withColumn("block", every("blocks")).withColumn("side", F.lit(1))
-    both = body.unionByName(probes).select("node", "block", "part", "class_id", "label", "n", "side", "sketch")
+    body = large.withColumn("block", own("blocks")).withColumn("part", every("parts")).withColumn("side", F.lit(0))
+    probes = large.filter("open").withColumn("part", own("parts")).withColumn("block", every("blocks")).withColumn("side", F.lit(1))
+    both = reduce(DataFrame.unionByName, (x.select("node", "block", "part", "class_id", "side") for x in (small, body, probes))).join(lowest, "class_id")
+    both = both.withColumn("side", F.when(F.col("side") == 2, F.when(F.col("open"), 2).otherwise(0)).otherwise(F.col("side")))
+    both = both.select("node", "block", "part", "class_id", "label", "n", "side", "low")
     return both.repartition("node", "block", "part").sortWithinPartitions("node", "block", "part").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
@@ -403,12 +466,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     large = members.filter("blocks > 0")
     if not large.isEmpty():
         # in a large component the leader has the smallest id, so what is linked to it has its label
-        off = local.filter("label <> comp").join(large.select("class_id", "n"), "class_id").select("class_id", "comp", "label", "n")
+        off = local.filter("label <> comp").join(large.select("class_id"), "class_id").select("comp").distinct()
         off = materialise(off, "open")
         if not off.isEmpty():
-            labels = local.join(large.select("class_id", "n"), "class_id").join(off.select("comp").distinct(), "comp", "left_semi")
-            labels = materialise(labels.select("class_id", "label", "n", (F.col("label") != F.col("comp")).alias("open")).distinct(), "labels")
-            pairs = materialise(_apart(levels, labels, reps, least, most, block), "pairs")
+            labels = local.join(large.select("class_id"), "class_id").join(off, "comp", "left_semi")
+            labels = materialise(labels.select("class_id", "label", (F.col("label") != F.col("comp")).alias("open")).distinct(), "labels")
+            whose = texts.select("class_id", "text").join(F.broadcast(labels) if small else labels, "class_id")
+            lowest = materialise(_lowest(whose, size), "lowest", "uncompressed")
+            pairs = materialise(_apart(levels, lowest, least, most, block), "pairs")
             links = links.unionByName(_linked(pairs, texts.filter("blocks > 0"), size, least, most, block))
         final = components(links)
     else:
