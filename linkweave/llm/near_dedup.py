@@ -212,53 +212,47 @@ class Sets:
 
 
 def _forest(rows: DataFrame, threshold: float) -> DataFrame:
-    """(node, class_id, sketch) of small nodes -> spanning edges of the pairs whose sketches are alike."""
+    """(node, class_id, sketch) of small nodes -> edges to the least of those whose sketches are alike, by any steps."""
     need = alike(threshold)
 
     def run(batches):
         for group in runs(batches, 1):
             ids, matrix = group.column("class_id").to_numpy(), _matrix(group.column("sketch"))
             tree = np.arange(len(ids))
-            a, b = [], []
             for i in range(len(ids) - 1):
                 rest = np.flatnonzero(tree[i + 1 :] != tree[i]) + i + 1
                 near = rest[(matrix[rest] == matrix[i]).sum(1) >= need]
                 if len(near):
-                    met, first = np.unique(tree[near], return_index=True)
-                    a += [ids[i]] * len(met)
-                    b += ids[near[first]].tolist()
-                    tree[np.isin(tree, met)] = tree[i]
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                    tree[np.isin(tree, tree[near])] = tree[i]
+            least = np.full(len(ids), np.iinfo(np.int64).max)
+            np.minimum.at(least, tree, ids)
+            off = least[tree] != ids
+            yield pa.RecordBatch.from_arrays([pa.array(ids[off]), pa.array(least[tree][off])], names=["a", "b"])
 
     return rows.select("node", "class_id", "sketch").repartition("node").sortWithinPartitions("node").mapInArrow(tidy(run), "a long, b long")
 
 
-def _candidates(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, list[DataFrame]]:
+def _candidates(reps: DataFrame, trees: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Edges whose components hold every pair that the trees bring together, and the nodes (node, class_id, large)
-    of every level."""
-    spark = reps.sparkSession
+    of all levels."""
     node = reps.withColumn("node", F.explode(F.array(*[F.xxhash64(F.lit(f"tree-{t}")) for t in range(trees)])))
     lam = branching(threshold, trees, DEPTH)
     rows = materialise(_branch(node, lam), "nodes")
-    edges: DataFrame | None = None
     levels: list[DataFrame] = []
     for depth in range(DEPTH):
         counts = materialise(rows.groupBy("node").count().filter("count > 1"), "counts")
         held = materialise(rows.join(counts, "node").select("node", "class_id", (F.col("count") > NODE).alias("large")), "held")
         levels.append(held if depth == DEPTH - 1 else held.filter("not large"))
-        small = _forest(held.filter("not large").join(reps, "class_id"), threshold)
-        edges = small if edges is None else edges.unionByName(small)
         large = held.filter("large")
-        if large.isEmpty():
-            break
-        if depth == DEPTH - 1:
-            # they agree in all coordinates chosen along six levels: linked for the exact comparison
-            first = large.groupBy("node").agg(F.min("class_id").alias("b"))
-            edges = edges.unionByName(large.join(first, "node").select(F.col("class_id").alias("a"), "b"))
+        if depth == DEPTH - 1 or large.isEmpty():
             break
         rows = materialise(_branch(large.join(reps, "class_id"), lam), "nodes")
-    return edges if edges is not None else spark.createDataFrame([], "a long, b long"), levels
+    every_node = reduce(DataFrame.unionByName, levels)
+    edges = _forest(every_node.filter("not large").join(reps, "class_id"), threshold)
+    # they agree in all coordinates chosen along six levels: linked for the exact comparison
+    last = levels[-1].filter("large")
+    first = last.groupBy("node").agg(F.min("class_id").alias("b"))
+    return edges.unionByName(last.join(first, "node").select(F.col("class_id").alias("a"), "b")), every_node
 
 
 class _Group:
@@ -355,7 +349,7 @@ def _lowest(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("class_id", "label", "open", "text").mapInArrow(tidy(run), "class_id long, label long, open boolean, n long, low binary")
 
 
-def _apart(levels: list[DataFrame], lowest: DataFrame, least: int, most: int, block: int) -> DataFrame:
+def _apart(every_node: DataFrame, lowest: DataFrame, least: int, most: int, block: int) -> DataFrame:
     """(a, b) with a < b: pairs of a node whose labels differ, one of them open, that sizes and lowest hashes allow
     to be linked. lowest: class_id, label, open, n, low. Of a large node the open documents (side 1) meet
     all documents (side 0) in blocks; in a small node a document is on both sides (2) or not open (0)."""
@@ -378,7 +372,6 @@ def _apart(levels: list[DataFrame], lowest: DataFrame, least: int, most: int, bl
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
-    every_node = reduce(DataFrame.unionByName, levels)
     # first the nodes of open documents, so that the others of a large group are not looked at elsewhere
     opened = lowest.filter("open").select("class_id", F.lit(True).alias("open")).distinct()
     asked = every_node.join(opened.select("class_id"), "class_id", "left_semi").select("node").distinct()
@@ -448,7 +441,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = materialise(solid.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("class_id")), "classes")
     reps = solid.select("doc_id", "sketch").join(classes.select("class_id"), F.col("doc_id") == F.col("class_id")).select("class_id", "sketch").dropDuplicates(["class_id"])
     reps = materialise(reps, "reps", "uncompressed")
-    edges, levels = _candidates(reps, trees, least / most)
+    edges, every_node = _candidates(reps, trees, least / most)
     supers = components(edges)
     supers = materialise(supers.join(classes.select("class_id", "n"), F.col("id") == F.col("class_id")).select("label", "class_id", "n"), "supers")
     sizes = materialise(supers.groupBy("label").agg(F.count("*").alias("count"), F.sum("n").alias("total")), "sizes")
@@ -473,7 +466,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             labels = materialise(labels.select("class_id", "label", (F.col("label") != F.col("comp")).alias("open")).distinct(), "labels")
             whose = texts.select("class_id", "text").join(F.broadcast(labels) if small else labels, "class_id")
             lowest = materialise(_lowest(whose, size), "lowest", "uncompressed")
-            pairs = materialise(_apart(levels, lowest, least, most, block), "pairs")
+            pairs = materialise(_apart(every_node, lowest, least, most, block), "pairs")
             links = links.unionByName(_linked(pairs, texts.filter("blocks > 0"), size, least, most, block))
         final = components(links)
     else:
