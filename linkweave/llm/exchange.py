@@ -2,7 +2,7 @@
 
 Several operators have to compare every position of every text with every other. A row per position
 would make the shuffle many times larger than the texts. Here the documents are first packed into
-chunks (a few MB of text, compressed); each chunk then sends every bucket of the hash space one small
+chunks (a few MB of text, compressed; longer texts in overlapping pieces); each chunk then sends every bucket of the hash space one small
 blob, and a bucket answers each chunk with one blob. What a chunk sends is distinct within the chunk,
 so a passage with a million copies costs one entry per chunk, never one task.
 """
@@ -28,17 +28,22 @@ PACK_BYTES = 3 << 20
 CHUNKS_PER_BUCKET = 8
 
 
-def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES) -> DataFrame:
-    """Chunks of whole documents as compressed Arrow streams.
+Cut = Callable[[pa.Buffer, int], Iterator[tuple[bytes, int]]]
 
-    Null texts stay null. A document larger than ``pack_bytes`` gets a chunk of its own. The packs are
+
+def pack(df: DataFrame, key: str, text: str, pack_bytes: int = PACK_BYTES, cut: Cut | None = None) -> DataFrame:
+    """Chunks of documents as compressed Arrow streams.
+
+    Null texts stay null. A document larger than ``pack_bytes`` is cut into pieces by ``cut``, which yields each
+    piece and how many of its bytes it owns; without it the document is a chunk of its own. The packs are
     made anew wherever they are read, which costs less than keeping a copy of the corpus; so that
     every reading, also one after an executor was lost, meets the same chunks, rows must come straight
     from a scan. Rows in an order that a shuffle left open are first written to the shared folder.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, size, table in _chunks(batches, pack_bytes):
+        rows = batches if cut is None else _pieces(batches, pack_bytes, cut)
+        for chunk, size, table in _chunks(rows, pack_bytes):
             row = {"chunk": [chunk], "n_bytes": [size], "blob": [to_blob(table)]}
             yield pa.RecordBatch.from_pydict(row, schema=pa.schema([("chunk", pa.int64()), ("n_bytes", pa.int64()), ("blob", pa.binary())]))
 
@@ -54,6 +59,30 @@ def _scanned(df: DataFrame, key: str, text: str) -> DataFrame:
     return slim
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], pack_bytes: int, cut: Cut) -> Iterator[pa.RecordBatch]:
+    """id and text with the row's number, the piece's number (-1: a whole text) and the bytes it owns."""
+    row = TaskContext.get().partitionId() << 32
+
+    def rows(ids, texts, first, count, parts, own):
+        numbers = pa.array(np.arange(first, first + count) if count > 1 else np.full(count, first), pa.int64())
+        return pa.RecordBatch.from_arrays([ids, texts, numbers, pa.array(parts, pa.int32()), pa.array(own, pa.int64())], names=["id", "text", "row", "part", "own"])
+
+    for batch in batches:
+        ids, texts, count = batch.column(0), batch.column(1), batch.num_rows
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        whole = rows(ids, texts, row, count, np.full(count, -1), lengths)
+        at = 0
+        for i in np.flatnonzero(lengths > pack_bytes).tolist():
+            if i > at:
+                yield whole.slice(at, i - at)
+            for part, (piece, own) in enumerate(cut(texts[i].as_buffer(), pack_bytes)):
+                yield rows(ids.slice(i, 1), pa.array([piece], pa.binary()), row + i, 1, [part], [own])
+            at = i + 1
+        if at < count:
+            yield whole.slice(at)
+        row += count
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], pack_bytes: int) -> Iterator[tuple[int, int, pa.Table]]:
     """(chunk, bytes of text, rows)."""
     base = TaskContext.get().partitionId() << 32
@@ -107,6 +136,9 @@ class Texts:
         ids = table.column(0)
         self.no_id = ids.is_null().to_numpy()
         self.ids = ids.fill_null(np.iinfo(np.int64).max).to_numpy()
+        #: number of the row, of the piece (-1: a whole text), and bytes that the piece owns
+        cut = table.num_columns > 2
+        self.row, self.part, self.own = (table.column(i).to_numpy() for i in (2, 3, 4)) if cut else (np.zeros(len(self.ids), np.int64), np.full(len(self.ids), -1, np.int32), np.diff(self.offsets))
 
     def __len__(self) -> int:
         return len(self.ids)
@@ -254,18 +286,81 @@ def collect(replies: DataFrame, work: Callable[[list[tuple[int, bytes]]], pa.Tab
     return replies.groupBy("chunk").applyInArrow(run, schema)
 
 
+PIECE_SCHEMA = "row long, part int, n_own long, body binary, gone binary"
+
+
+def piece_columns(texts: Texts, own: dict[int, tuple[int, bytes, np.ndarray]]) -> dict[str, pa.Array]:
+    """Columns of ``PIECE_SCHEMA``, null for whole texts; ``own`` names, by text, the number of units that a piece
+    owns, their bytes, and the marks of removed units, those after its own included."""
+    kept = [own.get(i) for i in range(len(texts))]
+    is_piece = texts.part >= 0
+    return {
+        "row": pa.array(texts.row, pa.int64(), mask=~is_piece),
+        "part": pa.array(texts.part, pa.int32(), mask=~is_piece),
+        "n_own": pa.array([x and x[0] for x in kept], pa.int64()),
+        "body": pa.array([x and x[1] for x in kept], pa.binary()),
+        "gone": pa.array([x and planes(x[2].astype(np.uint8)) for x in kept], pa.binary()),
+    }
+
+
+def assemble(found: DataFrame, fold: Callable[[], object], schema: str) -> DataFrame:
+    """Rows of whole texts as they are, and one row for each text in pieces.
+
+    Its pieces come in their order to one task, which holds one at a time. ``fold()`` has ``add(body, gone)``
+    for the units of a piece and ``row()`` for the result's columns. What a piece removes beyond its own units
+    counts for the pieces after it.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    shape = to_arrow_schema(_parse_datatype_string(schema))
+    found = materialise(found, "pieces", "zstd")
+
+    def run(batches):
+        row, key, state, carry = None, None, None, np.zeros(0, bool)
+
+        def done():
+            return pa.RecordBatch.from_pylist([{"doc_id": key, **state.row()}], schema=shape)
+
+        for batch in batches:
+            names = ("doc_id", "row", "n_own", "body", "gone")
+            for doc_id, number, n_own, body, gone in zip(*(batch.column(c) for c in names), strict=True):
+                if number.as_py() != row:
+                    if state is not None:
+                        yield done()
+                    row, key, state, carry = number.as_py(), doc_id.as_py(), fold(), np.zeros(0, bool)
+                own = n_own.as_py()
+                marks = unplanes(gone.as_py(), np.uint8).astype(bool)
+                if len(carry) > len(marks):
+                    marks, carry = carry, marks
+                marks[: len(carry)] |= carry
+                state.add(body.as_py(), marks[:own])
+                carry = marks[own:].copy()
+        if state is not None:
+            yield done()
+
+    whole = found.filter("part is null").select(shape.names)
+    parts = found.filter("part is not null").repartition("row").sortWithinPartitions("row", "part")
+    return whole.unionByName(parts.mapInArrow(tidy(run), schema))
+
+
 def plan(df: DataFrame, text: str, pack_bytes: int | None = None) -> tuple[int, int]:
-    """(bytes of text in a pack, number of buckets) for an input.
+    """(bytes of text in a pack, number of buckets) for an input."""
+    return plan_pieces(df, text, pack_bytes)[:2]
+
+
+def plan_pieces(df: DataFrame, text: str, pack_bytes: int | None = None) -> tuple[int, int, bool]:
+    """(bytes of text in a pack, number of buckets, whether a text is longer than a pack) for an input.
 
     Chunks times buckets is the number of blobs, so both sizes grow with the input, from ``PACK_BYTES``
     to what an executor holds: a chunk takes some hundred times its size while it is worked on. A bucket
     serves ``CHUNKS_PER_BUCKET`` chunks' worth of text. Tests give ``pack_bytes``.
     """
-    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    size, longest = (x or 0 for x in df.agg(F.sum(F.octet_length(text)), F.max(F.octet_length(text))).first())
     if pack_bytes is None:
         memory = df.sparkSession.sparkContext.getConf().get("spark.executor.memory", "1g").lower()
         units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
         unit = units.get(memory.rstrip("b")[-1:], 1)
         most = int(float(memory.rstrip("bkmgt"))) * unit // 600
         pack_bytes = max(PACK_BYTES, min(size // 20_000, most))
-    return pack_bytes, 4 + size // (CHUNKS_PER_BUCKET * pack_bytes)
+    return pack_bytes, 4 + size // (CHUNKS_PER_BUCKET * pack_bytes), longest > pack_bytes

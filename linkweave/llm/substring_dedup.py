@@ -10,6 +10,10 @@ Both rounds are exchanges between chunks of documents and buckets of the hash sp
 A chunk sends each hash once, so a passage in a third of all documents weighs one entry per chunk.
 Window hashes have 64 bits; two different windows share one with a chance of 2**-64.
 
+A text longer than a pack is cut between words into pieces, each with the 12 words that follow it, so every
+window is in one piece; the pieces' results are put together in their order, one at a time. Memory is bounded
+by the pack and by the 13 longest words in a row, not by the text.
+
 Defined results: a null text has no words; a text shorter than the window keeps all its words; of rows
 with the same id none is smaller than the other; a null id counts as larger than all ids; windows never
 cross documents; an empty table gives an empty result; other columns are ignored.
@@ -18,6 +22,9 @@ cross documents; an empty table gives an empty result; other columns are ignored
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +37,24 @@ WINDOW = 13
 RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
+_SPACE, _WORD = re.compile(rb"[\t-\r ]"), re.compile(rb"[^\t-\r ]+")
+
+
+def cut_words(window: int) -> X.Cut:
+    """Pieces of whole words, each followed by the words that its last windows reach."""
+
+    def cut(text: pa.Buffer, size: int) -> Iterator[tuple[bytes, int]]:
+        begin = 0
+        while begin < len(text):
+            gap = _SPACE.search(text, begin + size)
+            end = gap.start() if gap else len(text)
+            own = text[begin:end].to_pybytes()
+            yield b" ".join([own, *(m.group() for m in islice(_WORD.finditer(text, end), window - 1))]), len(own)
+            begin = end
+
+    return cut
+
+
 class Words:
     """The words of a chunk and the hashes of its windows."""
 
@@ -41,7 +66,9 @@ class Words:
         count = len(self.starts)
         first = np.searchsorted(self.text_of, np.arange(len(texts)))
         self.place = np.arange(count) - first[self.text_of] if count else np.zeros(0, np.int64)
+        self.owned = self.starts < (texts.offsets[:-1] + texts.own)[self.text_of]
         self.windows = R.in_one_text(self.text_of, window)
+        self.windows = self.windows[self.owned[self.windows]]
         #: only texts that hold a window take part
         long = np.bincount(self.text_of, minlength=len(texts)) >= window if count else np.zeros(0, bool)
         self.probes = R.in_one_text(self.text_of, self.block)
@@ -90,8 +117,8 @@ def _least(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = False, pack_bytes: int | None = None) -> DataFrame:
     """One row per document: words, removed words, digest of what is kept; with ``keep_text`` the kept text."""
-    pack_bytes, buckets = X.plan(df, text_col, pack_bytes)
-    packs = X.pack(df, id_col, text_col, pack_bytes)
+    pack_bytes, buckets, cut = X.plan_pieces(df, text_col, pack_bytes)
+    packs = X.pack(df, id_col, text_col, pack_bytes, cut_words(window))
 
     def emit_anchors(chunk, texts):
         words = Words(texts, window)
@@ -155,22 +182,54 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         removed = np.cumsum(cover[:-1]) > 0
         return _result(texts, words, removed, keep_text)
 
-    out = X.meet(packs, second, work, RESULT_SCHEMA)
+    out = X.meet(packs, second, work, f"{RESULT_SCHEMA}, {X.PIECE_SCHEMA}")
+    names = RESULT_SCHEMA.replace(" long", "").replace(" string", "").split(", ")
+    out = X.assemble(out, lambda: _Kept(keep_text), RESULT_SCHEMA) if cut else out.select(names)
     return out if keep_text else out.drop("kept")
 
 
+class _Kept:
+    """The result of a text whose words come in pieces."""
+
+    def __init__(self, keep_text: bool):
+        self.words = self.removed = 0
+        self.digest, self.first = hashlib.sha256(), True
+        self.text: list[bytes] | None = [] if keep_text else None
+
+    def add(self, body: bytes, gone: np.ndarray) -> None:
+        kept = [w for w, g in zip(body.split(), gone.tolist(), strict=True) if not g]
+        self.words += len(gone)
+        self.removed += len(gone) - len(kept)
+        if kept:
+            text = b" ".join(kept) if self.first else b" " + b" ".join(kept)
+            self.first = False
+            self.digest.update(text)
+            if self.text is not None:
+                self.text.append(text)
+
+    def row(self) -> dict:
+        text = None if self.text is None else b"".join(self.text).decode("utf-8", "replace")
+        return {"n_words": self.words, "n_removed": self.removed, "kept_sha256": self.digest.hexdigest(), "kept": text}
+
+
 def _result(texts: X.Texts, words: Words, removed: np.ndarray, keep_text: bool) -> pa.Table:
     n_words = np.bincount(words.text_of, minlength=len(texts))
     n_removed = np.bincount(words.text_of[removed], minlength=len(texts))
     raw, at = texts.data.tobytes(), texts.offsets.tolist()
     ends = np.cumsum(n_words)
     keep = ~removed
-    digest, kept = [], []
+    digest, kept, pieces = [], [], {}
     for i, end in enumerate(ends.tolist()):
         own = raw[at[i] : at[i + 1]].split()
+        if texts.part[i] >= 0:
+            n_own = int(words.owned[end - len(own) : end].sum())
+            pieces[i] = n_own, b" ".join(own[:n_own]), removed[end - len(own) : end]
+            digest.append(None)
+            kept.append(None)
+            continue
         if n_removed[i]:
             own = [w for w, k in zip(own, keep[end - len(own) : end].tolist(), strict=True) if k]
         text = b" ".join(own)
         digest.append(hashlib.sha256(text).hexdigest())
         kept.append(text.decode("utf-8", "replace") if keep_text else None)
-    return pa.table({"doc_id": texts.id_array(), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string()), "kept": pa.array(kept, pa.string())})
+    return pa.table({"doc_id": texts.id_array(), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string()), "kept": pa.array(kept, pa.string()), **X.piece_columns(texts, pieces)})

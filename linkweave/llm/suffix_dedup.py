@@ -18,6 +18,10 @@ passes over everything as that document has bytes. So the collection is cut firs
 3. An anchor with more than ``HOT`` different contexts is not gathered: its windows are sent as hashes,
    which spread over all buckets.
 
+A text longer than a pack is cut into pieces, each with the 199 bytes that follow it, so every window is in one
+piece; an anchor that windows of two pieces share enters once for each, with what each piece holds of its
+context. The pieces' results are put together in their order, one at a time.
+
 Defined results: null text is empty; a text shorter than the window keeps all its bytes; repeated rows
 repeat their windows, so all their bytes from length 200 on go; other columns are ignored; an empty
 table gives an empty result. Hashes have 64 bits; unequal strings share one with a chance of 2**-64.
@@ -26,6 +30,7 @@ table gives an empty result. Hashes have 64 bits; unequal strings share one with
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +50,16 @@ PART = 4096
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
+def cut_bytes(window: int) -> X.Cut:
+    """Pieces, each followed by the bytes that its last windows reach."""
+
+    def cut(text: pa.Buffer, size: int) -> Iterator[tuple[bytes, int]]:
+        for begin in range(0, len(text), size):
+            yield text[begin : min(begin + size + window - 1, len(text))].to_pybytes(), min(size, len(text) - begin)
+
+    return cut
+
+
 class Anchors:
     """Anchors of a chunk's windows, ordered by anchor hash and context hash."""
 
@@ -172,8 +187,8 @@ def _pack_bytes(matrix: np.ndarray) -> bytes:
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot: int = HOT, keep_text: bool = False, pack_bytes: int | None = None) -> DataFrame:
     """One row per document: bytes, removed bytes and runs, digest of the rest; with ``keep_text`` the rest."""
-    pack_bytes, buckets = X.plan(df, text_col, pack_bytes)
-    packs = X.pack(df, id_col, text_col, pack_bytes)
+    pack_bytes, buckets, cut = X.plan_pieces(df, text_col, pack_bytes)
+    packs = X.pack(df, id_col, text_col, pack_bytes, cut_bytes(window))
     before = window - gram
     width = before + window
 
@@ -305,10 +320,34 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             cover(at[R.member(a.hashes(at), np.sort(np.concatenate(named)))])
         return _result(texts, np.cumsum(covered[:-1]) > 0, keep_text)
 
-    out = X.meet(packs, first.unionByName(second), work, RESULT_SCHEMA)
+    out = X.meet(packs, first.unionByName(second), work, f"{RESULT_SCHEMA}, {X.PIECE_SCHEMA}")
+    names = RESULT_SCHEMA.replace(" long", "").replace(" string", "").replace(" binary", "").split(", ")
+    out = X.assemble(out, lambda: _Kept(keep_text), RESULT_SCHEMA) if cut else out.select(names)
     return out if keep_text else out.drop("kept")
 
 
+class _Kept:
+    """The result of a text whose bytes come in pieces."""
+
+    def __init__(self, keep_text: bool):
+        self.size = self.removed = self.spans = 0
+        self.digest, self.open = hashlib.sha256(), False
+        self.text: list[bytes] | None = [] if keep_text else None
+
+    def add(self, body: bytes, gone: np.ndarray) -> None:
+        self.size += len(gone)
+        self.removed += int(gone.sum())
+        self.spans += int((gone & ~np.concatenate([[self.open], gone[:-1]])).sum())
+        self.open = bool(gone[-1])
+        rest = np.frombuffer(body, np.uint8)[~gone].tobytes()
+        self.digest.update(rest)
+        if self.text is not None:
+            self.text.append(rest)
+
+    def row(self) -> dict:
+        return {"n_bytes": self.size, "n_removed": self.removed, "n_spans": self.spans, "kept_sha256": self.digest.hexdigest(), "kept": None if self.text is None else b"".join(self.text)}
+
+
 def _result(texts: X.Texts, gone: np.ndarray, keep_text: bool) -> pa.Table:
     offsets = texts.offsets
     total = np.concatenate([[0], np.cumsum(gone)])
@@ -319,10 +358,16 @@ def _result(texts: X.Texts, gone: np.ndarray, keep_text: bool) -> pa.Table:
     begins[full] = gone[full]
     runs = np.concatenate([[0], np.cumsum(begins)])
     spans = runs[offsets[1:]] - runs[offsets[:-1]]
-    digest, kept = [], []
+    digest, kept, pieces = [], [], {}
     for i, n in enumerate(removed.tolist()):
         own = texts.data[offsets[i] : offsets[i + 1]]
+        if texts.part[i] >= 0:
+            n_own = int(texts.own[i])
+            pieces[i] = n_own, own[:n_own].tobytes(), gone[offsets[i] : offsets[i + 1]]
+            digest.append(None)
+            kept.append(None)
+            continue
         rest = (own[~gone[offsets[i] : offsets[i + 1]]] if n else own).tobytes()
         digest.append(hashlib.sha256(rest).hexdigest())
         kept.append(rest if keep_text else None)
-    return pa.table({"doc_id": texts.id_array(), "n_bytes": pa.array(np.diff(offsets), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(digest, pa.string()), "kept": pa.array(kept, pa.binary())})
+    return pa.table({"doc_id": texts.id_array(), "n_bytes": pa.array(np.diff(offsets), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(digest, pa.string()), "kept": pa.array(kept, pa.binary()), **X.piece_columns(texts, pieces)})

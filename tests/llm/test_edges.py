@@ -81,6 +81,63 @@ def test_suffix_results(odd):
     assert got == [(0, 0, 0, 0, b""), (5, n, n, 1, b""), (5, n, n, 1, b""), (6, n + 4, n, 1, b"x  y"), (8, long, long, 1, b""), (9, long + 4, long, 1, b" end")]
 
 
+@pytest.fixture(scope="module")
+def in_pieces(spark):
+    """Texts of many pieces that share passages across cuts, repeat themselves, have words longer than a piece or
+    long blanks, end at a cut, or are short; one twice, one without an id."""
+    random = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+    plain = [" ".join(random.choice(words, 900)) for _ in range(4)]
+    shared = plain[0][1300:2900]
+    texts = [*plain, "a b " + shared + "  c", shared + " " + plain[1][:700] + shared, "abcd " * 500, "abcd " * 130, "x" * 2000 + " " + shared[:400] + " " + "x" * 2000,
+             " " * 1500 + shared + "\t" * 1500, "q" * 700, "", shared[:150], plain[2][:500], plain[2][:1000], None]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(4, texts[4]), (None, plain[3][:1600])]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+@pytest.mark.parametrize("pack_bytes", [120, 500, 1 << 20])
+def test_substring_of_texts_in_pieces_against_brute_force(in_pieces, pack_bytes):
+    rows, df = in_pieces
+    largest = 1 << 62
+    least: dict = {}
+    split = [(largest if i is None else i, (t or "").split()) for i, t in rows]
+    for i, w in split:
+        for k in range(len(w) - 12):
+            key = tuple(w[k : k + 13])
+            least[key] = min(i, least.get(key, i))
+    want = []
+    for i, w in split:
+        gone = [False] * len(w)
+        for k in range(len(w) - 12):
+            if least[tuple(w[k : k + 13])] < i:
+                gone[k : k + 13] = [True] * 13
+        kept = " ".join(x for x, g in zip(w, gone) if not g)
+        want.append((None if i == largest else i, len(w), sum(gone), sha(kept.encode()), kept))
+    got = listed(substring_dedup.remove_repeats(df, keep_text=True, pack_bytes=pack_bytes), "doc_id", "n_words", "n_removed", "kept_sha256", "kept")
+    assert got == sorted(want, key=str) and any(0 < w[2] < w[1] for w in want)
+
+
+@pytest.mark.parametrize("pack_bytes,hot", [(120, 20_000), (500, 20_000), (500, 1), (1 << 20, 20_000)])
+def test_suffix_of_texts_in_pieces_against_brute_force(in_pieces, pack_bytes, hot):
+    rows, df = in_pieces
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    seen: dict = {}
+    for _, t in raw:
+        for k in range(len(t) - 199):
+            seen[t[k : k + 200]] = seen.get(t[k : k + 200], 0) + 1
+    want = []
+    for i, t in raw:
+        gone = bytearray(len(t))
+        for k in range(len(t) - 199):
+            if seen[t[k : k + 200]] > 1:
+                gone[k : k + 200] = b"\1" * 200
+        spans = sum(g and (j == 0 or not gone[j - 1]) for j, g in enumerate(gone))
+        kept = bytes(c for c, g in zip(t, gone) if not g)
+        want.append((i, len(t), sum(gone), spans, sha(kept), kept))
+    got = listed(suffix_dedup.remove_repeats(df, keep_text=True, pack_bytes=pack_bytes, hot=hot), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+    assert got == sorted(want, key=str) and any(0 < w[2] < w[1] for w in want)
+
+
 def test_suffix_columns_against_all_pairs():
     random = np.random.default_rng(4)
     rows, before, window = 40, 6, 10
