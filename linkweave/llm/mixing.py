@@ -24,6 +24,7 @@ whatever their names, are kept by ``mix`` and ``shuffled``, ignored by ``report`
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -234,7 +235,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
 
 def shuffled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED, shards: int = 0) -> DataFrame:
-    """The columns of ``df``, each shard's rows together and in its order."""
+    """The columns of ``df``, each shard's rows as one partition and in its order."""
     dealt, shards = _dealt(df, id_col, text_col, source_col, weights, cap, seed, shards)
     shard, order = dealt.columns[-2:]
-    return dealt.repartition(shards, shard).sortWithinPartitions(shard, order).select(df.columns)
+    leaves = math.prod(fans(shards))
+    return dealt.repartitionById(leaves, F.col(shard).cast("int")).sortWithinPartitions(shard, order).select(df.columns)

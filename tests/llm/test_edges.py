@@ -195,6 +195,18 @@ def test_mix_repeats_rows_and_deals_shards(spark):
     assert listed(mixing.mix(df, shards=4), "doc_id", "mix_shard", "mix_order") == listed(sharded, "doc_id", "mix_shard", "mix_order")
 
 
+@pytest.mark.parametrize("shards", [1, 5, 70])
+def test_a_shard_is_a_partition(spark, shards):
+    df = spark.range(400).selectExpr("id AS doc_id", "repeat('w ', int(1 + id % 9)) AS text", "string(id % 3) AS source", "id AS __shard")
+    dealt = {(r.doc_id, r.mix_shard) for r in mixing.mix(df, shards=shards).select("doc_id", "mix_shard").collect()} if shards > 1 else None
+    got = mixing.shuffled(df, shards=shards).selectExpr("*", "spark_partition_id() AS at")
+    assert got.columns == [*df.columns, "at"]
+    if dealt is not None:
+        assert {(r.doc_id, r["at"]) for r in got.collect()} == dealt
+    else:
+        assert {r["at"] for r in got.collect()} == {0}
+
+
 def test_report_and_stage_go_through_the_tree(spark, monkeypatch):
     from collections import Counter
 
