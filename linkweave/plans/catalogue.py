@@ -546,10 +546,8 @@ def _learned(spark, sf_dir):
     from linkweave.plans.matcher import EntityMatcher
 
     pairs, s1, cands = candidates(spark, sf_dir)
-    matcher = EntityMatcher(n_splits=2, trees=3, families=("gbt", "linear"))
-    columns = ["score", "feat_name_jaccard", "feat_addr_jaccard", "feat_name_levenshtein", "feat_pincode_match"]
-    table = X.build_features(pairs, s1, cands).select(S1, CAND, *columns).cache()
-    matcher.fit(table, truth_pairs(spark, sf_dir), all_s1(spark, sf_dir))
+    matcher = EntityMatcher(trees=3)  # all folds, families and columns of the job; only the trees are fewer
+    matcher.fit(materialise(X.build_features(pairs, s1, cands), "features"), truth_pairs(spark, sf_dir), all_s1(spark, sf_dir))
     return matcher
 
 
