@@ -1,7 +1,9 @@
 """Blocking, features, quality and validation on small frames; pandas where pandas is the definition."""
 
+import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from linkweave.functions.normalize import normalise
 from linkweave.operators import blocking as B
@@ -220,3 +222,51 @@ def test_catalogue_keeps_keys_beyond_the_small_caps(spark, tmp_path):
     assert known["block_name_char_prefix"](spark, str(tmp_path)).count() == 0
     assert known["block_name_char_prefix_full"](spark, str(tmp_path)).count() == 30 * 60
     assert known["build_features"](spark, str(tmp_path)).count() == 30 * 60
+
+
+def test_best_candidates_do_not_travel_as_pairs(spark, monkeypatch):
+    """Blocks are scored in place: the same best candidates as from all pairs, long names, empty ones, null
+    countries, ties and cut blocks included, and no more than ``k`` of an entity and cell handed on."""
+    import random
+
+    from linkweave.functions.similarity import lcs_length
+    from linkweave.operators import best
+    from linkweave.operators import blocking as B
+
+    draw = random.Random(7)
+    words = ["acme", "acne", "zürich", "трест", "works", "w" * 70, "of", "b", ""]
+
+    def side(source, n):
+        rows = []
+        for i in range(n):
+            name = " ".join(draw.choices(words, k=draw.randint(0, 3)))
+            tokens = sorted(set(draw.choices("abcdefgh", k=draw.randint(0, 4)))) if i % 9 else None
+            rows.append((f"{source}-{i:04d}", source, None if i % 17 == 0 else "IN", name, sorted(set(name.split())), name[:3], name[:4], str(i % 5), name.replace(" ", ""), tokens))
+        return spark.createDataFrame(rows, "entity_id string, source string, country string, name_canonical string, name_tokens array<string>, name_char_prefix string, name_prefix_key string, addr_pincode string, name_concat_key string, addr_tokens array<string>")
+
+    s1, cands = side("S1", 40), side("S2", 90).unionByName(side("S3", 60))
+    monkeypatch.setattr(best, "LEFT_ROWS", 7)
+    monkeypatch.setattr(best, "RIGHT_ROWS", 11)
+    for native, k, digits in ((True, 3, 6), (False, 5, None)):
+        ours = B.generate_candidates(s1, cands, k, native, digits, cap=30)
+        theirs = B.top_k(B.score_pairs(B.first_signal(B.all_signals(s1, cands, cap=30)), s1, cands, native), k, digits)
+        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+    found = best.best_in_cells(best.cells(*B.signal_keys(s1, cands, cap=30), s1, cands), 3, True, 6).collect()
+    assert found and all(1 <= len(r.candidate_entity_id) <= 3 for r in found)
+    for _ in range(300):
+        a, b = (" ".join(draw.choices(words, k=draw.randint(0, 4))) for _ in "ab")
+        names = best.Names([a, b])
+        pair = np.array([0]), np.array([1])
+        if not a:
+            continue  # similarity takes such pairs out
+        assert names._common(*pair)[0] == lcs_length(a, b)
+        table = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            table, last = [i], table
+            for j, d in enumerate(b, 1):
+                table.append(min(last[j] + 1, table[-1] + 1, last[j - 1] + (c != d)))
+        assert names._edits(*pair)[0] == best.edit_distance(a, b) == table[-1]
+    # repeated ids: every pair of rows counts
+    twice = s1.unionByName(s1.withColumn("name_canonical", F.lit("acme")))
+    ours = B.generate_candidates(twice, cands, 4, True, 6, cap=30)
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, B.top_k(B.score_pairs(B.first_signal(B.all_signals(twice, cands, cap=30)), twice, cands, True), 4, 6).collect()))
