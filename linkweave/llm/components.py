@@ -2,11 +2,56 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.llm.batches import tidy
 from linkweave.sources.storage import materialise
 
+#: Edges of a task that are thinned at once; fewer are not thinned.
+EDGES = 1 << 16
+
+
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every ``EDGES`` edges those that join two components of the ones before: at most one less than ids."""
+    up: dict[int, int] = {}
+    seen = 0
+
+    def root(i: int) -> int:
+        while (j := up.setdefault(i, i)) != i:
+            up[i] = up[j]
+            i = up[i]
+        return i
+
+    for batch in batches:
+        if seen > EDGES:
+            up, seen = {}, 0
+        seen += batch.num_rows
+        keep = np.zeros(batch.num_rows, bool)
+        for i, (a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b")), strict=True)):
+            x, y = root(a), root(b)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                keep[i] = True
+        yield batch.filter(pa.array(keep))
+
+
+def thinned(edges: DataFrame) -> DataFrame:
+    """Fewer edges of a written table with the same components. A group whose ids are all linked has edges by
+    the square of its size; of ``EDGES`` at a time a spanning forest is left, as long as that halves them."""
+    n = edges.count()
+    while n > EDGES:
+        fewer = materialise(edges.select("a", "b").coalesce(-(-n // EDGES)).mapInArrow(tidy(forest), edges.select("a", "b").schema), "forest")
+        before, n = n, fewer.count()
+        edges = fewer
+        if 2 * n > before:
+            break
+    return edges
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -29,7 +74,7 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     A hub's edges are never gathered: the minimum of its neighbours is a partial aggregate, and it is
     written before it is joined back, so that adaptive execution may split the hub's edges.
     """
-    now = materialise(edges.filter("a <> b").distinct(), "edges")
+    now = thinned(materialise(edges.filter("a <> b").distinct(), "edges"))
     for _ in range(rounds):
         now = materialise(_small_star(_large_star(now).distinct()).distinct(), "edges")
         # settled when every id has one edge down, to an id that has none

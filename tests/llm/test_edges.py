@@ -631,3 +631,19 @@ def test_components_of_a_chain_a_star_and_repeats(spark):
     got = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)}
     assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def test_components_of_a_group_whose_ids_are_all_linked(spark, monkeypatch):
+    """The rounds' joins get about as many edges as ids, not the square of a group's size."""
+    from pyspark.sql import functions as F
+
+    from linkweave.llm import components as C
+
+    monkeypatch.setattr(C, "EDGES", 2000)
+    joined, star = [], C._large_star
+    monkeypatch.setattr(C, "_large_star", lambda edges: joined.append(edges.count()) or star(edges))
+    group = spark.range(200).select(F.col("id").alias("a")).crossJoin(spark.range(200).select(F.col("id").alias("b"))).filter("a < b")
+    chain = spark.range(1000, 1100).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    out = {r.id: r.label for r in C.components(group.unionByName(chain)).collect()}
+    assert out == {i: 0 for i in range(200)} | {i: 1000 for i in range(1000, 1101)}
+    assert max(joined) <= 2000 < group.count()
