@@ -8,6 +8,7 @@ Large blocks are cut into cells of both sides, for which the same holds.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from linkweave.sources.storage import materialise
 #: Rows of either side of a cell; cells of this size have four million pairs.
 LEFT_ROWS, RIGHT_ROWS = 1024, 4096
 #: Pairs of a task, rows read before their cells are scored, pairs whose scores are held, and pairs of names at a time.
-TASK_PAIRS, GROUP_ROWS, CHUNK, LANES = 20_000_000, 20_000, 1 << 19, 1 << 15
+TASK_PAIRS, GROUP_ROWS, CHUNK, LANES = 20_000_000, 20_000, 1 << 18, 1 << 15
 WORD = 64
 FOUND = "source1_entity_id string, o int, candidate_entity_id array<string>, score array<double>"
 SEPARATOR = "\x1f"
@@ -55,10 +56,20 @@ def best_in_cells(df: DataFrame, k: int, indel: bool, digits: int | None) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_cells(batches):
             yield from score_cells(table, k, indel, digits)
+        trim()
 
     return df.mapInArrow(run, FOUND)
 
 
+def trim() -> None:
+    """Gives freed memory back, as a worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Tables that end where a cell ends."""
     held: list[pa.RecordBatch] = []
@@ -121,12 +132,12 @@ class Names:
         self.columns = np.zeros((int(self.length.max(initial=0)), len(names)), dtype=np.int32)
         self.columns[spans(np.zeros(len(names), dtype=np.int64), self.length), np.repeat(np.arange(len(names)), self.length)] = self.codes
 
-    def masks(self, which: np.ndarray) -> np.ndarray:
-        """A row of bits for every letter of the names ``which``, for their first WORD letters."""
-        n = np.minimum(self.length[which], WORD)
+    def masks(self, which: np.ndarray, word: int = 0) -> np.ndarray:
+        """A row of bits for every letter of the names ``which``, for WORD letters of theirs, the first or later ones."""
+        n = np.clip(self.length[which] - word * WORD, 0, WORD)
         out = np.zeros((len(which), self.letters), dtype=np.uint64)
         place = spans(np.zeros(len(which), dtype=np.int64), n)
-        np.bitwise_or.at(out.reshape(-1), np.repeat(np.arange(len(which)) * self.letters, n) + self.codes[spans(self.at[which], n)], np.uint64(1) << place.astype(np.uint64))
+        np.bitwise_or.at(out.reshape(-1), np.repeat(np.arange(len(which)) * self.letters, n) + self.codes[spans(self.at[which] + word * WORD, n)], np.uint64(1) << place.astype(np.uint64))
         return out.reshape(-1)
 
     def similarity(self, a: np.ndarray, b: np.ndarray, indel: bool) -> np.ndarray:
@@ -173,7 +184,37 @@ class Names:
             vp[on] = (hn << one) | ~(x | d)
         out = np.empty(len(a), dtype=np.int64)
         out[order] = edits
-        return self._long(a, out, b, edit_distance)
+        long = np.flatnonzero(self.length[a] > WORD)
+        if len(long):
+            out[long] = self._edits_in_words(a[long], b[long])
+        return out
+
+    def _edits_in_words(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Levenshtein distances where ``a`` takes several words, which hand on the steps at their last bits."""
+        order, _, row, text, through = self._lanes(a, b)
+        which = np.unique(a)
+        m = self.length[a[order]]
+        words = -(-int(m.max()) // WORD)
+        masks = [self.masks(which, w) for w in range(words)]
+        one, top, last, end = np.uint64(1), np.uint64(WORD - 1), ((m - 1) % WORD).astype(np.uint64), (m - 1) // WORD
+        vp, vn, edits = np.full((words, len(a)), ~np.uint64(0)), np.zeros((words, len(a)), dtype=np.uint64), m.copy()
+        for j in range(int(self.length[text].max(initial=0))):
+            on = slice(through[j], None)
+            letter = row[on] + self.columns[j][text[on]]
+            up, down = np.full(len(letter), one), np.zeros(len(letter), dtype=np.uint64)
+            for w in range(words):
+                p, n = vp[w, on], vn[w, on]
+                eq = masks[w][letter] | down
+                d = (((eq & p) + p) ^ p) | eq | n
+                hp, hn = n | ~(p | d), p & d
+                edits[on] += np.where(end[on] == w, ((hp >> last[on]) & one).astype(np.int64) - ((hn >> last[on]) & one).astype(np.int64), 0)
+                x, y = (hp << one) | up, (hn << one) | down
+                up, down = hp >> top, hn >> top
+                vn[w, on] = x & d
+                vp[w, on] = y | ~(x | d)
+        out = np.empty(len(a), dtype=np.int64)
+        out[order] = edits
+        return out
 
     def _common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Lengths of longest common subsequences (Hyyro 2004)."""
