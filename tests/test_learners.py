@@ -28,8 +28,8 @@ COLUMNS, FOLDS, SCALE = list("abcde"), [0, 1, 2], 1.7
 
 @pytest.fixture(scope="module")
 def packed(rows):
-    table = E.pack(rows, COLUMNS, [], 0)
-    limits = E.bounds(table, 5, 3000)
+    table = E.pack(rows, rows.filter("label = 1"), COLUMNS, [], 0, 3, 1.0)
+    limits = E.bounds(E.sampled(table, 5)[0])
     return table, limits, E.write_bins(table, limits)
 
 
@@ -68,10 +68,13 @@ def test_boosting_goes_on_from_written_margins(packed, monkeypatch):
 
 def test_linear_is_mllibs(rows, packed):
     table, _, _ = packed
-    ours = E.logistic(table, 5, FOLDS, SCALE, E.moments(table, 5, FOLDS))
+    sample = E.sampled(table, 5)
+    ours = E.logistic(table, 5, FOLDS, SCALE, E.all_moments(table, 5, 3), sample)
     theirs = of_mllib(rows, LogisticRegression(labelCol="label", weightCol="weight", regParam=0.01, maxIter=200, tol=1e-12))
     assert apart(probabilities(packed, "linear", ours), theirs) < 1e-6
     assert all(abs(m[4]) < 1e-9 for m in ours.values())
+    few = E.logistic(table, 5, FOLDS, SCALE, E.all_moments(table, 5, 3), tuple(x[..., :40] for x in sample))
+    assert all(np.allclose(ours[k], few[k], atol=1e-6) for k in FOLDS)
 
 
 def test_forest_learns_and_repeats(rows, packed):
@@ -94,10 +97,10 @@ def test_context_is_group_context(spark):
     names = E.context_names(["u", "v"], 12)
     wanted = X.group_context(df, ["u", "v"]).fillna(-999.0, names)
     assert [c for c in wanted.columns if c.startswith("_grp_")] == names
-    table = E.pack(df.withColumns({"label": F.lit(0), "fold": F.lit(0)}), names + ["u", "v"], ["u", "v"], 12)
+    table = E.pack(df.withColumn("fold", F.lit(0)), df.filter("v = 2"), names + ["u", "v"], ["u", "v"], 12, 1, 0.5)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # groups that go on in the next batch
     try:
-        small = E.pack(df.withColumns({"label": F.lit(0), "fold": F.lit(0)}), names + ["u", "v"], ["u", "v"], 12)
+        small = E.pack(df.withColumn("fold", F.lit(0)), df.filter("v = 2"), names + ["u", "v"], ["u", "v"], 12, 1, 0.5)
         found = {}
         for which, blocks in (("whole", table), ("small", small)):
             parts = [(r[E.S1], np.frombuffer(r["values"], dtype=np.float32).reshape(len(names) + 2, -1)) for r in blocks.collect()]
@@ -111,6 +114,15 @@ def test_context_is_group_context(spark):
         assert all(np.allclose(ours[i], theirs[i], rtol=1e-6, atol=1e-6) for i in theirs)
 
 
+def test_labels_are_the_truths(spark):
+    pairs = spark.createDataFrame([("S1-1", "a"), ("S1-1", "b"), ("S1-1", "b"), ("S1-2", "a"), (None, "a"), ("S1-3", None)], f"{E.S1} string, {E.CAND} string").withColumns({"fold": F.lit(0), "u": F.lit(1.0)})
+    truth = spark.createDataFrame([("S1-1", "b"), ("S1-1", "b"), ("S1-2", "b"), ("S1-9", "a"), (None, "a"), ("S1-3", None)], f"{E.S1} string, {E.CAND} string")
+    blocks = E.pack(pairs, truth, ["u"], [], 0, 1, 1.0).collect()
+    ours = sorted((str(s), str(c), x) for r in blocks for s, c, x in zip(r[E.S1], r[E.CAND], r.label, strict=True))
+    theirs = sorted((str(r[0]), str(r[1]), r[2]) for r in X.attach_labels(pairs, truth).select(E.S1, E.CAND, "label").collect())
+    assert ours == theirs and sum(x for _, _, x in ours) == 2
+
+
 def test_jobs_do_not_grow_with_folds(rows, spark):
     """Before, every fold and family was fitted by jobs of its own: over 50 for each of 15 models."""
     truth = rows.filter("label = 1").select(E.S1, E.CAND)
