@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from linkweave.operators import features as X
 from linkweave.operators import learners as E
+from linkweave.plans import catalogue
 from linkweave.plans.matcher import EntityMatcher
+from linkweave.plans.pipeline import Config
 
 
 @pytest.fixture(scope="module")
@@ -135,3 +137,29 @@ def test_jobs_do_not_grow_with_folds(rows, spark):
         jobs[folds] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"folds {folds}"))
         assert result["macro_f05"] > 0.5 and matcher.held_out.count() == 3000
     assert jobs[5] <= jobs[2] * 1.3
+
+
+def test_registered_queries_learn_as_the_job_does(rows, spark, monkeypatch):
+    """Before, they grew 3 trees of 60."""
+    grown = {}
+
+    def grow(name):
+        def run(bins, d, folds, positive, *, trees, seed):
+            grown[name] = trees
+            one = E.Tree(1)
+            one.value[0] = 0.5
+            return {k: [one] for k in folds}
+
+        return run
+
+    monkeypatch.setattr(E, "boost", grow("boost"))
+    monkeypatch.setattr(E, "forest", grow("forest"))
+    monkeypatch.setattr(catalogue, "candidates", lambda *_: (rows, None, None))
+    monkeypatch.setattr(catalogue.X, "build_features", lambda *_: rows.drop("label", "fold"))
+    monkeypatch.setattr(catalogue, "truth_pairs", lambda *_: rows.filter("label = 1").select(E.S1, E.CAND))
+    monkeypatch.setattr(catalogue, "all_s1", lambda *_: rows.select(E.S1).distinct())
+    assert catalogue.queries()["gbt_oof"](spark, "").count() == 3000
+    assert grown == dict.fromkeys(("boost", "forest"), Config().trees)
+    grown.clear()
+    assert catalogue.queries()["feature_importance"](spark, "").count() == 20
+    assert grown == dict.fromkeys(("boost", "forest"), Config().trees)
