@@ -163,3 +163,38 @@ def test_registered_queries_learn_as_the_job_does(rows, spark, monkeypatch):
     grown.clear()
     assert catalogue.queries()["feature_importance"](spark, "").count() == 20
     assert grown == dict.fromkeys(("boost", "forest"), Config().trees)
+
+
+def test_sums_agree_wherever_they_are_added_up(packed, monkeypatch):
+    whole = E.boost(packed[2], 5, FOLDS, SCALE, trees=2)
+    monkeypatch.setattr(E, "GATHERED", -1)
+    parts = E.boost(packed[2], 5, FOLDS, SCALE, trees=2)
+    assert apart(probabilities(packed, "gbt", whole), probabilities(packed, "gbt", parts)) < 1e-9
+
+
+def test_a_boosted_tree_takes_a_pass_a_level(packed, spark):
+    """Before, each had another pass for its loss, and small sums went through an exchange."""
+    spark.sparkContext.setJobGroup("passes", "")
+    found = E.boost(packed[2], 5, FOLDS, SCALE, trees=4, depth=3, tolerance=-1.0)
+    spark.sparkContext.setJobGroup("", "")
+    assert [len(v) for v in found.values()] == [4, 4, 4]
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("passes")) <= 4 * 3 + 1
+
+
+def test_rows_end_in_the_nodes_of_their_bins():
+    rng = np.random.default_rng(1)
+    tree, bins = E.Tree(3), rng.integers(0, E.BINS, (4, 500)).astype(np.uint8)
+    tree.column[:7] = [0, 3, 1, -1, 2, 0, -1]
+    tree.cut[:7], tree.value = rng.integers(5, 25, 7), rng.normal(size=15)
+
+    def end(x):
+        node = 0
+        while tree.column[node] >= 0:
+            node = 2 * node + 1 + (x[tree.column[node]] > tree.cut[node])
+        return node
+
+    ends = np.array([end(x) for x in bins.T])
+    rows = np.flatnonzero(rng.random(500) < 0.6)
+    assert np.array_equal(tree.predict(bins), tree.value[ends]) and np.array_equal(tree.predict(bins, rows), tree.value[ends[rows]])
+    kept, slot = E.placed(E.places(tree, [10, 3]), bins, rows)
+    assert sorted(kept) == [i for i in rows if ends[i] in (10, 3)] and np.array_equal(np.array([10, 3])[slot], ends[kept])
